@@ -344,7 +344,9 @@ def _sql(statement: str) -> str:
     if not needed:
         return statement.strip()
     head = ",\n".join(f"{name} AS ({CTES[name]})" for name in needed)
-    return f"WITH {head}\n{statement.strip()}"
+    body = statement.strip()
+    own_ctes = body.removeprefix("WITH ")
+    return f"WITH {head}" + (f",\n{own_ctes}" if own_ctes != body else f"\n{body}")
 
 
 _DOUBLES = {
@@ -528,8 +530,8 @@ _STATEMENTS = {
         UNION ALL SELECT 'bronze.inventory_snapshots', count(*), CAST(max(snapshot_date) AS TIMESTAMP) FROM b_inventory
         UNION ALL SELECT 'gold.realtime_dashboard', count(*), max(timestamp) FROM per_minute""",
     "run_sla_report": """SELECT *, (end_time - start_time) / 1000.0::DOUBLE AS duration_seconds, (end_time - start_time) / 1000.0::DOUBLE > 7200 AS sla_breach
-        FROM (SELECT event_id AS run_id, event_type AS job, epoch_ms(ts) AS start_time,
-                     epoch_ms(ts) + CAST(round(value * 60000) AS BIGINT) AS end_time,
+        FROM (SELECT event_id AS run_id, event_type AS job, epoch_us(ts) // 1000 AS start_time,
+                     epoch_us(ts) // 1000 + CAST(round(value * 60000) AS BIGINT) AS end_time,
                      CASE WHEN event_type = 'error' THEN 'FAILED' ELSE 'SUCCESS' END AS result_state FROM events)""",
     "latency_summary": """SELECT event_type AS query, count(*) AS runs, CAST(sum(CAST(value AS DECIMAL(18,6))) AS DOUBLE) / count(*) AS avg_elapsed,
         min(value) AS min_elapsed, max(value) AS max_elapsed, list_sort(list(value))[count(*) * 95 // 100 + 1] AS p95_elapsed FROM events GROUP BY event_type""",
