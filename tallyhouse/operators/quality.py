@@ -22,7 +22,7 @@ def violations(df: DataFrame, table: str, check: str, broken: Column) -> DataFra
 def orphans(child: DataFrame, parent: DataFrame, key: str, table: str) -> DataFrame:
     """How many child rows have no parent. Counted per key before the join, so no key is hot in it."""
     per_key = child.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    lost = per_key.join(parent.select(key).distinct(), key, "left_anti")
+    lost = per_key.join(parent.select(key), key, "left_anti")
     return lost.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("violation_count")).select(
         F.lit(table).alias("table_name"), F.lit("Orphaned records").alias("check_type"), "violation_count"
     )

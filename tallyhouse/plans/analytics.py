@@ -222,18 +222,15 @@ def revenue_by_category_segment_channel(
 ) -> DataFrame:
     """Lines and revenue of the last ``days`` days by product category, customer segment and channel.
 
-    Between the joins the fact side is summed up, per (product, customer, channel) and then per
-    (category, customer, channel), so a hot product or customer enters the next join as few rows.
+    Sums per (category, customer, channel) are formed before customers are joined, so a hot customer, or the many lines
+    of one product, enter that join as few rows. A hot product in the product join is split by AQE.
     """
     recent = since(transactions, as_of, days).where("customer_id IS NOT NULL").select("transaction_id", "customer_id", "channel")
     lines = _lines_since(line_items, as_of, days).select("transaction_id", "product_id", "line_total")
-    totals = [F.sum("lines").alias("lines"), F.sum("revenue").cast(MONEY).alias("revenue")]
-    by_product = lines.join(recent, "transaction_id").groupBy("product_id", "customer_id", "channel").agg(
-        F.count(F.lit(1)).alias("lines"), F.sum("line_total").cast(MONEY).alias("revenue")
-    )
     by_category = (
-        by_product.join(products.select("product_id", "category"), "product_id")
-        .groupBy("category", "customer_id", "channel").agg(*totals)
+        lines.join(recent, "transaction_id").join(products.select("product_id", "category"), "product_id")
+        .groupBy("category", "customer_id", "channel")
+        .agg(F.count(F.lit(1)).alias("lines"), F.sum("line_total").cast(MONEY).alias("revenue"))
     )
     return (
         by_category.join(customers.select("customer_id", "customer_segment"), "customer_id")

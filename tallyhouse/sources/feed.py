@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import below
 from tallyhouse.functions.values import US_STATES
+from tallyhouse.sources.tables import load, overwrite
 
 AS_OF = dt.date(2001, 8, 1)
 EVENTS_AS_OF = dt.datetime(2024, 1, 31)
@@ -200,3 +201,12 @@ class Bronze(Mapping):
 
     def __len__(self) -> int:
         return len(self.BUILDERS)
+
+
+def materialise(spark: SparkSession, folder: str, root: str) -> dict[str, DataFrame]:
+    """Write all bronze tables under ``root/bronze`` and return them as table scans."""
+    out = {}
+    for name, frame in Bronze(spark, folder).items():
+        overwrite(frame.hint("rebalance") if name in ("transactions", "transaction_line_items") else frame, f"{root}/bronze/{name}")
+        out[name] = load(spark, root, "bronze", name)
+    return out
