@@ -14,11 +14,14 @@ from tallyhouse.session import workspace
 
 
 def since(df: DataFrame, as_of: dt.date, days: int, day: str = "transaction_date") -> DataFrame:
-    """Rows of the last ``days`` days; where the table is partitioned by ``year_month`` whole months are pruned."""
+    """Rows of the last ``days`` days; a table partitioned by ``year_month`` or ``year, month`` reads those months only."""
     first = as_of - dt.timedelta(days=days)
     recent = df.where(F.col(day) >= F.lit(first))
     if "year_month" in df.columns:
         recent = recent.where(F.col("year_month") >= first.strftime("%Y-%m"))
+    elif {"year", "month"} <= set(df.columns):
+        year, month = F.col("year"), F.col("month")
+        recent = recent.where((year > first.year) | ((year == first.year) & (month >= first.month)))
     return recent
 
 
@@ -97,21 +100,22 @@ def market_basket(
 
     ``confidence`` divides by the smaller product count and ``lift`` is scaled by a million and leaves out the number of
     transactions: both follow the reporting rules, not the textbook. Products below the threshold cannot be
-    part of a result and are dropped before pairing; the remaining baskets are written once and read by all steps.
+    part of a result and are dropped before pairing. The distinct (transaction, product) rows and the product counts
+    are written once to the shared working folder and read by all steps.
     """
     spark = line_items.sparkSession
-    bought = line_items.select(F.col("transaction_id").alias("basket"), F.col("product_id").alias("item")).distinct()
-    known = products.select(F.col("product_id").alias("item")).distinct()
+    staged = workspace(spark, "baskets")
+    bought = line_items.select(F.col("transaction_id").alias("basket"), F.col("product_id").alias("item"))
+    bought.distinct().write.parquet(f"{staged}/rows")
+    rows = spark.read.schema(bought.schema).parquet(f"{staged}/rows")
     counts = (
-        bought.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+        rows.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= min_support)
-        .join(known, "item", "left_semi")
+        .join(products.select(F.col("product_id").alias("item")), "item", "left_semi")
     )
-    staged = workspace(spark, "baskets")
     counts.write.parquet(f"{staged}/counts")
-    counts = spark.read.schema("item bigint, n bigint").parquet(f"{staged}/counts")
-    bought.join(counts, "item", "left_semi").write.parquet(f"{staged}/rows")
-    baskets = spark.read.schema("basket bigint, item bigint").parquet(f"{staged}/rows")
+    counts = spark.read.schema(counts.schema).parquet(f"{staged}/counts")
+    baskets = rows.join(counts, "item", "left_semi")
     pairs = pair_support(baskets, counts, min_support, heavy_size)
 
     na, nb, co = F.col("product_a_count"), F.col("product_b_count"), F.col("co_occurrence_count")

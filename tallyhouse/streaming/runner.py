@@ -32,11 +32,14 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 
 
 def read_events(spark: SparkSession, root: str, name: str = "events.parquet", max_files: int | None = None) -> DataFrame:
-    """Raw events as a stream over the Parquet files ``<root>/<name>``."""
-    reader = spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", name)
+    """Raw events as a stream over ``<root>/<name>``, a Parquet file or a folder of them.
+
+    The path is written as a pattern: unlike a plain path it may name a single file.
+    """
+    reader = spark.readStream.schema(EVENT_SCHEMA)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.parquet(root)
+    return reader.parquet(f"{root}/{{{name}}}")
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None) -> DataFrame:

@@ -199,3 +199,7 @@ def test_since_prunes_month_folders(spark, tmp_path):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year_month" in plan and "GreaterThanOrEqual(transaction_date" in plan
     assert df.count() == 1
+    daily = str(tmp_path / "d")
+    gold.daily_sales_summary(tx(spark, {}, {"transaction_date": dt.date(2000, 12, 31)})).write.partitionBy("year", "month").parquet(daily)
+    recent = analytics.since(spark.read.parquet(daily), AS_OF, 30)
+    assert recent.count() == 1 and "PartitionFilters: [((year" in recent._jdf.queryExecution().executedPlan().toString()

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tallyhouse.operators.baskets import pair_support
 from tallyhouse.operators.changes import dedup_latest, delete_keys
 from tallyhouse.operators.skew import spread_join
+from tallyhouse.sources.tables import overwrite
 
 from conftest import rows
 
@@ -67,3 +68,18 @@ def test_delete_keeps_rows_without_key(spark):
     left = delete_keys({"t": (facts(spark), ["id"])}, doomed, "k")["t"]
     want = facts(spark).where("k IS NULL OR k <> 7")
     assert rows(left.select("id", "k")) == rows(want)
+
+
+def test_hot_folder_is_written_by_many_tasks(spark, tmp_path):
+    df = spark.range(200_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("text"),
+                                     F.when(F.col("id") % 10 < 9, "2001-08").otherwise("2001-07").alias("year_month"))
+    path, key = str(tmp_path / "t"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "1MB")
+    try:
+        overwrite(df.repartition(8), path, ["year_month"], ["id"])
+    finally:
+        spark.conf.unset(key)
+    files = {m: n for m, n in 
+             spark.read.parquet(path).select("year_month", F.input_file_name().alias("f")).groupBy("year_month").agg(F.countDistinct("f")).collect()}
+    assert files["2001-08"] > 4
+    assert spark.read.parquet(path).count() == 200_000
