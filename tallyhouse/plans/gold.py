@@ -144,15 +144,11 @@ def customer_360(customers: DataFrame, transactions: DataFrame) -> DataFrame:
 def product_performance_agg(line_items: DataFrame, transactions: DataFrame) -> DataFrame:
     """Sales per product with buyers, channel split and sale dates.
 
-    After the join the rows of a transaction lie together, so summing them up per (transaction, product)
-    needs no further exchange. That pair is then unique: distinct transactions are a plain count and one
-    distinct aggregate remains. AQE splits the join partition of a transaction with very many lines.
+    Lines are first summed per (transaction, product). That pair is then unique: distinct transactions are a plain
+    count, one distinct aggregate remains (two would make Spark multiply the rows), and a transaction with very
+    many lines enters the join with one row per product.
     """
-    header = transactions.select("transaction_id", "transaction_date", "channel", "customer_id")
-    lines = line_items.select("transaction_id", "product_id", "quantity", "line_total", "unit_price", "discount_percent")
-    sold = lines.join(header, "transaction_id").groupBy(
-        "transaction_id", "product_id", "transaction_date", "channel", "customer_id"
-    ).agg(
+    lines = line_items.groupBy("transaction_id", "product_id").agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum("quantity").alias("units"),
         F.sum("line_total").cast(MONEY).alias("revenue"),
@@ -161,6 +157,7 @@ def product_performance_agg(line_items: DataFrame, transactions: DataFrame) -> D
         F.sum("discount_percent").alias("discount_sum"),
         F.count("discount_percent").alias("discount_count"),
     )
+    sold = lines.join(transactions.select("transaction_id", "transaction_date", "channel", "customer_id"), "transaction_id")
     channel, revenue = F.col("channel"), F.col("revenue")
     return sold.groupBy("product_id").agg(
         F.sum("units").alias("total_units_sold"),
