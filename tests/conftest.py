@@ -33,4 +33,4 @@ def folder():
 def rows(df, *columns):
     """Rows as sorted tuples, for comparison without order."""
     picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=lambda t: tuple((v is not None, str(v)) for v in t))
+    return sorted((tuple(r) for r in picked.collect()), key=lambda t: tuple((v is not None, v) for v in t))
