@@ -61,11 +61,6 @@ def ratio(part: Column, whole: Column, type_: str) -> Column:
     return F.try_divide(part.cast("decimal(20,2)"), whole.cast("decimal(20,2)")).try_cast(type_)
 
 
-def dense_years_months(day: Column) -> Column:
-    """Months since year 0, an integer that orders and subtracts like months do."""
-    return F.year(day) * 12 + F.month(day)
-
-
 def calendar(day: Column, prefix: str = "") -> dict[str, Column]:
     """Calendar attributes of a date: day of week (1 = Sunday), ISO week, month, quarter, year."""
     return {

@@ -7,12 +7,12 @@ from pyspark.sql import functions as F
 
 
 def pair_support(
-    baskets: DataFrame, item_counts: DataFrame, min_support: int, heavy_size: int = 500, blocks: int = 32
+    baskets: DataFrame, min_support: int, heavy_size: int = 500, blocks: int = 32
 ) -> DataFrame:
     """Pairs ``(item_a, item_b, support)`` with ``item_a < item_b`` found in ``min_support`` baskets or more.
 
-    ``baskets`` holds distinct ``(basket, item)`` rows whose items all reach ``min_support`` on their own
-    (rarer ones cannot be in a result pair); ``item_counts`` lists those items.
+    ``baskets`` holds distinct ``(basket, item)`` rows, best without items that occur in fewer than ``min_support``
+    baskets: those cannot be in a result pair.
 
     Baskets up to ``heavy_size`` items are self-joined: a row meets at most ``heavy_size`` others. Larger
     ones never are. An item pair gains support from them in one of two ways:

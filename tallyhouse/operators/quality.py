@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyhouse.functions.columns import FINE
-
 
 def violations(df: DataFrame, table: str, check: str, broken: Column) -> DataFrame:
     """One row: how many rows break a rule."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import FINE
@@ -24,10 +24,10 @@ def catalog_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
     )
 
 
-def registered_tables(df_session, prefix: str = "") -> DataFrame:
+def registered_tables(spark: SparkSession, prefix: str = "") -> DataFrame:
     """Tables and views known to the session, counted per schema."""
-    rows = [(".".join(t.namespace or []) or "session", t.name) for t in df_session.catalog.listTables() if t.name.startswith(prefix)]
-    return df_session.createDataFrame(rows, "schema_name string, table_name string").groupBy("schema_name").agg(
+    rows = [(".".join(t.namespace or []) or "session", t.name) for t in spark.catalog.listTables() if t.name.startswith(prefix)]
+    return spark.createDataFrame(rows, "schema_name string, table_name string").groupBy("schema_name").agg(
         F.count(F.lit(1)).alias("table_count")
     )
 

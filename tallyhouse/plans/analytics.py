@@ -116,7 +116,7 @@ def market_basket(
     counts.write.parquet(f"{staged}/counts")
     counts = spark.read.schema(counts.schema).parquet(f"{staged}/counts")
     baskets = rows.join(counts, "item", "left_semi")
-    pairs = pair_support(baskets, counts, min_support, heavy_size)
+    pairs = pair_support(baskets, min_support, heavy_size)
 
     na, nb, co = F.col("product_a_count"), F.col("product_b_count"), F.col("co_occurrence_count")
     scored = (

@@ -31,8 +31,7 @@ def test_pair_support_with_huge_baskets(spark, seed, heavy_size, support):
     counts = Counter(i for items in baskets.values() for i in items)
     kept = [(b, i) for b, items in baskets.items() for i in items if counts[i] >= support]
     frame = spark.createDataFrame(kept, "basket bigint, item bigint")
-    n = spark.createDataFrame([(i, c) for i, c in counts.items() if c >= support], "item bigint, n bigint")
-    got = pair_support(frame, n, support, heavy_size=heavy_size, blocks=3)
+    got = pair_support(frame, support, heavy_size=heavy_size, blocks=3)
     assert sorted((r.item_a, r.item_b, r.support) for r in got.collect()) == brute_pairs(baskets, support)
 
 
