@@ -316,9 +316,6 @@ CTES = {
         SELECT time_bucket(INTERVAL 1 MINUTE, event_timestamp) + INTERVAL 1 MINUTE AS timestamp, count(*) AS events_per_minute,
                count(*) FILTER (event_type = 'checkout_complete') AS conversions
         FROM clicks GROUP BY 1""",
-    "basket_items": """
-        SELECT DISTINCT transaction_id, product_id, category FROM b_lines JOIN s_products USING (product_id)""",
-    "item_counts": "SELECT product_id, count(*) AS n FROM basket_items GROUP BY product_id",
     "marked_customers": """
         SELECT *, concat_ws(',', CASE WHEN customer_id IS NULL THEN 'customer_id_not_null' END,
                                  CASE WHEN NOT (dq_score >= 0 AND dq_score <= 100) THEN 'valid_dq_score' END,
@@ -436,46 +433,49 @@ _STATEMENTS = {
                     WHERE transaction_type = 'purchase' GROUP BY 1, 2)
               WINDOW w AS (PARTITION BY channel ORDER BY transaction_date))
         WHERE transaction_date >= {AS_OF} - 90 ORDER BY transaction_date DESC, channel LIMIT 100""",
-    "cohort_retention": f"""WITH cohorts AS (SELECT customer_id, date_trunc('month', min(transaction_date)) AS cohort_month FROM s_transactions
-            WHERE transaction_type = 'purchase' GROUP BY customer_id),
-        activity AS (SELECT t.customer_id, cohort_month, datediff('month', cohort_month, date_trunc('month', transaction_date)) AS m
-            FROM s_transactions t JOIN cohorts c ON t.customer_id = c.customer_id WHERE transaction_type = 'purchase'),
-        sizes AS (SELECT cohort_month, count(DISTINCT customer_id) AS cohort_customers FROM cohorts GROUP BY 1),
-        kept AS (SELECT cohort_month, m, count(DISTINCT customer_id) AS active_customers FROM activity GROUP BY 1, 2)
-        SELECT CAST(cohort_month AS DATE) AS cohort_month, cohort_customers, CAST(m AS DOUBLE) AS months_since_cohort, active_customers,
-               {_half_up("active_customers * 100", "cohort_customers", 2)} AS retention_rate
-        FROM kept JOIN sizes USING (cohort_month) WHERE m <= 12 AND cohort_month >= {AS_OF} - 3650""",
-    "market_basket": """WITH pairs AS (SELECT a.product_id AS product_a, a.category AS category_a, b.product_id AS product_b, b.category AS category_b,
-            count(DISTINCT a.transaction_id) AS co_occurrence_count
-            FROM basket_items a JOIN basket_items b ON a.transaction_id = b.transaction_id AND a.product_id < b.product_id
-            GROUP BY 1, 2, 3, 4 HAVING count(DISTINCT a.transaction_id) >= 3)
-        SELECT product_a, category_a, product_b, category_b, co_occurrence_count, pa.n AS product_a_count, pb.n AS product_b_count,
-               round(co_occurrence_count * 100.0::DOUBLE / least(pa.n, pb.n), 2) AS confidence,
-               round(co_occurrence_count * 1000000.0::DOUBLE / (pa.n * pb.n), 4) AS lift
-        FROM pairs JOIN item_counts pa ON product_a = pa.product_id JOIN item_counts pb ON product_b = pb.product_id
-        ORDER BY lift DESC, product_a, product_b LIMIT 50""",
-    "inventory_optimization": f"""WITH demand AS (SELECT product_id, sum(quantity) AS sold FROM b_lines JOIN s_transactions USING (transaction_id)
-            WHERE transaction_date >= {AS_OF} - 30 AND transaction_type = 'purchase' GROUP BY 1),
-        stock AS (SELECT product_id, sum(quantity_available) AS available, avg(reorder_point) AS avg_reorder, count(DISTINCT warehouse_id) AS warehouse_count
-            FROM b_inventory WHERE snapshot_date = (SELECT max(snapshot_date) FROM b_inventory) GROUP BY 1)
+    "cohort_retention": f"""WITH buys AS (SELECT DISTINCT customer_id AS who, 12 * year(transaction_date) + month(transaction_date) - 1 AS m
+            FROM s_transactions WHERE transaction_type = 'purchase' AND customer_id IS NOT NULL),
+        ages AS (SELECT *, min(m) OVER (PARTITION BY who) AS born FROM buys),
+        life AS (SELECT born, m - born AS age, count(*) AS alive FROM ages GROUP BY ALL),
+        sized AS (SELECT *, max(alive) FILTER (age = 0) OVER (PARTITION BY born) AS members, make_date(born // 12, born % 12 + 1, 1) AS first_day FROM life)
+        SELECT first_day AS cohort_month, members AS cohort_customers, CAST(age AS DOUBLE) AS months_since_cohort, alive AS active_customers,
+               {_half_up("alive * 100", "members", 2)} AS retention_rate
+        FROM sized WHERE age <= 12 AND first_day >= {AS_OF} - 3650""",
+    "market_basket": """WITH lists AS (SELECT list(DISTINCT product_id) AS items FROM b_lines SEMI JOIN b_products USING (product_id) GROUP BY transaction_id),
+        firsts AS (SELECT unnest(items) AS x, items FROM lists),
+        seen AS (SELECT x, count(*) AS n FROM firsts GROUP BY x),
+        pairs AS (SELECT x, y, count(*) AS both_n FROM (SELECT x, unnest(list_filter(items, LAMBDA z: z > x)) AS y FROM firsts) GROUP BY x, y)
+        SELECT pairs.x AS product_a, pa.category AS category_a, pairs.y AS product_b, pb.category AS category_b, both_n AS co_occurrence_count,
+               sa.n AS product_a_count, sb.n AS product_b_count,
+               round(both_n * 100.0::DOUBLE / least(sa.n, sb.n), 2) AS confidence, round(both_n * 1000000.0::DOUBLE / (sa.n * sb.n), 4) AS lift
+        FROM pairs JOIN seen sa ON sa.x = pairs.x JOIN seen sb ON sb.x = pairs.y
+             JOIN b_products pa ON pa.product_id = pairs.x JOIN b_products pb ON pb.product_id = pairs.y
+        WHERE both_n >= 3 ORDER BY lift DESC, product_a, product_b LIMIT 50""",
+    "inventory_optimization": f"""WITH newest AS (SELECT * FROM b_inventory QUALIFY snapshot_date = max(snapshot_date) OVER ()),
+        figures AS (SELECT p.product_id, product_name, category, base_price,
+               (SELECT sum(quantity) FROM b_lines l SEMI JOIN (SELECT * FROM b_transactions WHERE transaction_type = 'purchase' AND transaction_date >= {AS_OF} - 30) t
+                    USING (transaction_id) WHERE l.product_id = p.product_id) AS sold,
+               (SELECT sum(quantity_available) FROM newest i WHERE i.product_id = p.product_id) AS available,
+               (SELECT avg(reorder_point) FROM newest i WHERE i.product_id = p.product_id) AS reorder_at,
+               (SELECT count(*) FROM newest i WHERE i.product_id = p.product_id) AS sites
+            FROM b_products p WHERE is_active)
         SELECT product_id, product_name, category, CAST(base_price AS DOUBLE) AS base_price, CAST(coalesce(sold, 0) AS BIGINT) AS units_sold_30d,
-               CAST(coalesce(available, 0) AS BIGINT) AS inventory_available, warehouse_count,
-               CASE WHEN sold > 0 THEN {_half_up("available * 30", "sold", 1)} ELSE 999 END AS days_of_inventory,
-               CASE WHEN available IS NULL OR available = 0 THEN 'OUT_OF_STOCK' WHEN available < avg_reorder THEN 'LOW_STOCK'
-                    WHEN available < sold THEN 'REORDER_SOON' ELSE 'HEALTHY' END AS stock_status,
+               CAST(coalesce(available, 0) AS BIGINT) AS inventory_available, nullif(sites, 0) AS warehouse_count,
+               coalesce(CASE WHEN sold > 0 THEN {_half_up("available * 30", "sold", 1)} END, CASE WHEN sold > 0 THEN NULL ELSE 999 END) AS days_of_inventory,
+               CASE WHEN coalesce(available, 0) = 0 THEN 'OUT_OF_STOCK' WHEN reorder_at > available THEN 'LOW_STOCK'
+                    WHEN sold > available THEN 'REORDER_SOON' ELSE 'HEALTHY' END AS stock_status,
                {_half_up("coalesce(sold, 0) * " + _cents("base_price") + " * 7", "3000", 2)} AS weekly_revenue_at_risk
-        FROM s_products LEFT JOIN demand USING (product_id) LEFT JOIN stock USING (product_id) WHERE is_active
-        ORDER BY weekly_revenue_at_risk DESC, product_id LIMIT 100""",
+        FROM figures ORDER BY weekly_revenue_at_risk DESC, product_id LIMIT 100""",
     "mv_executive_summary": "SELECT * FROM weekly",
     "mv_category_performance": "SELECT * FROM by_category",
     "bench_simple_agg": f"SELECT channel, count(*) AS transaction_count, {_money('sum(transaction_amount)', 'revenue')} FROM s_transactions GROUP BY channel",
     "bench_date_range": f"""SELECT transaction_date, count(*) AS transaction_count, {_money('sum(transaction_amount)', 'revenue')} FROM s_transactions
         WHERE transaction_date >= {AS_OF} - 30 GROUP BY transaction_date""",
-    "bench_large_join": f"""SELECT customer_segment, count(DISTINCT t.customer_id) AS unique_customers, {_money('sum(transaction_amount)', 'revenue')}
-        FROM s_transactions t JOIN s_customers c ON t.customer_id = c.customer_id WHERE transaction_type = 'purchase' GROUP BY 1""",
+    "bench_large_join": f"""SELECT customer_segment, count(DISTINCT customer_id) AS unique_customers, {_money('sum(transaction_amount)', 'revenue')}
+        FROM b_customers JOIN (FROM s_transactions WHERE transaction_type = 'purchase') USING (customer_id) GROUP BY ALL""",
     "bench_multi_join": f"""SELECT category, customer_segment, channel, count(*) AS transactions, {_money('sum(line_total)', 'revenue')}
-        FROM b_lines li JOIN s_transactions t ON li.transaction_id = t.transaction_id JOIN s_products p ON li.product_id = p.product_id
-        JOIN s_customers c ON t.customer_id = c.customer_id WHERE transaction_date >= {AS_OF} - 90 GROUP BY 1, 2, 3""",
+        FROM b_customers JOIN b_transactions USING (customer_id) JOIN b_lines USING (transaction_id) JOIN b_products USING (product_id)
+        WHERE {AS_OF} - transaction_date <= 90 GROUP BY ALL""",
     "mix_count": "SELECT count(*) AS transaction_count FROM s_transactions",
     "mix_channel_sum": f"SELECT channel, {_money('sum(transaction_amount)', 'revenue')} FROM s_transactions GROUP BY channel",
     "mix_segment_count": "SELECT customer_segment, count(*) AS customer_count FROM s_customers GROUP BY 1",
@@ -499,7 +499,7 @@ _STATEMENTS = {
     "dq_null_customer": _violation("silver.transactions", "NULL customer_id", "s_transactions WHERE customer_id IS NULL"),
     "dq_negative_amount": _violation("silver.transactions", "Negative amount", "s_transactions WHERE transaction_amount < 0"),
     "dq_orphan_line_items": _violation("bronze.transaction_line_items", "Orphaned records",
-        "b_lines li LEFT JOIN b_transactions t ON li.transaction_id = t.transaction_id WHERE t.transaction_id IS NULL"),
+        "b_lines ANTI JOIN b_transactions USING (transaction_id)"),
     "dq_customer_summary": f"""SELECT 'silver.customers' AS table_name, {_half_up("sum(dq_score)", "count(*)", 2)} AS avg_dq_score,
         count(*) FILTER (dq_valid_email) AS valid_emails, count(*) FILTER (dq_valid_state) AS valid_states, count(*) AS total_records FROM s_customers""",
     "check_constraints": "\nUNION ALL ".join([
