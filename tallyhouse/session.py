@@ -33,12 +33,15 @@ def configure(spark: SparkSession) -> SparkSession:
 def workspace(spark: SparkSession, label: str) -> str:
     """A fresh folder path that every executor can reach.
 
-    The cluster names a shared folder in ``spark.checkpoint.dir``; only where that is unset (tests,
-    laptops) a temporary folder of this process takes its place.
+    The cluster names a shared folder in ``spark.checkpoint.dir``. Only a session on ``local[...]``, where driver and
+    executors are one process, may leave it unset and gets a temporary folder; elsewhere that is an error.
     """
     global _fallback_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        master = spark.conf.get("spark.master", "")
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if _fallback_root is None:
             _fallback_root = tempfile.mkdtemp(prefix="tallyhouse-")
         root = _fallback_root
