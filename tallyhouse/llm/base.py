@@ -14,12 +14,14 @@ from tallyhouse.session import configure, workspace
 
 #: Rows of an Arrow batch. Long texts make large batches, so it is kept small.
 BATCH_ROWS = 500
+BATCH_BYTES = 16 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Session settings of this package: those of the library and small Arrow batches."""
     configure(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
 
 

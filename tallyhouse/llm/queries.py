@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyhouse.llm import id_files, quality_rules
 from tallyhouse.llm.base import table
 from tallyhouse.llm.token_counts import count_tokens
 
@@ -21,3 +22,14 @@ def query(run: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessi
 @query
 def op3_token_counts(spark, folder):
     return count_tokens(table(spark, folder, "documents"), "word_bpe_49k.json")
+
+
+@query
+def op4_id_files(spark, folder):
+    files = id_files.write(table(spark, folder, "documents"), "byte_bpe_50k.json", end_id=2)
+    return id_files.read(spark, files)
+
+
+@query
+def op2_quality_rules(spark, folder):
+    return quality_rules.judge(table(spark, folder, "documents"))
