@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import id_files, quality_rules
+from tallyhouse.llm import chat, id_files, quality_rules
 from tallyhouse.llm.base import table
 from tallyhouse.llm.token_counts import count_tokens
 
@@ -33,3 +33,23 @@ def op4_id_files(spark, folder):
 @query
 def op2_quality_rules(spark, folder):
     return quality_rules.judge(table(spark, folder, "documents"))
+
+
+@query
+def op6_chat_examples(spark, folder):
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    text = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", text), (-7, 1, "assistant", text)], turns.schema)
+    return chat.digest(spark, chat.write(turns.unionByName(extra)))
+
+
+SQL["op6_chat_examples"] = r"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS x FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(r || chr(10) || x || chr(10), '' ORDER BY turn NULLS FIRST, r, x)) AS turns_sha256,
+  coalesce(sum(length(x)) FILTER (r = 'assistant'), 0)::BIGINT AS loss_chars,
+  sha256(coalesce(string_agg(x, '' ORDER BY turn NULLS FIRST, r, x) FILTER (r = 'assistant'), '')) AS loss_sha256,
+  sum(15 + length(r) + length(x) + length(regexp_replace(r, '[^\\#<:]', '', 'g')) + length(regexp_replace(x, '[^\\#<]', '', 'g')))::BIGINT AS formatted_chars
+FROM t GROUP BY conv_id"""
