@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import chat, id_files, quality_rules
+from tallyhouse.llm import chat, id_files, packing, quality_rules
 from tallyhouse.llm.base import table
 from tallyhouse.llm.token_counts import count_tokens
 
@@ -53,3 +53,8 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(x, '' ORDER BY turn NULLS FIRST, r, x) FILTER (r = 'assistant'), '')) AS loss_sha256,
   sum(15 + length(r) + length(x) + length(regexp_replace(r, '[^\\#<:]', '', 'g')) + length(regexp_replace(x, '[^\\#<]', '', 'g')))::BIGINT AS formatted_chars
 FROM t GROUP BY conv_id"""
+
+
+@query
+def op9_packing(spark, folder):
+    return packing.pack(table(spark, folder, "documents"), "word_bpe_49k.json", end_id=2)

@@ -18,13 +18,6 @@ from tallyhouse.llm import tokens
 from tallyhouse.llm.base import batches
 
 
-def _byte_letters() -> dict[int, str]:
-    """The visible character that stands for each byte: printable Latin-1 bytes stand for themselves, others follow from 256."""
-    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    other = [b for b in range(256) if b not in set(plain)]
-    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
-
-
 class Merger:
     """Merge table of a BPE file as sorted pair keys, with the symbols that start a pre-token."""
 
@@ -37,7 +30,7 @@ class Merger:
         made = np.array([ids[a + b] for a, b in pairs], dtype=np.int64)
         order = np.argsort(keys, kind="stable")
         self.keys, self.ranks, self.made = keys[order], order.astype(np.int64), made
-        letters = _byte_letters()
+        letters = tokens.byte_letters()
         self.inner = np.array([ids[letters[b]] for b in range(256)], dtype=np.int64)
         self.last = np.array([ids[letters[b] + end] for b in range(256)], dtype=np.int64)
 
@@ -89,12 +82,16 @@ def counter(path: str) -> tokens.Pieces:
     """
     if path not in _COUNTERS:
         tool, merger = tokens._library(path), Merger(path)
-        back = {c: b for b, c in _byte_letters().items()}
+        back = {c: b for b, c in tokens.byte_letters().items()}
         cut, clean = tool.pre_tokenizer.pre_tokenize_str, tool.normalizer.normalize_str if tool.normalizer else str
 
         def fill(chunks: list[str]) -> list[int]:
             words, row = [], []
             for i, chunk in enumerate(chunks):
+                if tokens.is_word(chunk):
+                    words.append(chunk.encode() if spaced else chunk.strip(" ").lower().encode())
+                    row.append(i)
+                    continue
                 for word, _ in cut(clean(chunk)):
                     words.append(bytes(map(back.__getitem__, word)))
                     row.append(i)
@@ -103,6 +100,7 @@ def counter(path: str) -> tokens.Pieces:
                 np.add.at(out, row, merger.counts(words))
             return out.tolist()
 
+        spaced = tool.normalizer is None
         special = sorted((t.content for t in tool.get_added_tokens_decoder().values()), key=len, reverse=True)
 
         def whole(text: str) -> int:
@@ -113,7 +111,6 @@ def counter(path: str) -> tokens.Pieces:
                 parts = [p for s in split for p in s]
             return total + sum(fill([p for p in parts if p]))
 
-        spaced = tool.normalizer is None
         _COUNTERS[path] = tokens.Pieces(fill, sum, whole, spaced)
     return _COUNTERS[path]
 

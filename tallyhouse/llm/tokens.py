@@ -12,8 +12,8 @@ import os
 import re
 from collections.abc import Callable, Iterable
 from itertools import islice
+from struct import pack
 
-import numpy as np
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -26,6 +26,24 @@ _EDGE = re.compile(f"^[{SPACE}]|[{SPACE}]$")
 SPECIAL = "<|"
 
 
+#: A word of Latin letters, which every supported tokenizer takes as one pre-token.
+is_word = re.compile(f" ?[{_LATIN}]+").fullmatch
+
+
+def byte_letters() -> dict[int, str]:
+    """The visible character that stands for each byte: printable Latin-1 bytes stand for themselves, others follow from 256."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in set(plain)]
+    return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(other)}
+
+
+_LETTERS = byte_letters()
+
+
+def as_letters(raw: bytes) -> str:
+    return raw.decode("latin-1").translate(_LETTERS)
+
+
 def trim(kept: dict, limit: int) -> None:
     """Drop the youngest third once there are more than ``limit`` entries: frequent pieces came early."""
     if len(kept) > limit:
@@ -40,7 +58,7 @@ class Pieces:
     of one text that must not be cut. ``spaced`` says whether a piece keeps the space before it.
     """
 
-    def __init__(self, fill: Callable, join: Callable[[Iterable], object], whole: Callable, spaced: bool, limit: int = 500_000):
+    def __init__(self, fill: Callable, join: Callable[[Iterable], object], whole: Callable, spaced: bool, limit: int = 1_000_000):
         self.fill, self.join, self.whole, self.limit = fill, join, whole, limit
         self.space = " " if spaced else ""
         self.rest: dict[str, object] = {}
@@ -116,14 +134,22 @@ def encoder(path: str) -> Pieces:
         if tool.get_vocab_size() > 65_536:
             raise ValueError("ids do not fit 16 bits")
 
+        spaced, merge = tool.normalizer is None, tool.model.tokenize
+
         def fill(chunks: list[str]) -> list[bytes]:
             out = []
             for at in range(0, len(chunks), 2000):
-                found = tool.encode_batch_fast(chunks[at : at + 2000], add_special_tokens=False)
-                out += [np.array(x.ids, dtype="<u2").tobytes() for x in found]
+                some = chunks[at : at + 2000]
+                other = [c for c in some if not is_word(c)]
+                found = iter(tool.encode_batch_fast(other, add_special_tokens=False))
+                for c in some:
+                    if is_word(c):  # one pre-token: straight to the library's merges
+                        ids = [x.id for x in merge(as_letters(c.encode() if spaced else c.strip(" ").lower().encode()))]
+                    else:
+                        ids = next(found).ids
+                    out.append(pack(f"<{len(ids)}H", *ids))
             return out
 
-        spaced = "ByteLevel" in str(tool.pre_tokenizer) and tool.normalizer is None
         _ENCODERS[path] = Pieces(fill, b"".join, lambda text: fill([text])[0], spaced)
     return _ENCODERS[path]
 
