@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import chat, id_files, packing, quality_rules
+from tallyhouse.llm import chat, id_files, jaccard, packing, quality_rules
 from tallyhouse.llm.base import table
 from tallyhouse.llm.token_counts import count_tokens
 
@@ -58,3 +58,8 @@ FROM t GROUP BY conv_id"""
 @query
 def op9_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), "word_bpe_49k.json", end_id=2)
+
+
+@query
+def op5_jaccard_components(spark, folder):
+    return jaccard.similar_components(table(spark, folder, "documents"))
