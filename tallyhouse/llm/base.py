@@ -42,6 +42,16 @@ def remainder(key: str, of: int) -> Column:
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % of
 
 
+def hash_sample(df: DataFrame, columns: list[str], rows: int, seed: int) -> DataFrame:
+    """About ``rows`` rows, those with the smallest hash of ``columns`` in the whole table, never more.
+
+    Only hashes are sorted; the rows themselves are read again and filtered, so no task receives more than the sample.
+    """
+    mark = F.xxhash64(F.lit(seed), *columns)
+    last = df.select(mark.alias("h")).orderBy("h").limit(rows).agg(F.max("h")).first()[0]
+    return df.where(mark <= (-(1 << 63) if last is None else last)).limit(rows)
+
+
 def batches(
     convert: Callable[[pa.RecordBatch], pa.RecordBatch | None],
 ) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import tokens
+from tallyhouse.llm.base import hash_sample
 from tallyhouse.session import workspace
 
 MAGIC = b"IDZ1"
@@ -47,7 +48,7 @@ def dictionary_hash(dictionary: bytes) -> bytes:
 def train_dictionary(docs: DataFrame, vocabulary: str, key: str, text: str) -> bytes:
     """A zstandard dictionary from the serialised ids of a bounded sample; empty where the sample is too small for one."""
     small = docs.where(F.octet_length(text) <= SAMPLE_TEXT_BYTES)
-    picked = small.select(text).orderBy(F.xxhash64(F.lit(7), key), text).limit(SAMPLE_DOCS).collect()
+    picked = sorted(hash_sample(small.select(key, text), [key, text], SAMPLE_DOCS, seed=7).select(text).collect())
     encode = tokens.encoder(tokens.vocabulary_file(vocabulary))
     samples = [s for s in encode([row[0] for row in picked]) if s]
     if len(samples) < 8:

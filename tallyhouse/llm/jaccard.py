@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.base import WordHashes, mix, stage, windows
+from tallyhouse.llm.base import WordHashes, hash_sample, mix, stage, windows
 from tallyhouse.llm.components import components
 
 #: Documents (hash sample over the whole table) that tell frequent shingles, and the share of them that makes one frequent.
@@ -127,7 +127,7 @@ def _identify(docs: DataFrame, key: str, text: str) -> DataFrame:
 def _frequent(docs: DataFrame, text: str, threshold: float) -> np.ndarray:
     """Shingles in a larger share than ``FREQUENT`` of a bounded sample of documents. At most ``1 / FREQUENT`` times the longest text."""
     t = F.col(text).cast("binary").alias("t")
-    picked = docs.select(t).where("t is not null").orderBy(F.xxhash64(F.lit(3), "t")).limit(SAMPLE_DOCS)
+    picked = hash_sample(docs.select(t).where("t is not null"), ["t"], SAMPLE_DOCS, seed=3)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:

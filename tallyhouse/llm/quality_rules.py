@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.base import stage
+from tallyhouse.llm.base import hash_sample, stage
 
 #: White space of a text's words: space and the control characters 9 to 13.
 _GAP = r"[ \x09-\x0D]+"
@@ -125,7 +125,7 @@ def order_rules(rows: DataFrame, rules: Sequence[Rule], key: str, sample_rows: i
     Cost is the time to evaluate the rule alone over the sample, less that of reading it; the order only decides
     what is skipped, never the verdict. An empty table keeps the given order.
     """
-    sample = stage(rows.orderBy(F.xxhash64(F.lit(11), key)).limit(sample_rows), "rule-sample").coalesce(1)
+    sample = stage(hash_sample(rows, rows.columns, sample_rows, seed=11), "rule-sample").coalesce(1)
     shares = sample.agg(F.count(F.lit(1)).alias("n"), *[F.avg(F.coalesce(r.rejects, F.lit(False)).cast("int")).alias(r.name) for r in rules]).first()
     if not shares["n"]:
         return list(rules)

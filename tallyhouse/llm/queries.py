@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import chat, id_files, jaccard, packing, quality_rules
+from tallyhouse.llm import chat, decontamination, id_files, jaccard, packing, quality_rules
 from tallyhouse.llm.base import table
 from tallyhouse.llm.token_counts import count_tokens
 
@@ -63,3 +63,8 @@ def op9_packing(spark, folder):
 @query
 def op5_jaccard_components(spark, folder):
     return jaccard.similar_components(table(spark, folder, "documents"))
+
+
+@query
+def op10_decontamination(spark, folder):
+    return decontamination.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
