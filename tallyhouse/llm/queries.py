@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import chat, decontamination, id_files, jaccard, packing, quality_rules
+from tallyhouse.llm import chat, decontamination, id_files, jaccard, packing, quality_rules, warc
 from tallyhouse.llm.base import table
 from tallyhouse.llm.token_counts import count_tokens
 
@@ -68,3 +68,8 @@ def op5_jaccard_components(spark, folder):
 @query
 def op10_decontamination(spark, folder):
     return decontamination.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query
+def op8_warc(spark, folder):
+    return warc.read(spark, warc.write(table(spark, folder, "pages")))
