@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import chat, decontamination, id_files, jaccard, packing, quality_rules, warc
-from tallyhouse.llm.base import table
+from tallyhouse.llm import chat, decontamination, id_files, jaccard, packing, quality_rules, toxicity, warc
+from tallyhouse.llm.base import remainder, table
 from tallyhouse.llm.token_counts import count_tokens
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -73,3 +73,11 @@ def op10_decontamination(spark, folder):
 @query
 def op8_warc(spark, folder):
     return warc.read(spark, warc.write(table(spark, folder, "pages")))
+
+
+@query
+def op1_toxicity(spark, folder):
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    model = toxicity.fit(docs, labels, remainder("doc_id", 5) != 0)
+    found = toxicity.score(docs, model)
+    return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
