@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import chat, decontamination, id_files, jaccard, packing, quality_rules, toxicity, warc
+from tallyhouse.llm import chat, decontamination, id_files, jaccard, language_model, packing, quality_rules, toxicity, warc
 from tallyhouse.llm.base import remainder, table
 from tallyhouse.llm.token_counts import count_tokens
 
@@ -81,3 +81,10 @@ def op1_toxicity(spark, folder):
     model = toxicity.fit(docs, labels, remainder("doc_id", 5) != 0)
     found = toxicity.score(docs, model)
     return found.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
+@query
+def op7_language_model(spark, folder):
+    docs = table(spark, folder, "documents")
+    scored = language_model.train_and_score(docs, remainder("doc_id", 7) != 2)
+    return scored.withColumn("held_out", remainder("doc_id", 7) == 2)
