@@ -8,7 +8,22 @@ from __future__ import annotations
 
 import re
 
-from tallyhouse.functions.values import EMAIL_PATTERN, RETENTION_HOURS, TAGS, US_STATES
+# fixed values, stated a second time so that a slip in the library's own lists is found
+EMAIL_PATTERN = r"^[a-zA-Z0-9._%+-]+@[a-zA-Z0-9.-]+\.[a-zA-Z]{2,}$"
+RETENTION_HOURS = {"bronze": 7 * 24, "silver": 14 * 24, "gold": 30 * 24}
+US_STATES = (
+    "AL AK AZ AR CA CO CT DE FL GA HI ID IL IN IA KS KY LA ME MD MA MI MN MS MO MT NE NV NH NJ "
+    "NM NY NC ND OH OK OR PA RI SC SD TN TX UT VT VA WA WV WI WY"
+).split()
+TAGS = [
+    *[("gold", table, None, tag, value) for table, *values in (
+        ("customer_360", "customer", "high", "true"), ("daily_sales_summary", "sales", "medium", "false"),
+        ("product_performance", "product", "low", "false"), ("store_analytics", "store", "medium", "false"),
+    ) for tag, value in zip(("domain", "sensitivity", "pii"), values)],
+    *[("silver", "customers", column, tag, value) for column, kind in (
+        ("email", "email"), ("phone", "phone"), ("first_name", "name"), ("last_name", "name"),
+    ) for tag, value in (("pii", "true"), ("pii_type", kind))],
+]
 
 AS_OF = "DATE '2001-08-01'"
 STATES = "[" + ", ".join(f"'{s}'" for s in US_STATES) + "]"
@@ -41,7 +56,7 @@ def _fine_mean_2(x: str) -> str:
 CTES = {
     "b_transactions": f"""
         SELECT o_orderkey AS transaction_id,
-               CASE WHEN o_orderkey % 97 <> 0 THEN o_custkey END AS customer_id,
+               CASE WHEN o_orderkey % 97 <> 0 THEN o_custkey + CASE WHEN o_custkey % 19 = 0 THEN 1000000000000 ELSE 0 END END AS customer_id,
                CAST(o_orderkey % 100 AS INTEGER) AS store_id,
                CAST(o_orderdate AS DATE) AS transaction_date,
                CAST(o_orderdate AS TIMESTAMP) + to_hours(CAST(o_orderkey % 24 AS INTEGER)) AS transaction_timestamp,
@@ -55,13 +70,14 @@ CTES = {
                     WHEN o_orderpriority[1] = '4' THEN 'in_store' ELSE 'mobile_app' END AS channel,
                CAST(1 + o_orderkey % 7 AS INTEGER) AS num_items,
                strftime(o_orderdate, '%Y-%m') AS year_month
-        FROM orders WHERE o_custkey % 19 <> 0""",
+        FROM orders""",
     "b_lines": """
-        SELECT l_orderkey AS transaction_id, l_partkey AS product_id, CAST(l_quantity AS INTEGER) AS quantity,
+        SELECT l_orderkey + CASE WHEN l_orderkey % 23 = 0 THEN 1000000000000 ELSE 0 END AS transaction_id,
+               l_partkey + CASE WHEN l_partkey % 17 = 0 THEN 1000000000000 ELSE 0 END AS product_id, CAST(l_quantity AS INTEGER) AS quantity,
                CAST(p_retailprice AS DECIMAL(10,2)) AS unit_price,
                CAST(l_discount * 100 AS DECIMAL(5,2)) AS discount_percent,
                CAST(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(3,2))) AS DECIMAL(12,2)) AS line_total
-        FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_partkey % 17 <> 0""",
+        FROM lineitem JOIN part ON l_partkey = p_partkey""",
     "b_products": """
         SELECT product_id, product_sku, product_name, category, subcategory, brand, base_price,
                CAST(base_price * CAST(0.30 + 0.10 * (product_id % 5) AS DECIMAL(3,2)) AS DECIMAL(10,2)) AS cost_price, is_active
@@ -94,10 +110,10 @@ CTES = {
         SELECT product_id, warehouse_id, snapshot_date, quantity_on_hand,
                CAST((quantity_on_hand * 3) // 10 AS INTEGER) AS quantity_reserved,
                CAST(quantity_on_hand - (quantity_on_hand * 3) // 10 AS INTEGER) AS quantity_available, reorder_point
-        FROM (SELECT p_partkey AS product_id, r_regionkey AS warehouse_id, DATE '2001-07-30' + CAST(dn AS INTEGER) AS snapshot_date,
+        FROM (SELECT p_partkey + CASE WHEN p_partkey % 13 = 0 THEN 1000000000000 ELSE 0 END AS product_id, r_regionkey AS warehouse_id, DATE '2001-07-30' + CAST(dn AS INTEGER) AS snapshot_date,
                      CAST(CASE WHEN p_partkey % 11 = 0 THEN 0 ELSE (p_partkey * 31 + r_regionkey * 17 + dn * 7) % 1000 END AS INTEGER) AS quantity_on_hand,
                      CAST(20 + (p_partkey * 13 + r_regionkey) % 100 AS INTEGER) AS reorder_point
-              FROM part, region, range(3) days(dn) WHERE p_partkey % 13 <> 0)""",
+              FROM part, region, range(3) days(dn))""",
     "clicks": """
         SELECT 'evt_' || event_id AS event_id, 'sess_' || user_id || '_' || strftime(ts, '%Y%m%d') AS session_id,
                CASE WHEN event_id % 10 >= 3 THEN user_id END AS customer_id,
@@ -240,8 +256,8 @@ CTES = {
                        WHEN total_units_sold > 0 THEN 'Average' ELSE 'Underperformer' END AS performance_class
         FROM (SELECT *, CASE WHEN days_since_first_sale > 0 THEN CAST(total_units_sold AS DOUBLE) / days_since_first_sale ELSE 0 END AS sales_velocity,
                      CASE WHEN unique_customers > 0 THEN CAST(total_revenue AS DOUBLE) / unique_customers ELSE 0 END AS revenue_per_customer,
-                     CAST(row_number() OVER (PARTITION BY category ORDER BY total_revenue DESC NULLS LAST, product_id) AS INTEGER) AS category_revenue_rank,
-                     CAST(row_number() OVER (PARTITION BY category ORDER BY total_units_sold DESC NULLS LAST, product_id) AS INTEGER) AS category_units_rank
+                     row_number() OVER (PARTITION BY category ORDER BY total_revenue DESC NULLS LAST, product_id) AS category_revenue_rank,
+                     row_number() OVER (PARTITION BY category ORDER BY total_units_sold DESC NULLS LAST, product_id) AS category_units_rank
               FROM (SELECT p.* EXCLUDE (total_revenue, avg_selling_price, avg_discount_given, unique_transactions),
                            coalesce(total_units_sold, 0) AS total_units_sold, coalesce(a.total_revenue, 0) AS total_revenue,
                            a.avg_selling_price, avg_discount, times_purchased, a.unique_transactions,
@@ -259,8 +275,8 @@ CTES = {
     "g_stores": """
         SELECT *, CASE WHEN revenue_rank <= 50 THEN 'Top Performer' WHEN revenue_rank <= 200 THEN 'Above Average'
                        WHEN revenue_rank <= 350 THEN 'Average' ELSE 'Below Average' END AS performance_tier
-        FROM (SELECT *, CAST(row_number() OVER (ORDER BY total_revenue DESC NULLS LAST, store_id) AS INTEGER) AS revenue_rank,
-                     CAST(row_number() OVER (ORDER BY revenue_per_sqft DESC NULLS LAST, store_id) AS INTEGER) AS efficiency_rank
+        FROM (SELECT *, row_number() OVER (ORDER BY total_revenue DESC NULLS LAST, store_id) AS revenue_rank,
+                     row_number() OVER (ORDER BY revenue_per_sqft DESC NULLS LAST, store_id) AS efficiency_rank
               FROM (SELECT *, CASE WHEN square_footage > 0 THEN CAST(total_revenue AS DOUBLE) / square_footage ELSE 0 END AS revenue_per_sqft,
                            CASE WHEN square_footage > 0 THEN CAST(unique_customers AS DOUBLE) / square_footage ELSE 0 END AS customers_per_sqft,
                            CASE WHEN active_days > 0 THEN CAST(total_revenue AS DOUBLE) / active_days ELSE 0 END AS avg_daily_revenue,
@@ -292,7 +308,9 @@ CTES = {
         UNION ALL SELECT 'gold', 'daily_sales_summary', count(*) FROM g_daily
         UNION ALL SELECT 'gold', 'customer_360', count(*) FROM c360
         UNION ALL SELECT 'gold', 'product_performance', count(*) FROM g_products
-        UNION ALL SELECT 'gold', 'store_analytics', count(*) FROM g_stores""",
+        UNION ALL SELECT 'gold', 'store_analytics', count(*) FROM g_stores
+        UNION ALL SELECT 'gold', 'mv_executive_summary', count(*) FROM weekly
+        UNION ALL SELECT 'gold', 'mv_category_performance', count(*) FROM by_category""",
     "weekly": f"""
         SELECT CAST(date_trunc('week', transaction_date) AS DATE) AS week_start, CAST(sum(net_sales) AS DOUBLE) AS weekly_revenue,
                CAST(sum(transaction_count) AS BIGINT) AS weekly_transactions, CAST(sum(unique_customers) AS BIGINT) AS weekly_customers,
@@ -307,11 +325,12 @@ CTES = {
     "recent_before": f"""
         SELECT customer_id, count(*) AS purchases, CAST(sum(transaction_amount) AS DOUBLE) AS spend FROM s_transactions
         WHERE transaction_type = 'purchase' AND customer_id IS NOT NULL
-          AND transaction_date <= {AS_OF} - 45 AND transaction_date > {AS_OF} - 135 GROUP BY customer_id""",
+          AND transaction_date <= {AS_OF} - 45 GROUP BY customer_id""",
     "recent_now": f"""
         SELECT customer_id, count(*) AS purchases, CAST(sum(transaction_amount) AS DOUBLE) AS spend FROM s_transactions
         WHERE transaction_type = 'purchase' AND customer_id IS NOT NULL
-          AND transaction_date <= {AS_OF} AND transaction_date > {AS_OF} - 90 GROUP BY customer_id""",
+          AND transaction_date <= {AS_OF} AND customer_id NOT IN (SELECT customer_id FROM b_customers WHERE NOT is_active)
+        GROUP BY customer_id""",
     "per_minute": """
         SELECT time_bucket(INTERVAL 1 MINUTE, event_timestamp) + INTERVAL 1 MINUTE AS timestamp, count(*) AS events_per_minute,
                count(*) FILTER (event_type = 'checkout_complete') AS conversions
@@ -387,7 +406,7 @@ def _column_stats(table: str, columns: list[str]) -> str:
     return "\nUNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS null_count, CAST(min({c}) AS VARCHAR) AS min_value, "
         f"CAST(max({c}) AS VARCHAR) AS max_value, CAST(sum(length(CAST({c} AS VARCHAR))) AS DOUBLE) / count({c}) AS avg_length, "
-        f"max(length(CAST({c} AS VARCHAR))) AS max_length FROM {table}" for c in columns)
+        f"max(length(CAST({c} AS VARCHAR))) AS max_length, count(DISTINCT {c}) AS distinct_count, true AS approx_ok FROM {table}" for c in columns)
 
 
 def _z_key(columns: list[str], bits: int = 8) -> str:
@@ -519,7 +538,7 @@ _STATEMENTS = {
         epoch_us(TIMESTAMP '2024-01-31' - latest) / 3600000000.0::DOUBLE > 24 AS is_late FROM (
         SELECT 'bronze.transactions' AS table_name, max(transaction_timestamp) AS latest FROM b_transactions
         UNION ALL SELECT 'bronze.clickstream_events', max(event_timestamp) FROM clicks)""",
-    "column_stats": _column_stats("b_transactions", ["transaction_id", "customer_id", "store_id", "transaction_date", "transaction_type",
+    "column_stats": _column_stats("b_transactions", ["transaction_id", "customer_id", "store_id", "transaction_date", "transaction_timestamp", "transaction_type",
                                                      "payment_method", "channel", "num_items", "year_month"]),
     "dedup_latest": """SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey,
         l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus) = 1""",
@@ -546,7 +565,7 @@ _STATEMENTS = {
         CASE WHEN phone IS NOT NULL AND NOT regexp_full_match(phone, '[0-9]+')
              THEN '{"customer_id": ' || customer_id || ', "phone": ' || phone || '}' END AS rejected_line FROM b_customers""",
     "calendar_spine": f"""WITH x AS (SELECT transaction_date AS d, count(*) AS c, sum(transaction_amount) AS r FROM s_transactions
-            WHERE transaction_type = 'exchange' GROUP BY 1)
+            GROUP BY 1)
         SELECT CAST(day AS DATE) AS transaction_date, coalesce(c, 0) AS transaction_count, {_money('coalesce(r, 0)', 'revenue')}
         FROM (SELECT unnest(generate_series((SELECT min(d) FROM x), (SELECT max(d) FROM x), INTERVAL 1 DAY)) AS day) LEFT JOIN x ON d = CAST(day AS DATE)""",
     "inventory_grid": """SELECT p_partkey AS product_id, r_regionkey AS warehouse_id, day AS snapshot_date,
@@ -622,16 +641,20 @@ _STATEMENTS = {
         customer_segment, state AS customer_state, CAST(lifetime_value AS DOUBLE) AS lifetime_value FROM clicks k LEFT JOIN b_customers USING (customer_id)""",
     "session_metrics": """SELECT w AS window_start, w + INTERVAL 5 MINUTE AS window_end, device_type, referrer, count(*) AS event_count,
         count(*) FILTER (event_type = 'product_view') AS product_views, count(*) FILTER (event_type = 'add_to_cart') AS add_to_carts,
-        count(*) FILTER (event_type = 'checkout_complete') AS checkouts
+        count(*) FILTER (event_type = 'checkout_complete') AS checkouts, count(DISTINCT session_id) AS exact_sessions,
+        count(DISTINCT customer_id) AS exact_customers, true AS approx_ok
         FROM (SELECT *, unnest([time_bucket(INTERVAL 1 MINUTE, event_timestamp) - i * INTERVAL 1 MINUTE FOR i IN range(5)]) AS w FROM clicks) GROUP BY ALL""",
     "product_trending": """SELECT w AS window_start, w + INTERVAL 15 MINUTE AS window_end, product_id, count(*) AS total_events,
         count(*) FILTER (event_type = 'product_view') AS views, count(*) FILTER (event_type = 'add_to_cart') AS cart_adds,
         count(*) FILTER (event_type = 'checkout_complete') AS purchases,
         CAST(count(*) FILTER (event_type = 'product_view') + 3 * count(*) FILTER (event_type = 'add_to_cart')
-             + 10 * count(*) FILTER (event_type = 'checkout_complete') AS INTEGER) AS engagement_score
+             + 10 * count(*) FILTER (event_type = 'checkout_complete') AS INTEGER) AS engagement_score,
+        count(DISTINCT session_id) AS exact_viewers, true AS approx_ok
         FROM (SELECT *, unnest([time_bucket(INTERVAL 5 MINUTE, event_timestamp) - i * INTERVAL 5 MINUTE FOR i IN range(3)]) AS w
               FROM clicks WHERE product_id IS NOT NULL) GROUP BY ALL""",
-    "realtime_dashboard": "SELECT timestamp, events_per_minute, conversions FROM per_minute",
+    "realtime_dashboard": """SELECT timestamp, events_per_minute, conversions, exact_sessions, exact_customers, true AS approx_ok FROM per_minute
+        JOIN (SELECT time_bucket(INTERVAL 1 MINUTE, event_timestamp) + INTERVAL 1 MINUTE AS timestamp, count(DISTINCT session_id) AS exact_sessions,
+                     count(DISTINCT customer_id) AS exact_customers FROM clicks GROUP BY 1) USING (timestamp)""",
     "late_data_append": """SELECT w AS window_start, w + INTERVAL 1 HOUR AS window_end, count(*) AS event_count
         FROM (SELECT time_bucket(INTERVAL 1 HOUR, event_timestamp) AS w FROM clicks) GROUP BY w
         HAVING w + INTERVAL 1 HOUR <= (SELECT max(event_timestamp) FROM clicks) - INTERVAL 1 HOUR""",

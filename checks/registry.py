@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,6 +37,22 @@ def comparable(df: DataFrame) -> DataFrame:
     ])
 
 
+def _close(approximate: str, exact: str) -> Column:
+    """Whether an approximate count lies within a fifth of the exact one, or one off."""
+    return F.abs(F.col(approximate) - F.col(exact)) <= F.greatest(F.lit(1.0), F.col(exact) * 0.2)
+
+
+def _checked(found: DataFrame, events: DataFrame, keys: list[str], counts: dict[str, tuple[str, str]]) -> DataFrame:
+    """Replace approximate counts (name: exact name, column counted) by the exact ones and ``approx_ok``."""
+    exact = events.groupBy(*keys).agg(*[F.count_distinct(c).alias(e) for e, c in counts.values()])
+    both = found.join(exact, keys)
+    near = [_close(a, e) for a, (e, _) in counts.items()]
+    ok = near[0]
+    for n in near[1:]:
+        ok = ok & n
+    return both.withColumn("approx_ok", ok).drop(*counts)
+
+
 def query(build: Callable[[Lake], DataFrame]) -> Callable[[Lake], DataFrame]:
     """Register a function of the lake under its own name."""
 
@@ -65,12 +81,6 @@ def _all_tables(lake: Lake) -> dict[str, DataFrame]:
     return {**{f"bronze.{n}": df for n, df in lake.bronze.items()}, **lake.tables()}
 
 
-def _shop_tables(lake: Lake) -> dict[str, DataFrame]:
-    """Layer tables whose figures do not depend on one another's cost: counted in reports."""
-    skip = {"gold.mv_executive_summary", "gold.mv_category_performance"}
-    return {n: df for n, df in _all_tables(lake).items() if n not in skip}
-
-
 # --- silver ---------------------------------------------------------------------------------------
 
 @query
@@ -352,9 +362,13 @@ def dq_timeliness(spark, folder):
 
 @query
 def column_stats(lake):
-    return quality.column_stats(
-        lake.bronze["transactions"].drop("transaction_timestamp"), approximate=False
-    )
+    """Exact distinct counts beside the approximate ones, which must lie within a fifth of them."""
+    df = lake.bronze["transactions"]
+    stats, exact = quality.column_stats(df), None
+    for name in df.columns:
+        part = df.select(name).distinct().agg(F.count(name).alias("distinct_count")).select(F.lit(name).alias("column_name"), "distinct_count")
+        exact = part if exact is None else exact.unionByName(part)
+    return stats.join(exact, "column_name").withColumn("approx_ok", _close("approx_distinct", "distinct_count")).drop("approx_distinct")
 
 
 @raw_query
@@ -369,12 +383,12 @@ def dedup_latest(spark, folder):
 
 @query
 def layer_row_counts(lake):
-    return reports.layer_row_counts(_shop_tables(lake))
+    return reports.layer_row_counts(_all_tables(lake))
 
 
 @query
 def catalog_counts(lake):
-    return reports.catalog_counts(_shop_tables(lake))
+    return reports.catalog_counts(_all_tables(lake))
 
 
 @raw_query
@@ -466,8 +480,7 @@ def schema_validate(lake):
 
 @query
 def calendar_spine(lake):
-    df = lake.transactions.where("transaction_type = 'exchange'")
-    return grid.calendar_spine(df, "transaction_date", {
+    return grid.calendar_spine(lake.transactions, "transaction_date", {
         "transaction_count": F.count(F.lit(1)), "revenue": F.sum("transaction_amount"),
     })
 
@@ -623,20 +636,19 @@ def tag_summary(lake):
 
 @query
 def encrypt_columns(lake):
-    """Contact data encrypted, decrypted again, and as pseudonyms."""
+    """Contact data encrypted, decrypted again, and as pseudonyms. The key comes as a column of a one-row table, not as a literal."""
     df = lake.customers.select("customer_id", "email", "phone", governance.pseudonym(F.col("email"), SALT).alias("email_pseudonym"))
-    closed = governance.encrypt_columns(df, ["email", "phone"], KEY)
-    opened = governance.decrypt_columns(closed, ["email", "phone"], KEY)
+    key = df.sparkSession.createDataFrame([(KEY,)], "key string").select("key").scalar()
+    closed = governance.encrypt_columns(df, ["email", "phone"], key)
+    opened = governance.decrypt_columns(closed, ["email", "phone"], key)
     return opened
 
 
 # --- changes --------------------------------------------------------------------------------------
 
 def _active(lake, until: dt.date) -> DataFrame:
-    """Customers who bought in the 90 days up to a date, with what they spent: a table as of that date."""
-    recent = lake.transactions.where(gold.PURCHASE).where("customer_id IS NOT NULL").where(
-        (F.col("transaction_date") <= F.lit(until)) & (F.col("transaction_date") > F.lit(until - dt.timedelta(days=90)))
-    )
+    """Customers who bought up to a date, with what they spent: a table as of that date."""
+    recent = lake.transactions.where(gold.PURCHASE).where("customer_id IS NOT NULL").where(F.col("transaction_date") <= F.lit(until))
     return recent.groupBy("customer_id").agg(
         F.count(F.lit(1)).alias("purchases"), F.sum("transaction_amount").cast("decimal(18,2)").alias("spend")
     )
@@ -645,14 +657,19 @@ def _active(lake, until: dt.date) -> DataFrame:
 EARLIER = AS_OF - dt.timedelta(days=45)
 
 
+def _remaining(lake) -> DataFrame:
+    """The table as of today, without customers that have left."""
+    return _active(lake, AS_OF).join(lake.bronze["customers"].where("NOT is_active").select("customer_id"), "customer_id", "left_anti")
+
+
 @query
 def merge_upsert(lake):
-    return changes.merge_upsert(_active(lake, EARLIER), _active(lake, AS_OF), ["customer_id"])
+    return changes.merge_upsert(_active(lake, EARLIER), _remaining(lake), ["customer_id"])
 
 
 @query
 def change_feed(lake):
-    return changes.change_feed(_active(lake, EARLIER), _active(lake, AS_OF), ["customer_id"])
+    return changes.change_feed(_active(lake, EARLIER), _remaining(lake), ["customer_id"])
 
 
 @query
@@ -728,6 +745,11 @@ def _events(spark, folder) -> DataFrame:
     return feed.shape_events(R.read_events(spark, folder))
 
 
+def _windowed(events: DataFrame, size: str, slide: str) -> DataFrame:
+    w = F.window(K.TIME, size, slide)
+    return events.withColumn("_w", w).withColumns({"window_start": F.col("_w.start"), "window_end": F.col("_w.end")})
+
+
 @raw_query
 def clickstream_bronze(spark, folder):
     return R.drain_append(K.bronze(_events(spark, folder)), ["event_date", "event_hour"], "clickstream_bronze")
@@ -741,19 +763,25 @@ def clickstream_enriched(spark, folder):
 
 @raw_query
 def session_metrics(spark, folder):
-    """Exact columns; the approximate ones are checked by tolerance in the tests."""
-    return R.drain_complete(K.session_metrics(_events(spark, folder)), "session_metrics").drop(
-        "unique_sessions", "unique_customers", "conversion_rate")
+    """The conversion rate follows from two other columns; approximate counts are held against exact ones."""
+    found = R.drain_complete(K.session_metrics(_events(spark, folder)), "session_metrics").drop("conversion_rate")
+    events = _windowed(feed.clickstream(spark, folder), "5 minutes", "1 minute")
+    return _checked(found, events, ["window_start", "window_end", "device_type", "referrer"],
+                    {"unique_sessions": ("exact_sessions", "session_id"), "unique_customers": ("exact_customers", "customer_id")})
 
 
 @raw_query
 def product_trending(spark, folder):
-    return R.drain_complete(K.product_trending(_events(spark, folder)), "product_trending").drop("unique_viewers")
+    found = R.drain_complete(K.product_trending(_events(spark, folder)), "product_trending")
+    events = _windowed(feed.clickstream(spark, folder).where("product_id IS NOT NULL"), "15 minutes", "5 minutes")
+    return _checked(found, events, ["window_start", "window_end", "product_id"], {"unique_viewers": ("exact_viewers", "session_id")})
 
 
 @raw_query
 def realtime_dashboard(spark, folder):
-    return R.drain_complete(K.realtime_dashboard(_events(spark, folder)), "realtime_dashboard").drop("active_sessions", "active_customers")
+    found = R.drain_complete(K.realtime_dashboard(_events(spark, folder)), "realtime_dashboard")
+    events = _windowed(feed.clickstream(spark, folder), "1 minute", "1 minute").withColumnRenamed("window_end", "timestamp")
+    return _checked(found, events, ["timestamp"], {"active_sessions": ("exact_sessions", "session_id"), "active_customers": ("exact_customers", "customer_id")})
 
 
 @raw_query

@@ -1,4 +1,4 @@
-"""Which items occur together: exact pair support without enumerating the pairs of huge baskets."""
+"""Which items occur together: exact pair support, with large baskets split over many tasks."""
 
 from __future__ import annotations
 
@@ -6,77 +6,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def pair_support(
-    baskets: DataFrame, min_support: int, heavy_size: int = 500, blocks: int = 32
-) -> DataFrame:
+def pair_support(baskets: DataFrame, min_support: int, items_per_block: int = 256) -> DataFrame:
     """Pairs ``(item_a, item_b, support)`` with ``item_a < item_b`` found in ``min_support`` baskets or more.
 
     ``baskets`` holds distinct ``(basket, item)`` rows, best without items that occur in fewer than ``min_support``
     baskets: those cannot be in a result pair.
 
-    Baskets up to ``heavy_size`` items are self-joined: a row meets at most ``heavy_size`` others. Larger
-    ones never are. An item pair gains support from them in one of two ways:
-
-    * both items occur in ``min_support`` large baskets or more: such pairs are counted over item blocks,
-      each basket split into ``blocks * (blocks + 1) / 2`` block pairs;
-    * otherwise the pair must already have been seen in small baskets, and the rarer item
-      occurs in fewer than ``min_support`` large ones: those few baskets are looked up, and only if
-      the bound ``support so far + large baskets of the rarer item`` can still reach ``min_support``.
+    Every basket is cut into blocks of about ``items_per_block`` items by a hash of the item; an ordinary basket has one. A row
+    goes once to each pair of blocks that holds its own, and pairs are formed inside a pair of blocks only, so no task
+    meets more than two blocks of a basket at once. Each pair of items of a basket is met exactly once: support is a count of such
+    meetings, and counting them is the work this operator has to do, in proportion to the pairs that the baskets hold.
     """
-    sizes = baskets.groupBy("basket").agg(F.count(F.lit(1)).alias("n"))
-    heavy = sizes.where(F.col("n") > heavy_size).select("basket")
-    if heavy.isEmpty():
-        return _self_join(baskets, ["basket"]).where(F.col("support") >= min_support)
-
-    light_pairs = _self_join(baskets.join(heavy, "basket", "left_anti"), ["basket"])
-    large = baskets.join(heavy, "basket", "left_semi")
-    in_large = large.groupBy("item").agg(F.count(F.lit(1)).alias("h"))
-
-    frequent = in_large.where(F.col("h") >= min_support).select("item")
-    block = F.pmod(F.xxhash64("item"), F.lit(blocks)).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    blocked = (
-        large.join(frequent, "item", "left_semi")
-        .withColumn("block", block)
-        .withColumn("other", other)
-        .select("basket", "item", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
-    )
-    from_blocks = _self_join(
-        blocked, ["basket", "lo", "hi"], (F.col("lo") == F.col("hi")) | (F.col("a.block") != F.col("b.block"))
-    )
-
-    ha, hb = F.coalesce("ha", F.lit(0)), F.coalesce("hb", F.lit(0))
-    open_pairs = (
-        light_pairs.join(in_large.select(F.col("item").alias("item_a"), F.col("h").alias("ha")), "item_a", "left")
-        .join(in_large.select(F.col("item").alias("item_b"), F.col("h").alias("hb")), "item_b", "left")
-        .where((F.least(ha, hb) > 0) & (F.least(ha, hb) < min_support))
-        .where(F.col("support") + F.least(ha, hb) >= min_support)
-        .select(
-            "item_a",
-            "item_b",
-            F.when(ha <= hb, F.col("item_a")).otherwise(F.col("item_b")).alias("rare"),
-            F.when(ha <= hb, F.col("item_b")).otherwise(F.col("item_a")).alias("common"),
-        )
-    )
-    found = (
-        open_pairs.join(large.withColumnRenamed("item", "rare"), "rare")
-        .join(large.withColumnRenamed("item", "common"), ["basket", "common"], "left_semi")
-        .groupBy("item_a", "item_b")
-        .agg(F.count(F.lit(1)).alias("support"))
-    )
-    return (
-        light_pairs.unionByName(from_blocks).unionByName(found)
-        .groupBy("item_a", "item_b")
-        .agg(F.sum("support").alias("support"))
-        .where(F.col("support") >= min_support)
-    )
-
-
-def _self_join(rows: DataFrame, keys: list[str], extra=None) -> DataFrame:
-    on = F.col("a.item") < F.col("b.item")
-    pairs = rows.alias("a").join(rows.alias("b"), keys).where(on)
-    if extra is not None:
-        pairs = pairs.where(extra)
-    return pairs.groupBy(F.col("a.item").alias("item_a"), F.col("b.item").alias("item_b")).agg(
-        F.count(F.lit(1)).alias("support")
-    )
+    sizes = baskets.groupBy("basket").agg(F.ceil(F.count(F.lit(1)) / items_per_block).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int")
+    rows = baskets.join(sizes, "basket").withColumn("block", block)
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    rows = rows.select("basket", "item", "block", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"))
+    met = rows.alias("a").join(rows.alias("b"), ["basket", "lo", "hi"]).where(F.col("a.item") < F.col("b.item"))
+    met = met.where((F.col("lo") == F.col("hi")) | (F.col("a.block") != F.col("b.block")))
+    pairs = met.groupBy(F.col("a.item").alias("item_a"), F.col("b.item").alias("item_b"))
+    return pairs.agg(F.count(F.lit(1)).alias("support")).where(F.col("support") >= min_support)

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyhouse.operators.ranking import first_per_key
 from tallyhouse.operators.skew import spread_join
@@ -18,26 +19,38 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], latest: Sequence[Column]) -
 
 
 def merge_upsert(base: DataFrame, updates: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Rows of ``base`` replaced by those of ``updates`` with the same key, new keys added.
+    """Rows of ``base`` replaced by those of ``updates`` with the same key, new keys added. NULL keys equal one another.
 
-    A key that occurs twice in ``updates`` has no defined result and is refused.
+    A key that occurs twice in ``updates`` has no defined result and is refused at once; that check reads the key columns only.
     """
-    repeated = updates.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
-    if not repeated.isEmpty():
+    once = updates.select(*[F.col(k).alias(f"_u_{k}") for k in keys])
+    if not once.groupBy(*once.columns).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).isEmpty():
         raise ValueError(f"merge source holds more than one row for a key of {list(keys)}")
-    kept = base.join(updates.select(*keys), list(keys), "left_anti")
+    kept = base.join(once, [F.col(k).eqNullSafe(F.col(f"_u_{k}")) for k in keys], "left_anti")
     return kept.unionByName(updates, allowMissingColumns=True)
 
 
 def change_feed(old: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Changes that turn ``old`` into ``new``: insert, delete, update_preimage and update_postimage rows.
 
-    One full outer join on the key (unique on both sides); rows are compared null-safe.
+    Rows are compared null-safe over the columns of both tables; one that a table lacks is NULL there. Each key, NULL
+    included, occurs once on either side: the query fails on a repeated one. Both sides are brought together by one
+    aggregation on the key, two rows per key, so it shuffles once.
     """
-    columns = old.columns
-    before = old.select(*[F.col(k).alias(f"_o_{k}") for k in keys], F.struct(*columns).alias("_old"))
-    after = new.select(*[F.col(k).alias(f"_n_{k}") for k in keys], F.struct(*columns).alias("_new"))
-    both = before.join(after, [F.col(f"_o_{k}").eqNullSafe(F.col(f"_n_{k}")) for k in keys], "full_outer")
+    kinds = {**{f.name: f.dataType for f in old.schema.fields}, **{f.name: f.dataType for f in new.schema.fields}}
+    columns = list(kinds)
+
+    def side(df: DataFrame, mine: str, other: str) -> DataFrame:
+        row = F.struct(*[(F.col(f"`{c}`") if c in df.columns else F.lit(None)).cast(kinds[c]).alias(c) for c in columns])
+        return df.select(*[F.col(k).alias(f"_k_{k}") for k in keys], row.alias(mine), F.lit(None).cast(T.StructType([T.StructField(c, kinds[c]) for c in columns])).alias(other))
+
+    union = side(old, "_old", "_new").unionByName(side(new, "_new", "_old"))
+    both = union.groupBy(*[f"_k_{k}" for k in keys]).agg(
+        F.count("_old").alias("_a"), F.count("_new").alias("_b"), F.first("_old", ignorenulls=True).alias("_old"), F.first("_new", ignorenulls=True).alias("_new")
+    )
+    both = both.where(
+        F.when(F.greatest("_a", "_b") == 1, F.lit(True)).otherwise(F.raise_error(F.lit(f"more than one row for a key of {list(keys)}")).cast("boolean"))
+    )
 
     def image(row: str, kind: str) -> Column:
         return F.struct(F.lit(kind).alias("change_type"), F.col(row).alias("row"))

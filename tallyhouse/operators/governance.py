@@ -110,11 +110,15 @@ def pseudonym(value: Column, salt: str) -> Column:
     return F.sha2(F.concat(F.lit(salt), value.cast("string")), 256)
 
 
-def encrypt_columns(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
-    """Replace columns by base64 text of their AES-GCM cipher; ``key`` has 16, 24 or 32 characters."""
-    return df.withColumns({c: F.base64(F.aes_encrypt(F.col(c).cast("string"), F.lit(key))) for c in columns})
+def encrypt_columns(df: DataFrame, columns: Sequence[str], key: Column) -> DataFrame:
+    """Replace columns by base64 text of their AES-GCM cipher; ``key`` has 16, 24 or 32 characters.
 
+    The key comes as a scalar subquery over a one-row table (``secrets.select("key").scalar()``), so neither plan, event log
+    nor UI shows it; a literal would.
+    """
+    return df.withColumns({c: F.base64(F.aes_encrypt(F.col(c).cast("string"), key)) for c in columns})
 
-def decrypt_columns(df: DataFrame, columns: Sequence[str], key: str) -> DataFrame:
+
+def decrypt_columns(df: DataFrame, columns: Sequence[str], key: Column) -> DataFrame:
     """Undo :func:`encrypt_columns`; values come back as text."""
-    return df.withColumns({c: F.aes_decrypt(F.unbase64(c), F.lit(key)).cast("string") for c in columns})
+    return df.withColumns({c: F.aes_decrypt(F.unbase64(c), key).cast("string") for c in columns})

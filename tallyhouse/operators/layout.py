@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -10,16 +11,25 @@ from pyspark.sql import types as T
 
 
 def ordinal(df: DataFrame, name: str) -> Column:
-    """Whole number that orders like the column: numbers and dates directly, text by its first six bytes."""
+    """Whole number that orders like the column: whole numbers and dates directly, decimals in their smallest unit, other
+    fractions in millionths, text by the six bytes after what all its values have in common at their start."""
     kind = df.schema[name].dataType
     c = F.col(name)
     if isinstance(kind, T.StringType):
-        return F.conv(F.rpad(F.hex(F.substring(c.cast("binary"), 1, 6)), 12, "0"), 16, 10).cast("bigint")
+        low, high = df.agg(F.min(c), F.max(c)).first()
+        low, high = (low or "").encode(), (high or "").encode()
+        common = len(os.path.commonprefix([low, high]))  # of the extremes, so of all values between them
+        tail = F.substring(c.cast("binary"), common + 1, 6)
+        return F.conv(F.rpad(F.hex(tail), 12, "0"), 16, 10).cast("bigint")
     if isinstance(kind, T.DateType):
         return F.unix_date(c).cast("bigint")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return F.unix_micros(c.cast("timestamp"))
-    return F.floor(c).cast("bigint")
+    if isinstance(kind, T.DecimalType):
+        return F.floor(c * 10**kind.scale).cast("decimal(38,0)")
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.floor(c.cast("double") * 1e6).cast("decimal(38,0)")
+    return c.cast("bigint")
 
 
 def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 8, name: str = "z_key") -> DataFrame:
@@ -35,8 +45,8 @@ def zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 8, name: str =
         low, high = ranges[f"lo{j}"], ranges[f"hi{j}"]
         if low is None:
             continue
-        scaled = (ordinal(df, c) - F.lit(low)).cast("decimal(20,0)") * F.lit(1 << bits)
-        width = F.lit(high - low + 1).cast("decimal(20,0)")
+        scaled = (ordinal(df, c) - F.lit(low)).cast("decimal(28,0)") * F.lit(1 << bits)
+        width = F.lit(high - low + 1).cast("decimal(28,0)")
         bucket = F.coalesce(F.call_function("div", scaled, width), F.lit(0).cast("bigint"))
         for i in range(bits):
             bit = F.shiftright(bucket, i).bitwiseAND(F.lit(1).cast("bigint"))

@@ -21,63 +21,26 @@ def first_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column]
 
 
 def ranked(
-    df: DataFrame,
-    name: str,
-    value: str,
-    unique_key: str,
-    partition_by: Sequence[str] = (),
-    *,
-    ascending: bool = False,
-    at_most_rows: int | None = None,
-    small_rows: int = 1_000_000,
-    ranges: int = 256,
+    df: DataFrame, name: str, value: str, unique_key: str, partition_by: Sequence[str] = (), *, ascending: bool = False
 ) -> DataFrame:
-    """Add ``row_number`` ordered by ``value`` (NULLs last), ties by ``unique_key``.
+    """Add ``name``, the row number (long) ordered by ``value`` (NULLs last), ties by ``unique_key``.
 
-    Up to ``small_rows`` rows a plain window does it: no group can exceed that. Beyond, the rows are
-    written once to the shared working folder, the order is cut into about ``ranges`` ranges at
-    fixed split points, rows are numbered inside each (group, range) in parallel, and the sizes of the
-    ranges before it give each range its offset. Split points only decide how work is divided;
-    the numbers are the same either way. ``at_most_rows`` is an upper bound of the row count the
-    caller knows (say, of the dimension table below the joins); without it the rows are counted.
+    Spark deals the rows out in ranges of (groups, value, key), as many as there are shuffle partitions, and they are
+    written once to the shared working folder with the number of their range. Rows are numbered inside each (group, range)
+    in parallel; the sizes of the ranges before it give each range its offset. Where the ranges are cut only decides how
+    work is divided. No group, however large, has to fit one task.
     """
-    sort_value = F.col(value) if ascending else -F.col(value)
-    order = [F.col(value).isNull().cast("int"), sort_value, F.col(unique_key)]
-    groups = list(partition_by)
-    rows = df.count() if at_most_rows is None else at_most_rows
-    if rows <= small_rows:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*groups).orderBy(*order)))
-
-    spark = df.sparkSession
-    staged = workspace(spark, "ranking")
-    df.write.parquet(staged)
-    df = spark.read.schema(df.schema).parquet(staged)
-    rows = df.count()
-    position = F.struct(*[F.col(g) for g in groups], *[c.alias(f"k{i}") for i, c in enumerate(order)])
-    splits = _split_points(df.select(position.alias("p"), F.col(unique_key).alias("u")), rows, ranges)
-    ranged = df.withColumn("_p", position).withColumn("_range", F.lit(0))
-    if splits:
-        bounds = F.array(*splits).cast(f"array<{ranged.schema['_p'].dataType.simpleString()}>")
-        ranged = ranged.withColumn("_range", F.size(F.filter(bounds, lambda b: b <= F.col("_p"))))
+    value_order = F.col(value).asc_nulls_last() if ascending else F.col(value).desc_nulls_last()
+    order, groups = [value_order, F.col(unique_key)], list(partition_by)
+    spark, staged = df.sparkSession, workspace(df.sparkSession, "ranking")
+    dealt = df.repartitionByRange(*groups, *order).withColumn("_range", F.spark_partition_id())
+    dealt.write.parquet(staged)
+    ranged = spark.read.schema(dealt.schema).parquet(staged)
     sizes = ranged.groupBy(*groups, "_range").agg(F.count(F.lit(1)).alias("_size"))
     before = Window.partitionBy(*groups).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(*groups, "_range", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"))
     local = Window.partitionBy(*groups, "_range").orderBy(*order)
     numbered = ranged.withColumn("_local", F.row_number().over(local))
-    if groups:
-        same = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in [*groups, "_range"]]
-    else:
-        same = [F.col("n._range") == F.col("o._range")]
+    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in [*groups, "_range"]]
     joined = numbered.alias("n").join(offsets.alias("o"), same)
-    return joined.select(
-        *[F.col(f"n.{c}") for c in df.columns],
-        (F.col("n._local") + F.col("o._offset")).cast("int").alias(name),
-    )
-
-
-def _split_points(keys: DataFrame, rows: int, ranges: int, per_range: int = 20) -> list[Column]:
-    """Literal split points from a hash sample of about ``ranges * per_range`` positions."""
-    every = max(1, rows // (ranges * per_range))
-    sample = keys.where(F.pmod(F.xxhash64("u"), F.lit(every)) == 0).select("p").orderBy("p").collect()
-    picked = sample[per_range::per_range]
-    return [F.struct(*[F.lit(v).alias(f"c{i}") for i, v in enumerate(row["p"])]) for row in picked]
+    return joined.select(*[F.col(f"n.{c}") for c in df.columns], (F.col("n._local") + F.col("o._offset")).alias(name))

@@ -61,7 +61,7 @@ def run_sla_report(runs: DataFrame, sla_seconds: float) -> DataFrame:
     return runs.withColumn("duration_seconds", seconds).withColumn("sla_breach", F.col("duration_seconds") > sla_seconds)
 
 
-def latency_summary(timings: DataFrame, share: tuple[int, int] = (95, 100), **rank_options) -> DataFrame:
+def latency_summary(timings: DataFrame, share: tuple[int, int] = (95, 100)) -> DataFrame:
     """Average, minimum, maximum and 95th percentile of ``elapsed`` per ``query``.
 
     The percentile is the value at index ``floor(n * share)`` of the sorted list. ``timings`` has a unique ``id``.
@@ -74,7 +74,7 @@ def latency_summary(timings: DataFrame, share: tuple[int, int] = (95, 100), **ra
         F.max("elapsed").alias("max_elapsed"),
     )
     positions = ranked(
-        timings.select("id", "query", "elapsed"), "position", "elapsed", "id", ["query"], ascending=True, **rank_options
+        timings.select("id", "query", "elapsed"), "position", "elapsed", "id", ["query"], ascending=True
     )
     index = F.floor(F.col("runs") * F.lit(share[0]) / F.lit(share[1])) + 1
     at = positions.join(stats.select("query", index.alias("index")), "query").where("position = index")

@@ -94,7 +94,7 @@ def cohort_retention(transactions: DataFrame, as_of: dt.date, days: int = 365, m
 
 
 def market_basket(
-    line_items: DataFrame, products: DataFrame, min_support: int = 100, limit: int | None = 50, heavy_size: int = 500
+    line_items: DataFrame, products: DataFrame, min_support: int = 100, limit: int | None = 50
 ) -> DataFrame:
     """Products bought together in ``min_support`` transactions or more, by descending lift.
 
@@ -116,7 +116,7 @@ def market_basket(
     counts.write.parquet(f"{staged}/counts")
     counts = spark.read.schema(counts.schema).parquet(f"{staged}/counts")
     baskets = rows.join(counts, "item", "left_semi")
-    pairs = pair_support(baskets, min_support, heavy_size)
+    pairs = pair_support(baskets, min_support)
 
     na, nb, co = F.col("product_a_count"), F.col("product_b_count"), F.col("co_occurrence_count")
     scored = (

@@ -177,12 +177,8 @@ def product_performance_agg(line_items: DataFrame, transactions: DataFrame) -> D
 
 def product_performance(
     products: DataFrame, line_items: DataFrame, transactions: DataFrame, as_of: dt.date,
-    at_most_rows: int | None = None, **rank_options,
 ) -> DataFrame:
-    """Products with their sales, velocity, ranks within the category and performance class.
-
-    ``at_most_rows`` bounds the number of products (see :func:`tallyhouse.operators.ranking.ranked`).
-    """
+    """Products with their sales, velocity, ranks within the category and performance class."""
     catalogue = products.drop("total_revenue", "avg_selling_price", "avg_discount_given", "unique_transactions")
     joined = catalogue.join(product_performance_agg(line_items, transactions), "product_id", "left").na.fill(
         0, ["total_units_sold", "total_revenue", "unique_customers"]
@@ -191,9 +187,8 @@ def product_performance(
         "revenue_per_customer": per(F.col("total_revenue"), F.col("unique_customers")),
         "days_since_first_sale": F.datediff(F.lit(as_of), "first_sale_date"),
     }).withColumn("sales_velocity", per(F.col("total_units_sold"), F.col("days_since_first_sale")))
-    bound = {"at_most_rows": at_most_rows, **rank_options}
-    by_revenue = ranked(measured, "category_revenue_rank", "total_revenue", "product_id", ["category"], **bound)
-    both = ranked(by_revenue, "category_units_rank", "total_units_sold", "product_id", ["category"], **bound)
+    by_revenue = ranked(measured, "category_revenue_rank", "total_revenue", "product_id", ["category"])
+    both = ranked(by_revenue, "category_units_rank", "total_units_sold", "product_id", ["category"])
     rank = F.col("category_revenue_rank")
     return both.withColumn(
         "performance_class",
@@ -221,7 +216,7 @@ def store_metrics(transactions: DataFrame) -> DataFrame:
 
 
 def store_analytics(
-    stores: DataFrame, transactions: DataFrame, at_most_rows: int | None = None, **rank_options
+    stores: DataFrame, transactions: DataFrame
 ) -> DataFrame:
     """Stores with trade figures per area and day, two ranks and a performance tier."""
     joined = stores.join(store_metrics(transactions), "store_id", "left").na.fill(
@@ -234,9 +229,8 @@ def store_analytics(
         "avg_daily_revenue": per(revenue, F.col("active_days")),
         "weekend_ratio": F.when(trades > 0, F.col("weekend_transactions") * F.lit(100.0) / trades).otherwise(F.lit(0.0)),
     })
-    bound = {"at_most_rows": at_most_rows, **rank_options}
-    by_revenue = ranked(measured, "revenue_rank", "total_revenue", "store_id", **bound)
-    both = ranked(by_revenue, "efficiency_rank", "revenue_per_sqft", "store_id", **bound)
+    by_revenue = ranked(measured, "revenue_rank", "total_revenue", "store_id")
+    both = ranked(by_revenue, "efficiency_rank", "revenue_per_sqft", "store_id")
     return both.withColumn("performance_tier", at_most(F.col("revenue_rank"), V.STORE_TIERS, V.STORE_TIER_ELSE))
 
 

@@ -39,8 +39,8 @@ def workspace(spark: SparkSession, label: str) -> str:
     global _fallback_root
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        master = spark.conf.get("spark.master", "")
-        if master != "local" and not master.startswith("local["):
+        context = getattr(spark, "sparkContext", None)
+        if context is not None and context.master != "local" and not context.master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         if _fallback_root is None:
             _fallback_root = tempfile.mkdtemp(prefix="tallyhouse-")

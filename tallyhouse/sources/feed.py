@@ -17,7 +17,10 @@ from tallyhouse.functions.values import US_STATES
 from tallyhouse.sources.tables import load, overwrite
 
 AS_OF = dt.date(2001, 8, 1)
+MOST_SITES = 10_000
 EVENTS_AS_OF = dt.datetime(2024, 1, 31)
+#: Added to a key so that it matches no row: every raw row stays, as a sale to a stranger, an orphan line and so on.
+STRANGER = 10**12
 SNAPSHOT_DAYS = ("2001-07-30", "2001-07-31", "2001-08-01")
 
 
@@ -29,13 +32,17 @@ def _state(position: Column) -> Column:
     return F.element_at(F.array(*[F.lit(s) for s in US_STATES]), position.cast("int"))
 
 
+def _stranger(key: Column, when: Column) -> Column:
+    return F.when(when, key + F.lit(STRANGER)).otherwise(key)
+
+
 def transactions(spark: SparkSession, root: str) -> DataFrame:
-    o = raw(spark, root, "orders").where(F.col("o_custkey") % 19 != 0)
+    o = raw(spark, root, "orders")
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     priority = F.substring("o_orderpriority", 1, 1)
     return o.select(
         key.alias("transaction_id"),
-        F.when(key % 97 != 0, cust).alias("customer_id"),
+        F.when(key % 97 != 0, _stranger(cust, cust % 19 == 0)).alias("customer_id"),
         (key % 100).cast("int").alias("store_id"),
         F.col("o_orderdate").cast("date").alias("transaction_date"),
         F.expr("timestampadd(HOUR, cast(o_orderkey % 24 as int), o_orderdate)").alias("transaction_timestamp"),
@@ -53,11 +60,12 @@ def transactions(spark: SparkSession, root: str) -> DataFrame:
 
 def line_items(spark: SparkSession, root: str) -> DataFrame:
     part = raw(spark, root, "part").select("p_partkey", F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"))
-    items = raw(spark, root, "lineitem").where(F.col("l_partkey") % 17 != 0)
+    items = raw(spark, root, "lineitem")
+    order, product = F.col("l_orderkey"), F.col("l_partkey")
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     return items.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
-        F.col("l_orderkey").alias("transaction_id"),
-        F.col("l_partkey").alias("product_id"),
+        _stranger(order, order % 23 == 0).alias("transaction_id"),
+        _stranger(product, product % 17 == 0).alias("product_id"),
         F.col("l_linenumber").alias("item_seq"),
         F.col("l_quantity").cast("int").alias("quantity"),
         "unit_price",
@@ -125,20 +133,21 @@ def warehouses(spark: SparkSession, root: str) -> DataFrame:
 
 
 def inventory_snapshots(spark: SparkSession, root: str) -> DataFrame:
-    """Each product, warehouse and snapshot day; the warehouse and day lists have a fixed length."""
+    """Each product, warehouse and snapshot day. Warehouses are a dimension of at most ``MOST_SITES`` rows, which is checked."""
     key, site, day = F.col("p_partkey"), F.col("warehouse_id"), F.col("dn")
     on_hand = F.when(key % 11 == 0, F.lit(0)).otherwise(((key * 31 + site * 17 + day * 7) % 1000).cast("int"))
-    sites = warehouses(spark, root).select("warehouse_id")
+    sites = [r[0] for r in warehouses(spark, root).select("warehouse_id").limit(MOST_SITES + 1).collect()]
+    if len(sites) > MOST_SITES:
+        raise ValueError(f"more than {MOST_SITES} warehouses")
     slots = (
-        raw(spark, root, "part").where(key % 13 != 0).select("p_partkey")
-        .withColumn("warehouse_id", F.explode(F.sequence(F.lit(0), F.lit(4))))
-        .join(sites, "warehouse_id")
+        raw(spark, root, "part").select("p_partkey")
+        .withColumn("warehouse_id", F.explode(F.array(*[F.lit(s) for s in sites])))
         .select("*", F.posexplode(F.array(*[F.lit(d) for d in SNAPSHOT_DAYS])).alias("dn", "snapshot_text"))
         .withColumn("quantity_on_hand", on_hand)
         .withColumn("quantity_reserved", F.expr("quantity_on_hand * 3 div 10").cast("int"))
     )
     return slots.select(
-        key.alias("product_id"),
+        _stranger(key, key % 13 == 0).alias("product_id"),
         "warehouse_id",
         F.col("snapshot_text").cast("date").alias("snapshot_date"),
         "quantity_on_hand",

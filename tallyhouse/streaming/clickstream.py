@@ -69,7 +69,7 @@ def realtime_dashboard(events: DataFrame, delay: str = "5 minutes") -> DataFrame
     )
 
 
-def enriched(events: DataFrame, customers: DataFrame, salts: int = 16) -> DataFrame:
+def enriched(events: DataFrame, customers: DataFrame, salts: int | None = None) -> DataFrame:
     """Events with the segment, state and lifetime value of their customer (static side, left join).
 
     Anonymous events have a NULL key and may be many: keys are spread, see :func:`spread_join`.

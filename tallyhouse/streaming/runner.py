@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from contextlib import contextmanager
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,21 +54,29 @@ def read_orders_json(spark: SparkSession, path: str, max_files: int = 1000) -> D
     return spark.readStream.schema(ORDER_SCHEMA).option("maxFilesPerTrigger", max_files).json(path)
 
 
+_starting = Lock()
+
+
 @contextmanager
 def _stream_settings(spark: SparkSession, state_partitions: int | None):
-    """Settings a query keeps for life are read when it starts: state partitions and a store that can spill."""
+    """Settings a query keeps for life are read when it starts: state partitions and a store that can spill.
+
+    A stream belongs to the session of its frame, so the settings are made there for the moment of the start. Starts take turns;
+    batch queries that other threads plan in the same session at that moment should use a session of their own.
+    """
     wanted = {
         "spark.sql.shuffle.partitions": str(state_partitions or spark.sparkContext.defaultParallelism),
         "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
     }
-    before = {k: spark.conf.get(k, None) for k in wanted}
-    for k, v in wanted.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    with _starting:
+        before = {k: spark.conf.get(k, None) for k in wanted}
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        try:
+            yield
+        finally:
+            for k, v in before.items():
+                spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def start_append(
@@ -85,11 +94,14 @@ def start_complete(df: DataFrame, path: str, checkpoint: str, state_partitions:
     """Publish the full aggregate after every micro-batch as a new version of the table.
 
     Each batch writes its own ``version=<batch id>`` folder, so a batch replayed after a failure
-    overwrites just what it wrote before, and readers of the previous version are not disturbed.
+    overwrites just what it wrote before, and readers of the previous version are not disturbed. A finished
+    version is named in the small table ``committed`` beside the data; readers take versions from there only.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
+        batch.write.mode("overwrite").parquet(f"{path}/data/version={batch_id}")
+        done = batch.sparkSession.createDataFrame([(batch_id,)], "version long").coalesce(1)
+        done.write.mode("overwrite").parquet(f"{path}/committed/batch={batch_id}")
 
     writer = df.writeStream.foreachBatch(publish).outputMode("complete").option("checkpointLocation", checkpoint)
     with _stream_settings(df.sparkSession, state_partitions):
@@ -97,10 +109,9 @@ def start_complete(df: DataFrame, path: str, checkpoint: str, state_partitions:
 
 
 def latest_version(spark: SparkSession, path: str) -> DataFrame:
-    """The newest complete version written by :func:`start_complete`."""
-    versions = spark.read.parquet(path)
-    newest = versions.agg(F.max("version")).scalar()
-    return versions.where(F.col("version") == newest).drop("version")
+    """The newest committed version written by :func:`start_complete`; a half-written one is not seen."""
+    newest = spark.read.schema("version long").parquet(f"{path}/committed").agg(F.max("version")).first()[0]
+    return spark.read.parquet(f"{path}/data/version={newest}")
 
 
 def drain_append(df: DataFrame, partition_by: Sequence[str] = (), label: str = "stream") -> DataFrame:

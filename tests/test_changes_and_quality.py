@@ -129,9 +129,11 @@ def test_row_filter(spark):
 
 def test_encryption_round_trip_and_pseudonyms(spark):
     df = spark.createDataFrame([(1, "a@b.c"), (2, None)], "k bigint, email string")
-    closed = governance.encrypt_columns(df, ["email"], "0123456789abcdef")
+    key = spark.createDataFrame([("0123456789abcdef",)], "key string").select("key").scalar()
+    closed = governance.encrypt_columns(df, ["email"], key)
+    assert "0123456789abcdef" not in closed._jdf.queryExecution().toString()
     assert closed.where("email = 'a@b.c'").count() == 0
-    assert rows(governance.decrypt_columns(closed, ["email"], "0123456789abcdef")) == rows(df)
+    assert rows(governance.decrypt_columns(closed, ["email"], key)) == rows(df)
     p = df.select(governance.pseudonym(F.col("email"), "s").alias("p"), governance.pseudonym(F.col("email"), "t").alias("q")).collect()
     assert len(p[0].p) == 64 and p[0].p != p[0].q and p[1].p is None
 
@@ -252,3 +254,36 @@ def test_published_lake_equals_the_lazy_one(spark, folder, tmp_path):
             assert rows(other.tables()[name].select(df.columns)) == rows(df), name
     opened.refresh_summaries(str(tmp_path))
     assert rows(tables.load(spark, str(tmp_path), "gold", "mv_executive_summary")) == rows(lazy.mv_executive_summary)
+
+
+def test_merge_takes_null_keys_as_equal(spark):
+    old, new = spark.createDataFrame([(None, 1), (2, 2)], KV), spark.createDataFrame([(None, 5)], KV)
+    assert rows(changes.merge_upsert(old, new, ["k"])) == [(None, 5), (2, 2)]
+
+
+def test_change_feed_sees_columns_of_both_tables(spark):
+    old = spark.createDataFrame([(1, "a"), (3, "c"), (None, "n")], "k bigint, v string")
+    new = spark.createDataFrame([(1, "a", 5), (2, "b", 6), (3, "c", None), (None, "m", 7)], "k bigint, v string, extra bigint")
+    got = sorted((tuple(r) for r in changes.change_feed(old, new, ["k"]).collect()), key=str)
+    assert got == sorted([
+        (1, "a", None, "update_preimage"), (1, "a", 5, "update_postimage"), (2, "b", 6, "insert"),
+        (None, "n", None, "update_preimage"), (None, "m", 7, "update_postimage"),
+    ], key=str)
+    twice = spark.createDataFrame([(1, "a"), (1, "b")], "k bigint, v string")
+    with pytest.raises(Exception, match="more than one row"):
+        changes.change_feed(twice, new, ["k"]).collect()
+
+
+def test_text_with_a_common_start_is_still_ordered(spark):
+    from tallyhouse.operators.layout import zorder_key
+
+    df = spark.createDataFrame([(f"SKU-ABC-{i:02d}", i / 100) for i in range(100)], "s string, x double")
+    assert zorder_key(df, ["s"]).select("z_key").distinct().count() > 8
+    assert zorder_key(df, ["x"]).select("z_key").distinct().count() > 90
+
+
+def test_ranks_of_text_and_dates(spark):
+    from tallyhouse.operators.ranking import ranked
+
+    df = spark.createDataFrame([(1, "b"), (2, None), (3, "c"), (4, "c")], "id bigint, v string")
+    assert [(r.id, r.r) for r in ranked(df, "r", "v", "id").orderBy("r").collect()] == [(3, 1), (4, 2), (1, 3), (2, 4)]

@@ -22,8 +22,8 @@ def brute_pairs(baskets, support):
     return sorted((a, b, n) for (a, b), n in seen.items() if n >= support)
 
 
-@pytest.mark.parametrize("seed, heavy_size, support", [(1, 3, 2), (2, 3, 3), (3, 5, 4), (4, 1, 2), (5, 1000, 3), (6, 0, 3)])
-def test_pair_support_with_huge_baskets(spark, seed, heavy_size, support):
+@pytest.mark.parametrize("seed, items_per_block, support", [(1, 3, 2), (2, 3, 3), (3, 5, 4), (4, 1, 2), (5, 1000, 3), (6, 2, 3)])
+def test_pair_support_with_huge_baskets(spark, seed, items_per_block, support):
     rng = random.Random(seed)
     baskets = {b: set(rng.choices(range(25), k=rng.randint(1, 4))) for b in range(60)}
     baskets |= {100 + b: set(rng.sample(range(25), rng.randint(6, 20))) for b in range(5)}
@@ -31,7 +31,7 @@ def test_pair_support_with_huge_baskets(spark, seed, heavy_size, support):
     counts = Counter(i for items in baskets.values() for i in items)
     kept = [(b, i) for b, items in baskets.items() for i in items if counts[i] >= support]
     frame = spark.createDataFrame(kept, "basket bigint, item bigint")
-    got = pair_support(frame, support, heavy_size=heavy_size, blocks=3)
+    got = pair_support(frame, support, items_per_block=items_per_block)
     assert sorted((r.item_a, r.item_b, r.support) for r in got.collect()) == brute_pairs(baskets, support)
 
 
