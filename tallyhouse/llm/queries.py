@@ -24,6 +24,39 @@ def op3_token_counts(spark, folder):
     return count_tokens(table(spark, folder, "documents"), "word_bpe_49k.json")
 
 
+_WORDS = r"list_filter(regexp_split_to_array({}, '[ \x09-\x0D]+'), LAMBDA x: x <> '')"
+_GRAMS = """SELECT rid, i, x || ' ' || lead(x, 1) OVER o || ' ' || lead(x, 2) OVER o || ' ' || lead(x, 3) OVER o || ' ' || lead(x, 4) OVER o AS g
+    FROM (SELECT rid, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS i FROM w) WINDOW o AS (PARTITION BY rid ORDER BY i)"""
+
+SQL["op2_quality_rules"] = rf"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS rid FROM documents),
+w AS (SELECT *, {_WORDS.format('t')} AS ws, list_filter(string_split(t, chr(10)), LAMBDA x: regexp_matches(x, '[^ \x09-\x0D]')) AS lines FROM d),
+grams AS ({_GRAMS}),
+again AS (SELECT rid, i FROM grams WHERE g IS NOT NULL QUALIFY count(*) OVER (PARTITION BY rid, g) > 1),
+covered AS (SELECT rid, count(*) AS n FROM (SELECT DISTINCT rid, i + k AS p FROM again, range(5) r(k)) GROUP BY rid),
+m AS (SELECT doc_id, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+        (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols,
+        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words, len(lines) AS n_lines
+      FROM w LEFT JOIN covered USING (rid)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT (base_failed OR 2 * n_symbols > n_words OR 10 * n_dup_lines > 3 * greatest(n_lines, 1)
+       OR word_chars < 2 * n_words OR word_chars > 20 * n_words) AS kept FROM b"""
+
+SQL["op5_jaccard_components"] = rf"""
+WITH RECURSIVE d AS (SELECT doc_id, row_number() OVER () AS rid,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+w AS (SELECT doc_id, rid, {_WORDS.format('t')} AS ws FROM d),
+s AS (SELECT DISTINCT rid, g FROM ({_GRAMS}) WHERE g IS NOT NULL
+      UNION ALL SELECT rid, array_to_string(ws, ' ') FROM w WHERE len(ws) BETWEEN 1 AND 4),
+n AS (SELECT rid, count(*) AS size FROM s GROUP BY rid),
+both_ AS (SELECT a.rid AS a, b.rid AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.rid <> b.rid GROUP BY 1, 2),
+links AS (SELECT a, b FROM both_ JOIN n x ON x.rid = a JOIN n y ON y.rid = b WHERE 100 * c >= 75 * (x.size + y.size - c)),
+reach AS (SELECT rid, rid AS r FROM w UNION SELECT reach.rid, links.b FROM reach JOIN links ON links.a = reach.r)
+SELECT w.doc_id, coalesce(any_value(size), 0) AS n_shingles, min(o.doc_id) AS component_id
+FROM w LEFT JOIN n USING (rid) JOIN reach USING (rid) JOIN w o ON o.rid = reach.r GROUP BY w.rid, w.doc_id"""
+
+
 @query
 def op4_id_files(spark, folder):
     files = id_files.write(table(spark, folder, "documents"), "byte_bpe_50k.json", end_id=2)

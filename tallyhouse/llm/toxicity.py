@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.base import batches, hash_sample, stage
+from tallyhouse.llm.base import batches, hash_sample, mix, stage
+from tallyhouse.llm.jaccard import shingle_set
 from tallyhouse.llm.tokens import trim
 
 #: Labelled texts that the model is fitted on, at most; a hash sample of all labelled rows that may be learned from.
@@ -198,6 +199,16 @@ def _tally(sample: DataFrame, count) -> Counter:
     return Counter({(r["s"], r["kind"]): r["n"] for r in summed.where(F.col("n") >= LEAST_TEXTS).collect()})
 
 
+def _sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Adds the smallest hash of the text's shingles by two hash functions; near copies share one with high probability."""
+    least = [[], []]
+    for text in batch.column(0).to_pylist():
+        shingles = shingle_set((text or "").encode())
+        for side, column in enumerate(least):
+            column.append(int((mix(shingles ^ np.uint64(side + 1))).min().view(np.int64)) if len(shingles) else 0)
+    return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1).cast(pa.int32()), *[pa.array(c, pa.int64()) for c in least]], ["text", "toxic", "a", "b"])
+
+
 def _terms(text: str | None) -> set[tuple[str, int]]:
     """Words (kind 0) and stems (kind: their length) of a text."""
     words = {w for w in map(bare, set((text or "").lower().split())) if len(w) > 2}
@@ -210,9 +221,14 @@ def learn_lexicon(sample: DataFrame, toxic: int, clean: int) -> dict[str, bool]:
     names = set(inside)
     outside = _tally(sample.where("toxic = 0"), lambda text, _: Counter(_terms(text) & names))
 
+    share = toxic / max(1, toxic + clean)
+
     def telling(term: tuple[str, int]) -> bool:
-        rate, other = inside[term] / max(1, toxic), (outside[term] + 0.5) / max(1, clean)
-        return rate / (rate + other) >= LEAST_SHARE
+        yes, no = inside[term], outside[term]
+        rate, other = yes / max(1, toxic), (no + 0.5) / max(1, clean)
+        # so lopsided that chance would not make one of so many terms so (log likelihood ratio)
+        ratio = yes * np.log(yes / ((yes + no) * share)) + (no * np.log(no / ((yes + no) * (1 - share))) if no and clean else 0)
+        return rate / (rate + other) >= LEAST_SHARE and (not clean or ratio >= np.log(10 * len(names)))
 
     good = {t for t in names if telling(t)}
     widest: dict[tuple[str, int], int] = {}
@@ -222,10 +238,12 @@ def learn_lexicon(sample: DataFrame, toxic: int, clean: int) -> dict[str, bool]:
                 widest[word[:size], size] = max(widest.get((word[:size], size), 0), n)
     lexicon: dict[str, bool] = {}
     for stem, size in sorted((t for t in good if t[1]), key=lambda t: t[1]):
-        if not any(stem[:n] in lexicon for n in STEM_SIZES if n < size) and inside[stem, size] > 1.3 * widest.get((stem, size), 0):
-            lexicon[stem] = True
+        if not any(stem.startswith(e) or e.startswith(stem) for e in lexicon) and inside[stem, size] > 1.3 * widest.get((stem, size), 0):
+            # as long as nearly all of its words go on alike
+            longer = [t for t in good if t[1] > size and t[0].startswith(stem) and inside[t] >= 0.98 * inside[stem, size]]
+            lexicon[max(longer, key=lambda t: t[1], default=(stem, size))[0]] = True
     for word, kind in good:
-        if not kind and not any(lexicon.get(word[:n]) for n in STEM_SIZES):
+        if not kind and not any(stem and word.startswith(e) for e, stem in lexicon.items()):
             lexicon[word] = False
     return lexicon
 
@@ -256,7 +274,9 @@ def fit(docs: DataFrame, labels: DataFrame, may_learn: Column, key: str = "doc_i
     known = labels.where(may_learn & F.col(key).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(key).alias("_k")).agg(F.max(F.col(label).cast("int")).alias("toxic"))
     picked = F.broadcast(hash_sample(known, ["_k"], limit, seed=5))  # at most ``limit`` pairs of numbers
     sample = docs.select(F.col(key).alias("_k"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(picked, "_k")
-    sample = stage(sample.select("text", "toxic").dropDuplicates(), "labelled")
+    # copies of one text would make its rare words look like toxic terms: of texts with an equal sketch one is kept
+    sketched = sample.select("text", "toxic").mapInArrow(batches(_sketch), "text string, toxic int, a long, b long")
+    sample = stage(sketched.dropDuplicates(["a", "toxic"]).dropDuplicates(["b", "toxic"]).select("text", "toxic"), "labelled")
     sizes = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     toxic, clean = sizes.get(1, 0), sizes.get(0, 0)
     model = Model(learn_lexicon(sample, toxic, clean) if toxic else {})

@@ -86,11 +86,11 @@ def test_edge_rows(spark, docs):
 
 
 def test_held_out_labels(spark):
+    """Some labels mark texts without any telling word, so not every toxic text can be found."""
     from tallyhouse.llm import queries
 
-    folder = "/root/testdata/sf0.01"
+    folder = "/root/testdata/sf0.1"
     labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
-    got = [(r.score, labels[r.doc_id]) for r in queries.op1_toxicity(spark, folder).collect() if r.held_out and r.doc_id in labels]
-    yes, no = [s for s, y in got if y], [s for s, y in got if not y]
-    area = np.mean([(a > b) + 0.5 * (a == b) for a in yes for b in no])
-    assert area > 0.85
+    got = [(r.predicted, labels[r.doc_id]) for r in queries.op1_toxicity(spark, folder).collect() if r.held_out and r.doc_id in labels]
+    assert np.mean([p for p, y in got if y]) > 0.9
+    assert np.mean([p for p, y in got if not y]) < 0.01
