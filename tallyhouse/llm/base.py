@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from tallyhouse.session import configure, workspace
 #: Rows of an Arrow batch. Long texts make large batches, so it is kept small.
 BATCH_ROWS = 500
 BATCH_BYTES = 16 << 20
+TIDY = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def prepare(spark: SparkSession) -> SparkSession:
@@ -30,10 +32,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Jobs in this block delete their shuffle files when they are done: their results are written and never computed again."""
+    before = spark.conf.get(TIDY, None)
+    spark.conf.set(TIDY, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(TIDY) if before is None else spark.conf.set(TIDY, before)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: later steps do not recompute it."""
     path = workspace(df.sparkSession, label)
-    df.write.parquet(path)
+    with tidy(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -99,7 +113,7 @@ def windows(words: np.ndarray, size: int = 5) -> np.ndarray:
     if n == 0:
         return words
     take = min(n, size)
-    total = np.zeros(n - take + 1, dtype=np.uint64)
-    for i in range(take):
-        total += mix(words[i : n - take + 1 + i] * _ODD[i % 5] + np.uint64(i + take * 16))
-    return mix(total)
+    total = words[: n - take + 1] * _ODD[0]
+    for i in range(1, take):
+        total += words[i : n - take + 1 + i] * _ODD[i % 5]
+    return mix(total + np.uint64(take))

@@ -32,7 +32,7 @@ def load(path: str) -> tuple[dict[str, np.ndarray], dict]:
     with open(path, "rb") as file:
         size = int.from_bytes(file.read(8), "little")
         head = json.loads(file.read(size))
-    whole = np.memmap(path, dtype=np.uint8, mode="r")
+    whole = np.memmap(path, dtype=np.uint8, mode="r").view(np.ndarray)  # plain views of the mapping are cheaper to index
     out = {}
     for name, (at, kind, n) in head["arrays"].items():
         begin = 8 + size + at
@@ -96,19 +96,20 @@ class Sequence:
         """Index of the first value not below each ``x`` (``n`` if there is none), and whether it equals ``x``."""
         x = x.astype(np.uint64)
         top, want = (x >> np.uint64(self.bits)).astype(np.int64), x & self.mask
-        position = np.where(top > 0, self._zero(np.maximum(top - 1, 0)) + 1, 0)
-        index = position - top
-        equal = np.zeros(len(x), dtype=bool)
-        live = np.arange(len(x))
+        # values with these high bits lie between two zeros; among them the low bits ascend
+        index = np.where(top > 0, self._zero(np.maximum(top - 1, 0)) + 1 - top, 0)
+        stop = self._zero(top) - top
+        end = stop.copy()
+        live = np.flatnonzero(index < stop)
         while len(live):
-            p = position[live]
-            one = (self.high[p >> 6] >> (p & 63).astype(np.uint64)) & ONE == ONE
-            live = live[one]
-            low = self._low(index[live])
-            equal[live[low == want[live]]] = True
-            live = live[low < want[live]]
-            position[live] += 1
-            index[live] += 1
+            middle = (index[live] + stop[live]) >> 1
+            below = self._low(middle) < want[live]
+            index[live[below]] = middle[below] + 1
+            stop[live[~below]] = middle[~below]
+            live = live[index[live] < stop[live]]
+        equal = index < end
+        found = np.flatnonzero(equal)
+        equal[found] = self._low(index[found]) == want[found]
         return index, equal
 
     def values(self, start: int, stop: int) -> np.ndarray:

@@ -12,22 +12,26 @@ similar set. Only sets with more empty ones go on to the next scheme, with more
 fail every scheme meet in one signature for their band. A pair is missed by a scheme only if both of its sets go on,
 so no pair is missed.
 
-Sets that share a signature are not paired with each other. Each is verified against the group's smallest; verified links
-are joined to components; only then are pairs verified that share a signature and lie in different components. The
-components are those of all links.
+How many non-empty projections two similar sets share follows from ``m`` and the empty ones; each set leaves out as many of its
+most common signatures, less one, as it must share.
+
+Sets that share a signature are not paired with each other. Each set is verified against one other, of the smallest sets of
+its groups the one it shares most signatures with; verified links are joined to components; only then are pairs verified that
+share a signature and lie in different components. The components are those of all links.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 from fractions import Fraction
 from math import ceil
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyhouse.llm.base import WordHashes, hash_sample, mix, stage, windows
@@ -58,6 +62,7 @@ def shingle_set(text: bytes | None, size: int = 5) -> np.ndarray:
     return np.unique(windows(_words.of(found), size)) if found else np.zeros(0, np.uint64)
 
 
+@lru_cache
 def bands(threshold: float) -> np.ndarray:
     """Upper sizes of the bands: each as wide as the threshold lets two sets differ in size."""
     share, ends = Fraction(str(threshold)), [1]
@@ -72,62 +77,61 @@ def most_different(largest: int, threshold: float) -> int:
     return int((1 - share) / (1 + share) * 2 * largest)
 
 
-def signatures(elements: np.ndarray, frequent: np.ndarray, threshold: float, ends: np.ndarray) -> np.ndarray:
-    """Signatures of one set (sorted distinct 64-bit elements). A set joins its own band and the next larger one, where sets
-    up to ``1 / threshold`` its size may lie."""
-    size = len(elements)
-    if not size:
-        return elements
-    low = int(np.searchsorted(ends, size))
-    high = int(np.searchsorted(ends, int(size / Fraction(str(threshold)))))
-    rare = elements
+def _first_of_run(values: np.ndarray) -> np.ndarray:
+    """Positions where a new value begins in a sorted array."""
+    return np.concatenate(([0], np.flatnonzero(values[1:] != values[:-1]) + 1)) if len(values) else np.zeros(0, dtype=np.int64)
+
+
+@lru_cache(maxsize=1 << 16)
+def _levels(size: int, threshold: float) -> list[tuple[int, int]]:
+    """Bands a set of this size joins, its own and the next larger ones that hold sets up to ``1 / threshold`` its size, and their ``k``."""
+    ends = bands(threshold)
+    low, high = (int(np.searchsorted(ends, n)) for n in (size, int(size / Fraction(str(threshold)))))
+    return [(band, most_different(int(ends[band]), threshold)) for band in range(low, high + 1)]
+
+
+def signatures(elements: np.ndarray, frequent: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Signatures of one set (sorted distinct 64-bit elements), of every band it joins, and a code for each.
+
+    The code's low byte tells the band (odd or even) and the scheme, its high byte ``need``: a similar set shares at least so many
+    signatures of that band and scheme, provided that this set stops there (else it is 1, which promises nothing).
+    """
+    if not len(elements):
+        return elements, np.zeros(0, np.uint16)
+    codes = []
+    domains = {0: elements, True: elements}
     if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, elements), len(frequent) - 1)
-        rare = elements[frequent[at] != elements]
+        at = np.searchsorted(frequent, elements)
+        at[at == len(frequent)] = 0
+        domains[True] = elements[frequent[at] != elements]
     made = []
-    for band in range(low, high + 1):
-        k = most_different(int(ends[band]), threshold)
+    for band, k in _levels(len(elements), threshold):
         for number, scheme in enumerate(SCHEMES):
             m = max(1, ceil(scheme.slack * (k + 1))) if k else 0
             n = k + 1 + m
-            domain = rare if scheme.rare_only else elements
-            if scheme.seed:
-                domain = np.sort(mix(domain ^ np.uint64(scheme.seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1)))
+            which = True if scheme.rare_only else scheme.seed
+            if which not in domains:
+                domains[which] = np.sort(mix(elements ^ np.uint64(scheme.seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1)))
+            domain = domains[which]
             # partitions are ranges of hashes, so a sorted set is already grouped by them
             part = ((domain >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
-            first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]]) if len(part) else part[:0].astype(np.int64)
+            first = _first_of_run(part)
             if len(first):
-                inside = np.add.reduceat(mix(domain + np.uint64(0x632BE59BD9B4E019)), first)
+                inside = np.add.reduceat(domain, first)
                 made.append(mix(inside ^ mix(part[first] + np.uint64((band << 40) + (number << 36) + (1 << 35)))))
-            if n - len(first) <= m:
+            need = m + 1 - (n - len(first))
+            codes.append(np.full(len(first), min(max(need, 1), 255) << 8 | (band & 1) << 4 | number, dtype=np.uint16))
+            if need >= 1:
                 break
         else:
             made.append(mix(np.array([band << 40 | 0xF << 32], dtype=np.uint64)))
-    return np.concatenate(made)
+            codes.append(np.array([1 << 8 | (band & 1) << 4 | 15], dtype=np.uint16))
+    return np.concatenate(made), np.concatenate(codes)
 
 
-def _identify(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """Size and identity of every document's set; kept in the shared folder."""
-
-    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in rows:
-            sizes, ids, digests = [], [], []
-            for t in batch.column(1).to_pylist():
-                s = shingle_set(t)
-                digest = xxhash.xxh3_128_digest(s.tobytes())
-                sizes.append(len(s))
-                ids.append(int.from_bytes(digest[:8], "little", signed=True))
-                digests.append(digest)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.int64()), pa.array(digests, pa.binary())], ["k", "n", "id", "digest"])
-
-    rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("binary").alias("t"))
-    return stage(rows.mapInArrow(run, "k long, n long, id long, digest binary"), "shingle-sets")
-
-
-def _frequent(docs: DataFrame, text: str, threshold: float) -> np.ndarray:
+def _frequent(rows: DataFrame, threshold: float) -> np.ndarray:
     """Shingles in a larger share than ``FREQUENT`` of a bounded sample of documents. At most ``1 / FREQUENT`` times the longest text."""
-    t = F.col(text).cast("binary").alias("t")
-    picked = hash_sample(docs.select(t).where("t is not null"), ["t"], SAMPLE_DOCS, seed=3)
+    picked = hash_sample(rows.select("t").where("t is not null"), ["t"], SAMPLE_DOCS, seed=3)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -138,111 +142,159 @@ def _frequent(docs: DataFrame, text: str, threshold: float) -> np.ndarray:
     return np.sort(np.array([r["h"] for r in counted.select("h").collect()], dtype=np.int64).view(np.uint64))
 
 
-def _groups(docs: DataFrame, text: str, threshold: float, total: int) -> DataFrame:
-    """(signature, id, center) of all signatures that several sets share; center is the group's smallest id."""
-    frequent, ends = _frequent(docs, text, threshold), bands(threshold)
-    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), ceil(total / BUCKET))
+def _identity(elements: np.ndarray) -> tuple[int, bytes]:
+    """64-bit id and 128-bit digest of a set."""
+    digest = xxhash.xxh3_128_digest(elements.tobytes())
+    return int.from_bytes(digest[:8], "little", signed=True), digest
+
+
+_PLACED = "k long, n long, digest binary, id long, sig long, size long, code int"
+_NAMES = [x.split(" ")[0] for x in _PLACED.split(", ")]
+_KINDS = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+
+
+def _placed(**columns) -> pa.RecordBatch:
+    size = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([pa.array(columns[n], t) if n in columns else pa.nulls(size, t) for n, t in zip(_NAMES, _KINDS)], _NAMES)
+
+
+def _signed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
+    """One pass over the texts. Rows with a digest tell each document's key, set size and identity; rows with a signature tell
+    the id of a set that shares it with others, how many do, and the set's code for it."""
+    rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("binary").alias("t"))
+    frequent = _frequent(rows, threshold)
+    entries = (rows.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]) // 8  # about one per word
+    buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), ceil(entries / BUCKET))
 
     def sign(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()  # of this task: copies are signed once
-        found, owners, held = [], [], 0
+        found, owners, marks, held, told = [], [], [], 0, []
 
         def flush():
-            sig, owner = np.concatenate(found), np.concatenate(owners)
+            sig, owner = np.concatenate([np.zeros(0, np.uint64), *found]), np.concatenate([np.zeros(0, "<i8"), *owners])
+            mark = np.concatenate([np.zeros(0, np.uint16), *marks]).astype("<u2")
             bucket = ((sig >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
             order = np.argsort(bucket, kind="stable")
-            sig, owner, bucket = sig[order], owner[order], bucket[order]
-            starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
-            stops = np.r_[starts[1:], len(bucket)]
+            sig, owner, mark, bucket = sig[order], owner[order], mark[order], bucket[order]
+            starts = _first_of_run(bucket)
+            stops = np.append(starts[1:], len(bucket))
             low = sig.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-            blobs = [low[a:b].tobytes() + owner[a:b].tobytes() for a, b in zip(starts, stops)]
-            return pa.RecordBatch.from_arrays([pa.array(bucket[starts].astype(np.int32)), pa.array(blobs, pa.binary())], ["bucket", "blob"])
+            blobs = [low[a:b].tobytes() + owner[a:b].tobytes() + mark[a:b].tobytes() for a, b in zip(starts, stops)]
+            blank = [None] * len(blobs)
+            names = bucket[starts].astype(np.int64).tolist()
+            for k, n, digest in told:  # documents are dealt out by their digest
+                names.append(int.from_bytes(digest[8:12], "little") % buckets)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.int64()), pa.array(blobs + [None] * len(told), pa.binary()), pa.array(blank + [x[0] for x in told], pa.int64()),
+                 pa.array(blank + [x[1] for x in told], pa.int64()), pa.array(blank + [x[2] for x in told], pa.binary())],
+                ["bucket", "blob", "k", "n", "digest"],
+            )
 
         for batch in rows:
-            for t in batch.column(0).to_pylist():
+            for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 s = shingle_set(t)
-                if not len(s):
-                    continue
-                digest = xxhash.xxh3_128_digest(s.tobytes())
-                if digest in seen:
+                name, digest = _identity(s)
+                told.append((k, len(s), digest))
+                if not len(s) or digest in seen:
                     continue
                 seen.add(digest)
-                sig = signatures(s, frequent, threshold, ends)
+                sig, code = signatures(s, frequent, threshold)
                 found.append(sig)
-                owners.append(np.full(len(sig), int.from_bytes(digest[:8], "little", signed=True), dtype="<i8"))
+                marks.append(code)
+                owners.append(np.full(len(sig), name, dtype="<i8"))
                 held += len(sig)
             if held > 1_000_000:
                 yield flush()
-                found, owners, held = [], [], 0
-        if held:
+                found, owners, marks, held, told = [], [], [], 0, []
+        if told:
             yield flush()
 
     def meet(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs: dict[int, list[bytes]] = {}
         for batch in rows:
+            own = batch.filter(batch.column(4).is_valid())
+            if own.num_rows:
+                digests = own.column(4).to_pylist()
+                yield _placed(k=own.column(2).to_pylist(), n=own.column(3).to_pylist(), digest=digests, id=[int.from_bytes(d[:8], "little", signed=True) for d in digests])
             for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                blobs.setdefault(bucket, []).append(blob)
+                if blob is not None:
+                    blobs.setdefault(bucket, []).append(blob)
         for bucket in list(blobs):
-            sigs, owners = [], []
+            sigs, owners, marks = [], [], []
             for blob in blobs.pop(bucket):
-                n = len(blob) // 14
+                n = len(blob) // 16
                 wide = np.zeros((n, 8), dtype=np.uint8)
                 wide[:, :6] = np.frombuffer(blob, np.uint8, 6 * n).reshape(n, 6)
                 sigs.append(wide.view("<u8").ravel())
                 owners.append(np.frombuffer(blob, "<i8", n, 6 * n))
-            sig, owner = np.concatenate(sigs), np.concatenate(owners)
+                marks.append(np.frombuffer(blob, "<u2", n, 14 * n))
+            sig, owner, mark = np.concatenate(sigs), np.concatenate(owners), np.concatenate(marks)
             order = np.lexsort((owner, sig))
-            sig, owner = sig[order], owner[order]
-            fresh = np.r_[True, (sig[1:] != sig[:-1]) | (owner[1:] != owner[:-1])]
-            sig, owner = sig[fresh], owner[fresh]
-            starts = np.flatnonzero(np.r_[True, sig[1:] != sig[:-1]])
-            count = np.diff(np.r_[starts, len(sig)])
+            sig, owner, mark = sig[order], owner[order], mark[order]
+            again = (sig[1:] == sig[:-1]) & (owner[1:] == owner[:-1])
+            fresh = np.append(True, ~again)
+            sig, owner, mark = sig[fresh], owner[fresh], mark[fresh]
+            starts = _first_of_run(sig)
+            count = np.diff(np.append(starts, len(sig)))
             shared = np.repeat(count > 1, count)
-            center = np.repeat(owner[starts], count)
-            named = (sig ^ mix(np.uint64(bucket) + np.zeros(1, np.uint64))).view(np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(named[shared]), pa.array(owner[shared].astype(np.int64)), pa.array(center[shared].astype(np.int64))], ["sig", "id", "center"])
+            named = np.repeat(bucket * (1 << 32) + np.arange(len(starts)), count)[shared]
+            if len(named):
+                yield _placed(id=owner[shared].astype(np.int64), sig=named, size=np.repeat(count, count)[shared], code=mark[shared].astype(np.int32))
 
-    dealt = docs.select(F.col(text).cast("binary").alias("t")).mapInArrow(sign, "bucket int, blob binary").repartition(buckets, "bucket")
-    return stage(dealt.mapInArrow(meet, "sig long, id long, center long"), "signature-groups")
+    dealt = rows.mapInArrow(sign, "bucket long, blob binary, k long, n long, digest binary").repartition(buckets, "bucket")
+    return stage(dealt.mapInArrow(meet, _PLACED), "signatures")
 
 
-def _sets(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """Id, digest and elements of the sets of the wanted documents (their keys), one row per distinct set."""
+def _texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
+    """Digest and text of the wanted documents (their keys)."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            digests, sets = [], []
-            for t in batch.column(0).to_pylist():
-                raw = shingle_set(t).tobytes()
-                sets.append(raw)
-                digests.append(xxhash.xxh3_128_digest(raw))
-            ids = [int.from_bytes(d[:8], "little", signed=True) for d in digests]
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(digests, pa.binary()), pa.array(sets, pa.binary())], ["id", "digest", "elements"])
+            digests = [_identity(shingle_set(t))[1] for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), batch.column(0)], ["digest", "t"])
 
-    texts = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("binary").alias("t")).join(wanted, "k", "left_semi").select("t").where("t is not null")
-    return texts.mapInArrow(run, "id long, digest binary, elements binary").groupBy("digest").agg(F.first("id").alias("id"), F.first("elements").alias("elements"))
+    rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("binary").alias("t")).where("t is not null")
+    return rows.join(wanted, rows["k"].eqNullSafe(wanted["k"]), "left_semi").select("t").mapInArrow(run, "digest binary, t binary")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """Those pairs of digests (``a``, ``b``) whose sets are similar enough."""
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Those pairs of digests (``a``, ``b``) whose sets are similar enough. Texts travel, being smaller than their sets."""
     share = Fraction(str(threshold))
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, q = None, None
         for batch in rows:
             linked = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                p, q = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(p) > len(q):
-                    p, q = q, p
-                at = np.minimum(np.searchsorted(q, p), len(q) - 1)
-                both = int(np.count_nonzero(q[at] == p))
-                linked.append(share.denominator * both >= share.numerator * (len(p) + len(q) - both))
+            for b, x, y in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)):
+                if b != last:
+                    last, q = b, shingle_set(y.as_py())
+                p, q2 = shingle_set(x), q
+                if len(p) > len(q2):
+                    p, q2 = q2, p
+                at = np.searchsorted(q2, p)
+                at[at == len(q2)] = 0
+                both = int(np.count_nonzero(q2[at] == p))
+                linked.append(share.denominator * both >= share.numerator * (len(p) + len(q2) - both))
             keep = pa.array(linked, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
-    left = sets.select(F.col("digest").alias("a"), F.col("elements").alias("x"))
-    right = sets.select(F.col("digest").alias("b"), F.col("elements").alias("y"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+    left = texts.select(F.col("digest").alias("a"), F.col("t").alias("x"))
+    right = texts.select(F.col("digest").alias("b"), F.col("t").alias("y"))
+    found = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+    return stage(found, "links")
+
+
+def _worth_a_look(shared: DataFrame) -> DataFrame:
+    """Signatures by which sets must meet: ``sig``, ``id``, ``center`` (smallest id of the rest of the group).
+
+    Similar sets share ``need`` signatures, so each may leave out its ``need - 1`` most common ones, in one order for all sets, and
+    the rarest shared one is left (prefix filter). Sets that only share a passage share fewer and drop out here.
+    """
+    mine = Window.partitionBy("id", F.col("code").bitwiseAND(F.lit(255))).orderBy(F.desc("size"), "sig")
+    left = shared.withColumn("place", F.row_number().over(mine)).where(F.col("place") >= F.shiftright("code", 8)).select("sig", "id")
+    left = stage(left, "rare-signatures")
+    centers = left.groupBy("sig").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("c")).where("c > 1").select("sig", "center")
+    return stage(left.join(centers, "sig"), "signature-groups")
 
 
 def similar_components(docs: DataFrame, threshold: float = 0.75, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -253,25 +305,22 @@ def similar_components(docs: DataFrame, threshold: float = 0.75, key: str = "doc
     set and are linked with nothing. Rows repeat as given; rows with equal keys are separate documents. A row with a NULL key takes part
     and its component has the smallest key that is there, if any. Extra columns are not read, an empty table gives no rows.
     """
-    spark = docs.sparkSession
-    identified = _identify(docs, key, text)
-    classes = stage(identified.where("n > 0").groupBy("digest", "id").agg(F.min("k").alias("k"), F.max("n").alias("n")), "shingle-classes")
-    total = classes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    if not total:
-        return identified.select(F.col("k").alias(key), F.col("n").alias("n_shingles"), F.col("k").alias("component_id"))
-    groups = _groups(docs, text, threshold, total)
+    signed = _signed(docs, key, text, threshold)
+    identified, groups = signed.where("digest is not null").select("k", "n", "digest", "id"), _worth_a_look(signed.where("sig is not null"))
+    classes = stage(identified.where("n > 0").groupBy("digest", "id").agg(F.min("k").alias("k")), "classes")
 
     # ids are 64 bits of the digest: should two sets have one id, both stand for it, and they are a candidate pair
-    members = groups.select("id").unionByName(classes.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id")).distinct()
-    taking_part = stage(classes.join(members, "id"), "shingle-candidates")
-    sets = stage(_sets(docs, taking_part.select("k").distinct(), key, text), "shingle-elements")
+    bundled = classes.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id")
+    taking_part = stage(classes.join(groups.select("id").unionByName(bundled).distinct(), "id"), "candidates")
+    texts = stage(_texts(docs, taking_part.select("k").distinct(), key, text), "candidate-texts")
     named = taking_part.select("id", "digest")
     first, second = named.select(F.col("id").alias("i"), F.col("digest").alias("a")), named.select(F.col("id").alias("j"), F.col("digest").alias("b"))
-    starred = groups.where("id <> center").select(F.col("id").alias("i"), F.col("center").alias("j")).distinct()
-    bundled = named.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select(F.col("id").alias("i"), F.col("id").alias("j"))
-    tried = starred.unionByName(bundled).join(first, "i").join(second, "j").where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    tried = stage(tried.distinct(), "tried-pairs")
-    links = stage(_verified(tried, sets, threshold), "links")
+    # each set is first held against the center it shares most signatures with
+    most = groups.where("id <> center").groupBy("id", "center").agg(F.count(F.lit(1)).alias("c"))
+    starred = most.groupBy(F.col("id").alias("i")).agg(F.max_by("center", F.struct("c", "center")).alias("j"))
+    tried = starred.unionByName(bundled.select(F.col("id").alias("i"), F.col("id").alias("j"))).join(first, "i").join(second, "j").where("a <> b")
+    tried = stage(tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "tried-pairs")
+    links = _verified(tried, texts, threshold)
     joined = components(links)
 
     # what shares a signature and is still apart
@@ -281,7 +330,7 @@ def similar_components(docs: DataFrame, threshold: float = 0.75, key: str = "doc
     rest = placed.join(apart, "sig")
     a, b = rest.select("sig", F.col("digest").alias("a"), F.col("root").alias("ra")), rest.select("sig", F.col("digest").alias("b"), F.col("root").alias("rb"))
     more = a.join(b, "sig").where("a > b and ra <> rb").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = stage(_verified(more, sets, threshold), "links")
+    more = _verified(more, texts, threshold)
     if not more.isEmpty():
         joined = components(links.unionByName(more))
 

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import eliasfano as ef
-from tallyhouse.llm.base import WordHashes, release
+from tallyhouse.llm.base import WordHashes, tidy
 from tallyhouse.llm.tokens import trim
 from tallyhouse.session import workspace
 
@@ -285,13 +285,13 @@ def train(texts: DataFrame, text: str = "text") -> Model:
             ef.save(f"{path}/words-{part}", arrays | {"counts": counts}, {"bits": bits, "n": len(keys)})
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([len(keys)], pa.int64()), pa.array([int(counts.sum())], pa.int64())], ["shard", "n", "total"])
 
-    built = raw.mapInArrow(count, _BLOBS).repartition(parts, "shard").mapInArrow(level_one, "shard long, n long, total long").collect()
+    with tidy(spark):
+        built = raw.mapInArrow(count, _BLOBS).repartition(parts, "shard").mapInArrow(level_one, "shard long, n long, total long").collect()
     ends = raw.count()
     sizes = {r["shard"]: r["n"] for r in built}
     tokens = sum(r["total"] for r in built) + ends
     shards = max(parts, ceil(tokens / SHARD))
     model = Model(path, tuple(sizes.get(p, 0) for p in range(parts)), ends, tokens, shards)
-    release(spark)
 
     def pair(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, held, size = _levels(model), [], 0
@@ -336,8 +336,8 @@ def train(texts: DataFrame, text: str = "text") -> Model:
 
     if model.unknown >= 1 << 32:
         raise ValueError("word ids do not fit 32 bits")
-    raw.mapInArrow(pair, _BLOBS).repartition(shards, "shard").mapInArrow(level_two, "shard long").collect()
-    release(spark)
+    with tidy(spark):
+        raw.mapInArrow(pair, _BLOBS).repartition(shards, "shard").mapInArrow(level_two, "shard long").collect()
     return model
 
 

@@ -10,11 +10,14 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 from collections.abc import Callable, Iterable
 from itertools import islice
-from struct import pack
 
 
+if sys.byteorder != "little":
+    raise ImportError("token ids are kept as little-endian arrays of the machine")
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
 #: Characters that the tokenizers take as white space.
@@ -44,6 +47,11 @@ def as_letters(raw: bytes) -> str:
     return raw.decode("latin-1").translate(_LETTERS)
 
 
+def has_edge(piece: str) -> bool:
+    """Whether a piece begins or ends with white space."""
+    return piece.strip() != piece and _EDGE.search(piece) is not None
+
+
 def trim(kept: dict, limit: int) -> None:
     """Drop the youngest third once there are more than ``limit`` entries: frequent pieces came early."""
     if len(kept) > limit:
@@ -58,7 +66,7 @@ class Pieces:
     of one text that must not be cut. ``spaced`` says whether a piece keeps the space before it.
     """
 
-    def __init__(self, fill: Callable, join: Callable[[Iterable], object], whole: Callable, spaced: bool, limit: int = 1_000_000):
+    def __init__(self, fill: Callable, join: Callable[[Iterable], object], whole: Callable, spaced: bool, limit: int = 1_200_000):
         self.fill, self.join, self.whole, self.limit = fill, join, whole, limit
         self.space = " " if spaced else ""
         self.rest: dict[str, object] = {}
@@ -66,52 +74,52 @@ class Pieces:
 
     def __call__(self, texts: list[str]) -> list:
         trim(self.rest, self.limit)
-        trim(self.chunks, self.limit // 2)
+        trim(self.chunks, self.limit // 3)
         get, out, open_, odd, missing = self.rest.get, [None] * len(texts), [], {}, set()
         for i, text in enumerate(texts):
             if SPECIAL in text:
                 out[i] = self.whole(text)
                 continue
             pieces = text.split(" ")
-            if "" in pieces:
-                odd[i] = _CHUNK.findall(text)
-                continue
-            head, values = pieces[0], list(map(get, pieces))
-            if _EDGE.search(head):
+            if "" in pieces or has_edge(pieces[0]):
                 odd[i] = _CHUNK.findall(text)
                 continue
+            values = list(map(get, pieces))
             if None in values:
-                missing.update(p for p, v in zip(pieces, values) if v is None)
+                missing.update([p for p, v in zip(pieces, values) if v is None])
                 open_.append((i, pieces))
             elif self.space:
-                odd[i] = _CHUNK.findall(head)
+                odd[i] = _CHUNK.findall(pieces[0])
                 out[i] = values[1:]
             else:
                 out[i] = self.join(values)
-        cut = {p: _CHUNK.findall(self.space + p) for p in missing if not _EDGE.search(p)}
+        space, cut, edges = self.space, {}, set()
+        for p in missing:
+            if is_word(p):
+                cut[p] = (space + p,)
+            elif has_edge(p):
+                edges.add(p)
+            else:
+                cut[p] = _CHUNK.findall(space + p)
+        waiting = []
         for i, pieces in open_:
-            if any(p not in cut and p not in self.rest for p in pieces[1:]):
-                odd[i] = _CHUNK.findall(texts[i])  # white space at a piece's edge
-            elif self.space:
+            if edges and not edges.isdisjoint(pieces[1:]):
+                odd[i] = _CHUNK.findall(texts[i])
+                continue
+            waiting.append((i, pieces))
+            if space:
                 odd[i] = _CHUNK.findall(pieces[0])
-                out[i] = pieces[1:]
-            else:
-                out[i] = pieces
-        known = self.chunks
-        new = list({c for chunks in (*cut.values(), *odd.values()) for c in chunks if c not in known})
+        known, join = self.chunks, self.join
+        new = list({c for some in (cut.values(), odd.values()) for chunks in some for c in chunks if c not in known})
         known.update(zip(new, self.fill(new)))
         for p, chunks in cut.items():
-            self.rest[p] = self.join(map(known.__getitem__, chunks))
-        waiting = {i for i, _ in open_}
+            self.rest[p] = known[chunks[0]] if len(chunks) == 1 else join([known[c] for c in chunks])
+        value = self.rest.__getitem__
+        for i, pieces in waiting:
+            out[i] = list(map(value, pieces[1:])) if space else join(map(value, pieces))
         for i, chunks in odd.items():
-            first = self.join(map(known.__getitem__, chunks))
-            if out[i] is None:
-                out[i] = first
-            else:
-                out[i] = self.join([first, *(map(self.rest.__getitem__, out[i]) if i in waiting else out[i])])
-        if not self.space:
-            for i in waiting - odd.keys():
-                out[i] = self.join(map(self.rest.__getitem__, out[i]))
+            first = [known[c] for c in chunks]
+            out[i] = join(first + out[i]) if out[i] is not None else join(first)
         return out
 
 
@@ -140,14 +148,14 @@ def encoder(path: str) -> Pieces:
             out = []
             for at in range(0, len(chunks), 2000):
                 some = chunks[at : at + 2000]
-                other = [c for c in some if not is_word(c)]
-                found = iter(tool.encode_batch_fast(other, add_special_tokens=False))
-                for c in some:
-                    if is_word(c):  # one pre-token: straight to the library's merges
+                plain = [is_word(c) is not None for c in some]
+                found = iter(tool.encode_batch_fast([c for c, w in zip(some, plain) if not w], add_special_tokens=False))
+                for c, word in zip(some, plain):
+                    if word:  # one pre-token: straight to the library's merges
                         ids = [x.id for x in merge(as_letters(c.encode() if spaced else c.strip(" ").lower().encode()))]
                     else:
                         ids = next(found).ids
-                    out.append(pack(f"<{len(ids)}H", *ids))
+                    out.append(array("H", ids).tobytes())
             return out
 
         _ENCODERS[path] = Pieces(fill, b"".join, lambda text: fill([text])[0], spaced)

@@ -18,7 +18,11 @@ def test_similar_sets_share_a_signature():
         a, b = np.unique(base), np.unique(other)
         both = len(np.intersect1d(a, b))
         if len(b) and 4 * both >= 3 * (len(a) + len(b) - both):
-            assert len(np.intersect1d(J.signatures(a, frequent, 0.75), J.signatures(b, frequent, 0.75)))
+            (p, c), (q, d) = J.signatures(a, frequent, 0.75), J.signatures(b, frequent, 0.75)
+            assert len(np.intersect1d(p, q))
+            # in some band and scheme both sets meet what either that stops there promises
+            slots = [(s, np.isin(q[d & 255 == s], p[c & 255 == s]).sum(), max(c[c & 255 == s] >> 8), max(d[d & 255 == s] >> 8)) for s in np.intersect1d(c & 255, d & 255)]
+            assert any(shared >= max(x, y) for _, shared, x, y in slots)
 
 
 def test_components_of_edges(spark):
