@@ -143,7 +143,7 @@ def test_ranked_in_ranges_equals_window(spark, groups):
     for ascending in (False, True):
         small = ranked(df, "r", "v", "id", groups, ascending=ascending)
         order = F.col("v").asc_nulls_last() if ascending else F.col("v").desc_nulls_last()
-        large = df.withColumn("r", F.row_number().over(Window.partitionBy(*groups).orderBy(order, "id")))
+        large = df.withColumn("r", F.row_number().over(Window.partitionBy(*groups).orderBy(order, "id")).cast("bigint"))
         assert small.dtypes == large.dtypes
         assert rows(small) == rows(large)
 
