@@ -2,7 +2,7 @@ import random
 from collections import Counter
 
 from pyspark.sql import types as T
-from reference import lower, words
+from llm.reference import lower, words
 from tallyhouse.llm import decontamination as D
 
 ITEMS = T.StructType([T.StructField("item_id", T.LongType()), T.StructField("text", T.StringType()), T.StructField("k", T.StringType())])

@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from reference import components, shingles
+from llm.reference import components, shingles
 from tallyhouse.llm import jaccard as J
 from tallyhouse.llm.components import components as connected
 

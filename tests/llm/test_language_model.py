@@ -4,7 +4,7 @@ from collections import Counter
 
 import numpy as np
 from pyspark.sql import functions as F
-from reference import lower, words
+from llm.reference import lower, words
 from tallyhouse.llm import eliasfano as ef
 from tallyhouse.llm import language_model as L
 from tallyhouse.llm import queries

@@ -1,10 +1,10 @@
 from collections import Counter, defaultdict
 
 import corpus_pipeline as C
-from reference import components, measures, words
+from llm.reference import components, measures, words
 from tallyhouse.llm import decontamination, toxicity
 from tallyhouse.llm.base import remainder, stage, table
-from test_decontamination import brute
+from llm.test_decontamination import brute
 
 
 def quality(text):

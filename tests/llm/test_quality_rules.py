@@ -1,4 +1,4 @@
-from reference import measures
+from llm.reference import measures
 from tallyhouse.llm import quality_rules as Q
 
 TEXTS = [None, "", " \n\t ", "one", "a b c d e a b c d e", "a a a a a a a a a a a a", "x\nx\n \n \ny\nx", "w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11",
