@@ -1,22 +1,27 @@
 """An n-gram language model as an Elias-Fano trie: vocabulary, contexts and their successors in memory-mapped levels.
 
 Level one holds the 64-bit hashes of the training words in ascending order, cut into files by range; a word's id is
-its rank. Level two holds, for each range of contexts, the successors of each context: the pair (context, successor) as
+its rank. Level n holds, for each range of contexts, the successors of each context: the pair (context, successor) as
 one ascending number, so the successors of a context are a contiguous run that is searched relative to the context. A second monotone
-sequence points to where each context's run begins, which also tells how many successors it has. Beside them lie counts and
-quantised log probabilities.
+sequence points to where each context's run begins, which also tells how many successors it has. Beside them lie the contexts'
+counts and quantised log probabilities.
 
-Probabilities are interpolated after Witten and Bell: what a context has not seen is shared out by word frequency, and an
-unknown word has the share of words among tokens. Words are counted, and levels built, one task per range, from counts that
-each task has summed before the shuffle. The files lie in the shared folder and are mapped, not loaded: a task touches
+In level two a context is a word and a successor a word's id. From level three on, a context is the position of the shorter
+n-gram in the level above, and a successor is named relative to its own shorter context: its place in that context's run in the
+level above, a number as small as the run. The order, the number of levels, is a parameter.
+
+Probabilities are interpolated after Witten and Bell, from the longest context down to the word alone: what a context has not
+seen is shared out by the probabilities after the context without its first word, at last by word frequency, and an
+unknown word has the share of words among tokens. Words are counted, and levels built one after the other, one task per range,
+from counts that each task has summed before the shuffle. The files lie in the shared folder and are mapped, not loaded: a task touches
 the pages its texts need.
 """
 
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
-from dataclasses import dataclass
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass, replace
 from math import ceil
 from urllib.parse import urlparse
 
@@ -33,7 +38,7 @@ from tallyhouse.session import workspace
 
 #: Tokens that a task sums before it hands on counts.
 FLUSH = 2_000_000
-#: Tokens per level-two file to aim for.
+#: Tokens per file of a level beyond the first to aim for.
 SHARD = 4_000_000
 #: Bins of the quantised log probabilities.
 BINS = 256
@@ -54,42 +59,56 @@ def shared_folder(spark, label: str) -> str:
     return place.path
 
 
-def _summed(keys: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    return np.unique(np.concatenate(keys), return_counts=True)
-
-
-def _merged(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and summed counts of several blobs."""
+def _merged(blobs: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
+    """Distinct keys, summed counts and, if given, the values of several blobs."""
     parts = [_unpack(b) for b in blobs]
-    keys, counts = np.concatenate([k for k, _ in parts]), np.concatenate([c for _, c in parts])
+    keys, counts = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
     order = np.argsort(keys, kind="stable")
     keys, counts = keys[order], counts[order]
     first = np.concatenate(([0], np.flatnonzero(keys[1:] != keys[:-1]) + 1))
-    return keys[first], np.add.reduceat(counts, first)
+    values = None if parts[0][2] is None else np.concatenate([p[2] for p in parts])[order[first]]
+    return keys[first], np.add.reduceat(counts, first), values
+
+
+def _planes(values: np.ndarray) -> bytes:
+    return values.view(np.uint8).reshape(-1, values.itemsize).T.tobytes()
+
 
+def _plain(raw: bytes, kind: str, n: int, at: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8, size * n, at).reshape(size, n).T).view(kind).ravel()
 
-def _pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Ascending keys as differences and counts, byte planes apart, compressed."""
-    steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8").view(np.uint8).reshape(-1, 8).T.tobytes()
-    wide = counts.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
-    return zstandard.ZstdCompressor(level=1).compress(len(keys).to_bytes(8, "little") + steps + wide)
 
+def _pack(keys: np.ndarray, counts: np.ndarray, values: np.ndarray | None = None) -> bytes:
+    """Ascending keys as differences, counts and perhaps a value of each key, byte planes apart, compressed."""
+    planes = [np.diff(keys, prepend=np.uint64(0)).astype("<u8"), counts.astype("<u4")]
+    planes += [] if values is None else [values.astype("<f4")]
+    return zstandard.ZstdCompressor(level=1).compress(len(keys).to_bytes(8, "little") + b"".join(map(_planes, planes)))
 
-def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+
+def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
     raw = zstandard.ZstdDecompressor().decompress(blob)
     n = int.from_bytes(raw[:8], "little")
-    steps = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * n, 8).reshape(8, n).T).view("<u8").ravel()
-    counts = np.ascontiguousarray(np.frombuffer(raw, np.uint8, 4 * n, 8 + 8 * n).reshape(4, n).T).view("<u4").ravel()
-    return np.cumsum(steps, dtype=np.uint64), counts.astype(np.int64)
+    steps, counts = _plain(raw, "<u8", n, 8), _plain(raw, "<u4", n, 8 + 8 * n)
+    values = _plain(raw, "<f4", n, 8 + 12 * n).astype(np.float64) if len(raw) > 8 + 12 * n else None
+    return np.cumsum(steps, dtype=np.uint64), counts.astype(np.int64), values
 
 
 _BLOBS = "shard long, blob binary"
 
 
-def _dealt(keys: np.ndarray, counts: np.ndarray, shard: np.ndarray) -> pa.RecordBatch:
-    first = np.concatenate(([0], np.flatnonzero(shard[1:] != shard[:-1]) + 1))
-    blobs = [_pack(keys[a:b], counts[a:b]) for a, b in zip(first, [*first[1:], len(keys)])]
-    return pa.RecordBatch.from_arrays([pa.array(shard[first].astype(np.int64)), pa.array(blobs, pa.binary())], ["shard", "blob"])
+def _dealt(keys: list[np.ndarray], shard: Callable[[np.ndarray], np.ndarray], values: list[np.ndarray] | None = None) -> pa.RecordBatch:
+    """Keys summed, with the value of each, one blob for each shard."""
+    if values:
+        distinct, index, counts = np.unique(np.concatenate(keys), return_index=True, return_counts=True)
+        beside = np.concatenate(values)[index]
+    else:
+        distinct, counts = np.unique(np.concatenate(keys), return_counts=True)
+        beside = None
+    shards = shard(distinct)
+    spans = list(_runs(shards))
+    blobs = [_pack(distinct[a:b], counts[a:b], None if beside is None else beside[a:b]) for _, a, b in spans]
+    return pa.RecordBatch.from_arrays([pa.array([s for s, _, _ in spans], pa.int64()), pa.array(blobs, pa.binary())], ["shard", "blob"])
 
 
 def _by_range(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -105,15 +124,36 @@ def _gathered(rows: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[bytes]
         yield shard, blobs.pop(shard)
 
 
+@dataclass(frozen=True)
+class Grams:
+    """What the files of a level beyond the first share. ``sizes``: n-grams in each file; ``width``: bound of the successors."""
+
+    contexts: int
+    width: int
+    shards: int
+    sizes: tuple[int, ...] = ()
+
+    def shard(self, contexts: np.ndarray) -> np.ndarray:
+        return contexts * self.shards // max(self.contexts, 1)
+
+    def first(self, shard: int) -> int:
+        """First context of a shard."""
+        return -(-shard * self.contexts // self.shards)
+
+
 @dataclass(frozen=True)
 class Model:
-    """Where a trained model lies and what its files share. ``sizes``: words in each level-one file."""
+    """Where a trained model lies and what its files share. ``sizes``: words in each level-one file; ``grams``: levels from the second."""
 
     path: str
     sizes: tuple[int, ...]
     ends: int
     tokens: int
-    shards: int
+    grams: tuple[Grams, ...] = ()
+
+    @property
+    def order(self) -> int:
+        return len(self.grams) + 1
 
     @property
     def n_words(self) -> int:
@@ -144,7 +184,8 @@ class Levels:
     def __init__(self, model: Model, limit: int = 400_000):
         self.model, self.limit = model, limit
         self.bases = np.concatenate(([0], np.cumsum(model.sizes))).astype(np.int64)
-        self.one, self.two = {}, {}
+        self.starts = [np.concatenate(([0], np.cumsum(g.sizes))).astype(np.int64) for g in model.grams]
+        self.one, self.more = {}, {}
         self.known: dict[bytes, int] = {}
 
     def _one(self, part: int):
@@ -153,11 +194,11 @@ class Levels:
             self.one[part] = (ef.Sequence(arrays, notes["bits"], notes["n"]), arrays["counts"])
         return self.one[part]
 
-    def _two(self, shard: int):
-        if shard not in self.two:
-            arrays, notes = ef.load(f"{self.model.path}/pairs-{shard}")
-            self.two[shard] = (arrays, notes, ef.Sequence(arrays, notes["bits"], notes["n"]), ef.Sequence(arrays, notes["point_bits"], notes["contexts"] + 1, "point_"))
-        return self.two[shard]
+    def _grams(self, n: int, shard: int):
+        if (n, shard) not in self.more:
+            arrays, notes = ef.load(f"{self.model.path}/grams{n}-{shard}")
+            self.more[n, shard] = (arrays, ef.Sequence(arrays, notes["bits"], notes["n"]), ef.Sequence(arrays, notes["point_bits"], notes["contexts"] + 1, "point_"))
+        return self.more[n, shard]
 
     def _search(self, new: list[bytes]) -> list[int]:
         hashes = _hash.of(new)
@@ -196,33 +237,55 @@ class Levels:
         n, v = self.model.tokens, self.model.types
         return np.where(counts > 0, counts, max(v, 1)) / max(n + v, 1)
 
-    def shard(self, contexts: np.ndarray) -> np.ndarray:
-        return contexts * self.model.shards // (self.model.n_words + 2)
-
-    def first(self, shard: int) -> int:
-        """First context of a shard."""
-        return -(-shard * (self.model.n_words + 2) // self.model.shards)
-
-    def log10(self, contexts: np.ndarray, ids: np.ndarray, context_counts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """log10 probability of each word after its context, quantised where the pair occurs in training."""
-        alone = self.unigram(counts)
-        out = np.log10(alone)
-        seen = np.flatnonzero((contexts < self.model.unknown) & (context_counts > 0))
-        shards = self.shard(contexts[seen])
-        order = np.lexsort((ids[seen], contexts[seen]))  # ascending contexts are ascending shards
-        seen, shards = seen[order], shards[order]
-        for shard, a, b in _runs(shards):
-            mine = seen[a:b]
-            arrays, notes, pairs, points = self._two(shard)
-            local = contexts[mine] - notes["first"]
-            at, equal = pairs.successor(local * notes["width"] + ids[mine])
+    def follow(self, n: int, contexts: np.ndarray, successors: np.ndarray, lower: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """One level down: log10 probability of each successor after its context, quantised where the n-gram occurs in
+        training; the n-gram's position in level ``n`` (-1: none), and its place in the context's run (-1: none).
+
+        A context of -1 does not occur, a successor of -1 never follows. ``lower``: log10 probabilities after the shorter contexts.
+        """
+        grams, starts = self.model.grams[n - 2], self.starts[n - 2]
+        asked = np.flatnonzero(contexts >= 0)
+        out, at, place = lower.copy(), np.full(len(contexts), -1), np.full(len(contexts), -1)
+        # each distinct n-gram is searched once; ascending contexts are ascending shards
+        pairs, inverse = np.unique(contexts[asked] * (grams.width + 1) + successors[asked] + 1, return_inverse=True)
+        context, successor = np.divmod(pairs, grams.width + 1)
+        successor -= 1
+        weight, value = np.zeros(len(pairs)), np.zeros(len(pairs))
+        position, within = np.full(len(pairs), -1), np.full(len(pairs), -1)
+        for shard, a, b in _runs(grams.shard(context)):
+            if not grams.sizes[shard]:
+                continue
+            arrays, keys, points = self._grams(n, shard)
+            local = context[a:b] - grams.first(shard)
+            index, equal = keys.successor(local * grams.width + np.maximum(successor[a:b], 0))
+            equal &= successor[a:b] >= 0
             begin = _pointer(points, arrays, local)
             kinds = _pointer(points, arrays, local + 1) - begin
-            total = context_counts[mine]
-            value = np.log10(np.where(kinds > 0, np.maximum(kinds, 1) / (total + kinds), 1) * alone[mine])
-            value[equal] = arrays["book"][arrays["bins"][at[equal]]]
-            out[mine] = value
-        return out
+            weight[a:b] = np.log10(np.where(kinds > 0, np.maximum(kinds, 1) / (arrays["totals"][local] + np.maximum(kinds, 1)), 1))
+            found = a + np.flatnonzero(equal)
+            index, begin = index[equal], begin[equal]
+            value[found] = arrays["book"][arrays["bins"][index]]
+            position[found], within[found] = starts[shard] + index, index - begin
+        at[asked], place[asked] = position[inverse], within[inverse]
+        out[asked] = np.where(at[asked] >= 0, value[inverse], lower[asked] + weight[inverse])
+        return out, at, place
+
+    def walk(self, ids: np.ndarray, begin: np.ndarray, counts: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Per token of texts that begin at ``begin``: context and successor in the level after ``order``, and its log10
+        probability in a model of ``order`` levels."""
+        contexts, successors, value = np.roll(ids, 1), ids, np.log10(self.unigram(counts))
+        contexts[begin] = self.model.start if self.model.ends else -1
+        contexts[contexts == self.model.unknown] = -1
+        for n in range(2, order + 1):
+            value, at, successors = self.follow(n, contexts, successors, value)
+            contexts = np.roll(at, 1)
+            contexts[begin] = -1
+        return contexts, successors, value
+
+    def log10(self, contexts: np.ndarray, ids: np.ndarray, context_counts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """log10 probability of each word after the word before it alone."""
+        seen = (contexts < self.model.unknown) & (context_counts > 0)
+        return self.follow(2, np.where(seen, contexts, -1), ids, np.log10(self.unigram(counts)))[0]
 
 
 def _pointer(points: ef.Sequence, arrays: dict, i: np.ndarray) -> np.ndarray:
@@ -256,13 +319,25 @@ def _levels(model: Model) -> Levels:
     return _OPEN[0]
 
 
-def train(texts: DataFrame, text: str = "text") -> Model:
-    """Count, smooth and write a bigram model of all texts. NULL texts count as empty: just an end."""
+def _flat(levels: Levels, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Word ids of texts, each with its end, one after the other; where each text begins; how many ids it has."""
+    each = [np.append(i, levels.model.end) for i in levels.ids([words(t) for t in texts])]
+    sizes = np.array([len(i) for i in each], dtype=np.int64)
+    return np.concatenate(each) if each else np.zeros(0, np.int64), np.cumsum(sizes) - sizes, sizes
+
+
+def train(texts: DataFrame, text: str = "text", order: int = 2) -> Model:
+    """Count, smooth and write a model of all texts with contexts of up to ``order - 1`` words. NULL texts count as empty: just an end."""
+    if order < 2:
+        raise ValueError("a model has two levels at least")
     spark = texts.sparkSession
     path = shared_folder(spark, "language-model")
     raw = texts.select(F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("t"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    def by_range(hashes: np.ndarray) -> np.ndarray:
+        return _by_range(hashes, parts)
+
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in rows:
@@ -270,16 +345,14 @@ def train(texts: DataFrame, text: str = "text") -> Model:
                 held.append(_hash.of(words(t)))
                 size += len(held[-1])
             if size > FLUSH:
-                keys, counts = _summed(held)
-                yield _dealt(keys, counts, _by_range(keys, parts))
+                yield _dealt(held, by_range)
                 held, size = [], 0
         if size:
-            keys, counts = _summed(held)
-            yield _dealt(keys, counts, _by_range(keys, parts))
+            yield _dealt(held, by_range)
 
     def level_one(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, blobs in _gathered(rows):
-            keys, counts = _merged(blobs)
+            keys, counts, _ = _merged(blobs)
             # the range is encoded relative to nothing: high bits of a range cost one zero each, so hashes keep their full value
             arrays, bits = ef.encode(keys, 1 << 64)
             ef.save(f"{path}/words-{part}", arrays | {"counts": counts}, {"bits": bits, "n": len(keys)})
@@ -291,54 +364,68 @@ def train(texts: DataFrame, text: str = "text") -> Model:
     sizes = {r["shard"]: r["n"] for r in built}
     tokens = sum(r["total"] for r in built) + ends
     shards = max(parts, ceil(tokens / SHARD))
-    model = Model(path, tuple(sizes.get(p, 0) for p in range(parts)), ends, tokens, shards)
+    model = Model(path, tuple(sizes.get(p, 0) for p in range(parts)), ends, tokens)
+    grams = Grams(model.n_words + 2, model.n_words + 3, shards)
+    for n in range(2, order + 1):
+        if grams.contexts * (grams.width + 1) >= 1 << 63:
+            raise ValueError(f"n-grams of level {n} do not fit 63 bits")
+        sizes, width = _level(raw, model, n, grams)
+        model = replace(model, grams=(*model.grams, replace(grams, sizes=sizes)))
+        grams = Grams(sum(sizes), width, shards)
+    return model
+
 
-    def pair(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels, held, size = _levels(model), [], 0
+def _level(raw: DataFrame, model: Model, n: int, grams: Grams) -> tuple[tuple[int, ...], int]:
+    """Write level ``n`` below the levels of ``model``: n-grams in each file, and the most successors of a context."""
 
-        def flush():
-            keys, counts = _summed(held)
-            return _dealt(keys, counts, levels.shard((keys >> np.uint64(32)).astype(np.int64)))
+    def shard(keys: np.ndarray) -> np.ndarray:
+        return grams.shard((keys // np.uint64(grams.width)).astype(np.int64))
 
+    def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels, held, lower, size = _levels(model), [], [], 0
         for batch in rows:
-            for ids in levels.ids([words(t) for t in batch.column(0).to_pylist()]):
-                chain = np.concatenate(([model.start], ids, [model.end])).astype(np.uint64)
-                held.append(chain[:-1] << np.uint64(32) | chain[1:])
-                size += len(ids) + 1
+            ids, begin, _ = _flat(levels, batch.column(0).to_pylist())
+            contexts, successors, value = levels.walk(ids, begin, levels.counts(ids), n - 1)
+            seen = np.flatnonzero(contexts >= 0)  # all but the first words of texts, which have no context of this length
+            held.append((contexts[seen] * grams.width + successors[seen]).astype(np.uint64))
+            if n > 2:
+                lower.append(value[seen].astype(np.float32))
+            size += len(seen)
             if size > FLUSH:
-                yield flush()
-                held, size = [], 0
+                yield _dealt(held, shard, lower)
+                held, lower, size = [], [], 0
         if size:
-            yield flush()
+            yield _dealt(held, shard, lower)
 
-    def level_two(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        levels = _levels(model)
-        for shard, blobs in _gathered(rows):
-            keys, counts = _merged(blobs)
-            contexts, ids = (keys >> np.uint64(32)).astype(np.int64), (keys & np.uint64(0xFFFFFFFF)).astype(np.int64)
-            first, stop, width = levels.first(shard), levels.first(shard + 1), model.n_words + 3
-            local = contexts - first
+    def write(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels, width = _levels(model), grams.width
+        for part, blobs in _gathered(rows):
+            keys, counts, lower = _merged(blobs)
+            first, stop = grams.first(part), grams.first(part + 1)
+            keys -= np.uint64(first * width)
+            local = (keys // np.uint64(width)).astype(np.int64)
             where = np.searchsorted(local, np.arange(stop - first + 1))
             run = np.diff(where)
             total = np.add.reduceat(np.append(counts, 0), where[:-1]) * (run > 0)
-            alone = levels.unigram(levels.counts(ids))
+            # in level two the probability of the word alone, which is not sent along
+            alone = levels.unigram(levels.counts((keys % np.uint64(width)).astype(np.int64))) if lower is None else 10.0**lower
             value = np.log10((counts + run[local] * alone) / (total[local] + run[local]))
             low, high = float(value.min()), float(value.max())
             bins = np.minimum(((value - low) / max(high - low, 1e-9) * BINS).astype(np.int64), BINS - 1)
             members = np.bincount(bins, minlength=BINS)
             book = np.bincount(bins, weights=value, minlength=BINS) / np.maximum(members, 1)
-            pairs, bits = ef.encode(local.astype(np.uint64) * np.uint64(width) + ids.astype(np.uint64), (stop - first) * width)
+            pairs, bits = ef.encode(keys, (stop - first) * width)
             points, point_bits = ef.encode(where, len(keys) + 1)
             ones = np.concatenate(([0], np.cumsum(np.bitwise_count(points["high"]).astype(np.int64))[:-1]))
-            arrays = pairs | {"point_" + n: a for n, a in points.items()} | {"point_ones": ones, "book": book, "bins": bins.astype(np.uint8)}
-            ef.save(f"{path}/pairs-{shard}", arrays, {"bits": bits, "n": len(keys), "point_bits": point_bits, "contexts": stop - first, "first": first, "width": width})
-            yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int64())], ["shard"])
+            arrays = pairs | {"point_" + k: a for k, a in points.items()} | {"point_ones": ones, "book": book, "bins": bins.astype(np.uint8)}
+            arrays["totals"] = total.astype(np.min_scalar_type(int(total.max())))
+            ef.save(f"{model.path}/grams{n}-{part}", arrays, {"bits": bits, "n": len(keys), "point_bits": point_bits, "contexts": stop - first})
+            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([len(keys)], pa.int64()), pa.array([int(run.max())], pa.int64())], ["shard", "n", "widest"])
 
-    if model.unknown >= 1 << 32:
-        raise ValueError("word ids do not fit 32 bits")
-    with tidy(spark):
-        raw.mapInArrow(pair, _BLOBS).repartition(shards, "shard").mapInArrow(level_two, "shard long").collect()
-    return model
+    with tidy(raw.sparkSession):
+        built = raw.mapInArrow(count, _BLOBS).repartition(grams.shards, "shard").mapInArrow(write, "shard long, n long, widest long").collect()
+    sizes = {r["shard"]: r["n"] for r in built}
+    return tuple(sizes.get(p, 0) for p in range(grams.shards)), max((r["widest"] for r in built), default=0)
 
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -351,15 +438,10 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = _levels(model)
         for batch in rows:
-            each = [np.append(i, model.end) for i in levels.ids([words(t) for t in batch.column(1).to_pylist()])]
-            sizes = np.array([len(i) for i in each], dtype=np.int64)
-            ids = np.concatenate(each) if each else np.zeros(0, np.int64)
-            begin = np.cumsum(sizes) - sizes
+            ids, begin, sizes = _flat(levels, batch.column(1).to_pylist())
             counts = levels.counts(ids)
-            contexts, context_counts = np.roll(ids, 1), np.roll(counts, 1)
-            contexts[begin], context_counts[begin] = model.start, model.ends
             base = np.log10((counts + 1) / (model.tokens + model.types + 1))
-            made = levels.log10(contexts, ids, context_counts, counts)
+            made = levels.walk(ids, begin, counts, model.order)[2]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes), pa.array(np.add.reduceat((counts > 0).astype(np.int64), begin)),
                  pa.array(np.full(len(sizes), model.tokens, dtype=np.int64)), pa.array(np.add.reduceat(base, begin)), pa.array(np.add.reduceat(made, begin))],
@@ -372,6 +454,6 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     return made.withColumnRenamed("k", key)
 
 
-def train_and_score(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str = "text") -> DataFrame:
+def train_and_score(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str = "text", order: int = 2) -> DataFrame:
     """Train on the rows where ``learn_from`` holds and score all rows."""
-    return score(docs, train(docs.where(learn_from), text), key, text)
+    return score(docs, train(docs.where(learn_from), text, order), key, text)

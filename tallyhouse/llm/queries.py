@@ -119,5 +119,5 @@ def op1_toxicity(spark, folder):
 @query
 def op7_language_model(spark, folder):
     docs = table(spark, folder, "documents")
-    scored = language_model.train_and_score(docs, remainder("doc_id", 7) != 2)
+    scored = language_model.train_and_score(docs, remainder("doc_id", 7) != 2, order=3)
     return scored.withColumn("held_out", remainder("doc_id", 7) == 2)

@@ -95,3 +95,55 @@ def test_probabilities_of_a_context_sum_to_one(spark, docs):
 
 def words_bytes(text):
     return text.encode().split()
+
+
+def brute_order(rows, train, order):
+    """Exact interpolated scores with contexts of up to ``order - 1`` words."""
+    chains = [["<s>", *words(lower(t)), None] for _, t in rows]
+    seen, after, kinds = Counter(), Counter(), {}
+    for c, use in zip(chains, train):
+        for i in range(1, len(c) if use else 0):
+            for n in range(min(order, i + 1)):
+                context = tuple(c[i - n : i])
+                seen[context, c[i]] += 1
+                after[context] += 1
+                kinds.setdefault(context, set()).add(c[i])
+    N, V = after[()], len(kinds.get((), ()))
+    out = []
+    for c in chains:
+        made = 0.0
+        for i in range(1, len(c)):
+            p = (seen[(), c[i]] or max(V, 1)) / max(N + V, 1)
+            for n in range(1, min(order, i + 1)):
+                context = tuple(c[i - n : i])
+                t = len(kinds.get(context, ()))
+                p = (seen[context, c[i]] + t * p) / (after[context] + t) if t else p
+            made += math.log10(p)
+        out.append((len(c) - 1, made))
+    return out
+
+
+def test_longer_contexts(spark, docs):
+    rows = [(1, None), (2, ""), (3, "the cat sat on the mat " * 3_000), (4, "the dog sat under the tree"), (4, "the dog sat under the tree"), (None, "the cat sat under new é"),
+            (6, "a a a a b"), (7, "the dog sat on the tree a a b"), (8, "dog sat"), (9, "b a a b the cat")]
+    train = [i not in (2, 7, 9) for i, _ in rows]
+    learn_from = F.coalesce(~F.col("doc_id").isin(2, 7, 9), F.lit(True))
+    for order in (2, 3, 4):
+        for use, where in ((train, learn_from), ([False] * len(rows), F.lit(False))):
+            got = sorted((str(r.doc_id), r.n_tokens, r.score) for r in L.train_and_score(docs(rows), where, order=order).collect())
+            want = sorted((str(i), n, made) for (i, _), (n, made) in zip(rows, brute_order(rows, use, order)))
+            for (i, n, score), (j, m, made) in zip(got, want, strict=True):
+                assert (i, n) == (j, m) and abs(score - made) < 0.04 * math.sqrt(n), (order, i, score, made)
+
+
+def test_query_uses_two_preceding_words(spark, folder):
+    table = spark.read.parquet(f"{folder}/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in table.collect()]
+    train = [zlib.crc32(str(i).encode()) % 7 != 2 for i, _ in rows]
+    got = queries.op7_language_model(spark, folder).collect()
+    want = sorted((i, n, made) for (i, _), (n, made) in zip(rows, brute_order(rows, train, 3)))
+    for r, (i, n, made) in zip(sorted(got, key=lambda r: (r.doc_id, r.n_tokens, r.score)), want, strict=True):
+        assert (r.doc_id, r.n_tokens) == (i, n) and abs(r.score - made) < 0.04 * math.sqrt(n), (r, made)
+    two = L.train_and_score(table, queries.remainder("doc_id", 7) != 2).collect()
+    held = {r.doc_id for r in got if r.held_out}
+    assert held and sum(r.score for r in got if r.held_out) > sum(r.score for r in two if r.doc_id in held)
