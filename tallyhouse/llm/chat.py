@@ -4,8 +4,9 @@ A turn is written as ``### role: text </turn>`` and a newline. Inside roles and
 and every text comes back exactly. The example of an assistant turn has all turns before it as context and only that reply
 under the loss mask.
 
-The context of an example is a prefix of its formatted conversation. It is kept as a number of turns, not as a copy: a
-conversation of n turns takes space in proportion to n, not to its square. ``materialise`` writes examples out in full.
+An example is a prefix of its formatted conversation. It is kept as a number of context turns and the loss mask, the bytes
+of the formatted conversation where the reply begins and ends, not as a copy: a conversation of n turns takes space in
+proportion to n, not to its square. Trainable text is cut out by the mask; ``materialise`` builds examples in full.
 Everything is built from DataFrame functions; no Python runs on the executors.
 """
 
@@ -15,6 +16,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tallyhouse.session import workspace
 
@@ -80,35 +82,51 @@ def parsed(formatted: str = "formatted") -> Column:
 
 
 def examples(rows: DataFrame, target: str = "assistant") -> DataFrame:
-    """One row per target turn: ``conv_key``, ``context_turns`` (turns before it), ``reply`` (escaped, under the mask)."""
-    turns = rows.select("conv_key", F.posexplode(parsed()).alias("context_turns", "one"))
-    aimed = turns.where(unescape(F.col("one.role")) == target)
-    return aimed.select("conv_key", "context_turns", F.col("one.text").alias("reply"))
+    """One row per target turn: ``conv_key``, ``context_turns`` (turns before it), ``loss_start`` and ``loss_end`` (bytes of the
+    UTF-8 formatted conversation under the mask)."""
+    head = F.octet_length("one.role") + len(OPEN + MIDDLE)
+    size = F.octet_length("one.text")
+    turns = rows.select("conv_key", F.posexplode(parsed()).alias("context_turns", "one")).select(
+        "conv_key", "context_turns", head.cast("long").alias("head"), size.cast("long").alias("size"), (unescape(F.col("one.role")) == target).alias("aimed")
+    )
+    # only lengths are dealt out, no text
+    end = F.sum(F.col("head") + F.col("size") + len(CLOSE)).over(Window.partitionBy("conv_key").orderBy("context_turns")) - len(CLOSE)
+    masked = turns.withColumn("loss_end", end).where("aimed")
+    return masked.select("conv_key", "context_turns", (F.col("loss_end") - F.col("size")).alias("loss_start"), "loss_end")
+
+
+def _cut(raw: Column, start: Column | int, stop: Column) -> Column:
+    """Text between two byte positions."""
+    start = start if isinstance(start, Column) else F.lit(start)
+    return F.substr(raw, (start + 1).cast("int"), (stop - start).cast("int")).cast("string")
 
 
-def materialise(spark: SparkSession, files: ChatFiles, target: str = "assistant") -> DataFrame:
+def materialise(spark: SparkSession, files: ChatFiles) -> DataFrame:
     """Examples in full: ``conv_key``, ``context_turns``, ``example`` text, ``loss_start`` and ``loss_end`` (characters under the mask)."""
     rows = spark.read.parquet(files.examples).join(conversations(spark, files).withColumnRenamed("conv_key", "same"), F.col("conv_key").eqNullSafe(F.col("same")))
-    prefix = F.when(F.col("context_turns") == 0, "").otherwise(F.concat(F.call_function("substring_index", "formatted", F.lit(CLOSE), "context_turns"), F.lit(CLOSE)))
-    head = F.concat(F.lit(OPEN), escape(F.lit(target), role=True), F.lit(MIDDLE))
-    start = F.length(prefix) + F.length(head)
+    raw, start, stop = F.col("formatted").cast("binary"), F.col("loss_start"), F.col("loss_end")
     return rows.select(
-        "conv_key", "context_turns", F.concat(prefix, head, "reply", F.lit(CLOSE)).alias("example"),
-        start.alias("loss_start"), (start + F.length("reply")).alias("loss_end"),
+        "conv_key", "context_turns", _cut(raw, 0, stop + len(CLOSE)).alias("example"),
+        F.length(_cut(raw, 0, start)).alias("loss_start"), F.length(_cut(raw, 0, stop)).alias("loss_end"),
     )
 
 
 def digest(spark: SparkSession, files: ChatFiles, conv: str = "conv_id") -> DataFrame:
-    """Per conversation, read back from the files: turns and their digest, trainable characters and their digest."""
+    """Per conversation, read back from the files: turns and their digest, trainable characters and their digest.
+
+    Trainable text is what the masks of the examples leave of the formatted conversation.
+    """
     whole = conversations(spark, files).select(
-        "conv_key", "n_turns", F.length("formatted").cast("long").alias("formatted_chars"),
+        "conv_key", "n_turns", F.col("formatted").cast("binary").alias("raw"), F.length("formatted").cast("long").alias("formatted_chars"),
         F.sha2(F.array_join(F.transform(parsed(), lambda o: F.concat(unescape(o["role"]), F.lit("\n"), unescape(o["text"]), F.lit("\n"))), ""), 256).alias("turns_sha256"),
     )
     found = spark.read.parquet(files.examples).groupBy(F.col("conv_key").alias("same")).agg(
-        F.sort_array(F.collect_list(F.struct("context_turns", unescape(F.col("reply")).alias("x")))).alias("all")
+        F.sort_array(F.collect_list(F.struct("context_turns", "loss_start", "loss_end"))).alias("all")
     )
-    loss = found.select("same", F.array_join(F.transform("all", lambda o: o["x"]), "").alias("loss"))
-    joined = whole.join(loss, F.col("conv_key").eqNullSafe(F.col("same")), "left").withColumn("loss", F.coalesce("loss", F.lit("")))
+    joined = whole.join(found, F.col("conv_key").eqNullSafe(F.col("same")), "left")
+    # raw is a variable of the outer function, so that a conversation is read once and not once a turn
+    texts = F.flatten(F.transform(F.array("raw"), lambda raw: F.transform("all", lambda o: unescape(_cut(raw, o["loss_start"], o["loss_end"])))))
+    joined = joined.withColumn("loss", F.coalesce(F.array_join(texts, ""), F.lit("")))
     return joined.select(
         F.col("conv_key").alias(conv), "n_turns", "turns_sha256", F.length("loss").cast("long").alias("loss_chars"),
         F.sha2("loss", 256).alias("loss_sha256"), "formatted_chars",

@@ -55,3 +55,19 @@ def test_query_equals_sql(spark, folder):
     got = queries.op6_chat_examples(spark, folder)
     want = con.sql(queries.SQL["op6_chat_examples"])
     assert sorted(map(tuple, got.select(*want.columns).collect())) == sorted(want.fetchall())
+
+
+def test_digest_reads_text_under_the_mask(spark):
+    rows = [(1, 0, "user", "é#: hi"), (1, 1, "assistant", "漢<b\\"), (1, 2, "user", "more 😀"), (1, 3, "assistant", "last"), (None, 0, "assistant", ""), (2, 0, "user", "alone")]
+    files = chat.write(spark.createDataFrame([(*r, "k", "f") for r in rows], SHAPE))
+    kept = spark.read.parquet(files.examples)
+    assert set(kept.columns) == {"conv_key", "context_turns", "loss_start", "loss_end"}
+    whole = {r.conv_key: r.formatted.encode() for r in chat.conversations(spark, files).collect()}
+    cut = {(r.conv_key, r.context_turns): whole[r.conv_key][r.loss_start : r.loss_end].decode() for r in kept.collect()}
+    assert cut == {(1, 1): "漢\\lb\\b", (1, 3): "last", (None, 0): ""}
+    got = {r.conv_id: (r.n_turns, r.turns_sha256, r.loss_chars, r.loss_sha256) for r in chat.digest(spark, files).collect()}
+    assert got == expected(rows)
+    # a mask that is one byte short must show in the digest
+    moved = chat.ChatFiles(files.conversations, files.examples + "-moved")
+    kept.selectExpr("conv_key", "context_turns", "loss_start", "greatest(loss_start, loss_end - 1) AS loss_end").write.parquet(moved.examples)
+    assert {r.conv_id: r.loss_chars for r in chat.digest(spark, moved).collect()} != {k: v[2] for k, v in got.items()}
