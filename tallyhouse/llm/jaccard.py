@@ -182,8 +182,8 @@ def _signed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame
             blobs = [low[a:b].tobytes() + owner[a:b].tobytes() + mark[a:b].tobytes() for a, b in zip(starts, stops)]
             blank = [None] * len(blobs)
             names = bucket[starts].astype(np.int64).tolist()
-            for k, n, digest in told:  # documents are dealt out by their digest
-                names.append(int.from_bytes(digest[8:12], "little") % buckets)
+            for k, _, digest in told:  # documents need not meet here: copies are dealt out by their keys too
+                names.append(xxhash.xxh3_64_intdigest(digest + (k or 0).to_bytes(8, "little", signed=True)) % buckets)
             return pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.int64()), pa.array(blobs + [None] * len(told), pa.binary()), pa.array(blank + [x[0] for x in told], pa.int64()),
                  pa.array(blank + [x[1] for x in told], pa.int64()), pa.array(blank + [x[2] for x in told], pa.binary())],

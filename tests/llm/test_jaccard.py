@@ -90,3 +90,10 @@ def test_whole_test_table(spark, folder):
     want = components([(r.doc_id, r.text) for r in table.collect()])
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in J.similar_components(table).collect()} == want
     assert shingles(None) == frozenset()
+
+
+def test_copies_are_dealt_out(spark, docs):
+    made = J._signed(docs([(i, "one text that all the rows have") for i in range(-150, 150)] + [(None, "other words")]), "doc_id", "text", 0.75).where("digest is not null")
+    assert made.count() == 301
+    files = [r["count"] for r in made.selectExpr("input_file_name() AS f").groupBy("f").count().collect()]
+    assert len(files) > 1 and max(files) < 250
