@@ -51,6 +51,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the folder of a staged frame that nothing reads any more."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()[:1]}:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
+
+
 def remainder(key: str, of: int) -> Column:
     """crc32 of a key written as text, modulo ``of``; a NULL key counts as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % of

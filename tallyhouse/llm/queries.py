@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tallyhouse.llm import chat, decontamination, id_files, jaccard, language_model, packing, quality_rules, toxicity, warc
+from tallyhouse.llm import centroids, chat, decontamination, id_files, jaccard, language_model, packing, quality_rules, runs, toxicity, warc
 from tallyhouse.llm.base import remainder, table
 from tallyhouse.llm.token_counts import count_tokens
 
@@ -121,3 +121,53 @@ def op7_language_model(spark, folder):
     docs = table(spark, folder, "documents")
     scored = language_model.train_and_score(docs, remainder("doc_id", 7) != 2, order=3)
     return scored.withColumn("held_out", remainder("doc_id", 7) == 2)
+
+
+@query
+def op12_word_runs(spark, folder):
+    return runs.find_runs(table(spark, folder, "documents"), plant=True)
+
+
+@query
+def op13_centroid_clusters(spark, folder):
+    return centroids.cluster(table(spark, folder, "embeddings"), k=8, rounds=10, seed=3)
+
+
+# crc32 of a key as text, bit by bit: a number is a byte to take in, -1 a step over one bit
+_CRC32 = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+    LAMBDA c: [ascii(c)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+    LAMBDA a, x: CASE WHEN x >= 0 THEN xor(a, x) WHEN a % 2 = 1 THEN xor(a // 2, 3988292384::BIGINT) ELSE a // 2 END), 4294967295::BIGINT)"""
+
+SQL["op12_word_runs"] = rf"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS rid, {_CRC32} AS h, {_WORDS.format("coalesce(text, '')")} AS ws FROM documents),
+e AS (SELECT *, len(ws)::BIGINT AS n, h // 10 AS g FROM d),
+f AS (SELECT *, CASE WHEN n > 0 THEN g % n END AS a FROM e),
+w AS (SELECT rid, n, i, ws[1 + CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END] AS x
+      FROM (SELECT *, unnest(range(n)) AS i FROM f)),
+same AS (SELECT l.rid, l.i, r.i - l.i AS q FROM w l JOIN w r ON l.rid = r.rid AND l.x = r.x AND r.i > l.i AND 4 * (r.i - l.i) <= l.n),
+islands AS (SELECT *, i - row_number() OVER (PARTITION BY rid, q ORDER BY i) AS island FROM same),
+stretches AS (SELECT rid, q, min(i) AS s, count(*) + q AS n FROM islands GROUP BY rid, q, island HAVING count(*) + q >= greatest(6, 4 * q)),
+r AS (SELECT rid, s, n, min(q) AS q FROM stretches GROUP BY rid, s, n),
+best AS (SELECT * FROM r QUALIFY row_number() OVER (PARTITION BY rid ORDER BY n / q DESC, s, q) = 1),
+lists AS (SELECT rid, count(*) AS c, string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS t FROM r GROUP BY rid),
+kept AS (SELECT rid, string_agg(x, ' ' ORDER BY i) AS t FROM w
+         WHERE NOT EXISTS (SELECT 1 FROM r WHERE r.rid = w.rid AND w.i >= r.s + r.q AND w.i < r.s + r.n) GROUP BY rid)
+SELECT doc_id, coalesce(c, 0)::BIGINT AS n_runs, best.s::BIGINT AS start, best.n::BIGINT AS length, best.q::BIGINT AS period,
+  (1000 * best.n // best.q)::BIGINT AS exponent_milli, sha256(coalesce(lists.t, '')) AS runs_sha256, sha256(coalesce(kept.t, '')) AS collapsed_sha256
+FROM f LEFT JOIN best USING (rid) LEFT JOIN lists USING (rid) LEFT JOIN kept USING (rid)"""
+
+_ROUND = """a{0} AS MATERIALIZED (SELECT rid, arg_min(j, apart * 8 + j) AS j, min(apart) AS apart FROM (
+      SELECT v.rid, c.j, list_sum(list_transform(list_zip(v.x, c.x), LAMBDA p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS apart FROM v, c{0} c) GROUP BY rid)"""
+_MOVE = """m{0} AS MATERIALIZED (SELECT j, i, sum(v.x[i])::BIGINT AS s, count(*) AS n FROM a{0} JOIN v USING (rid), range(1, 65) r(i) GROUP BY j, i),
+    c{1} AS MATERIALIZED (SELECT j, coalesce(y, x) AS x FROM c{0} LEFT JOIN (
+      SELECT j, list((s - ((s % n) + n) % n) // n ORDER BY i) AS y FROM m{0} GROUP BY j) USING (j))"""
+
+SQL["op13_centroid_clusters"] = f"""
+WITH v AS MATERIALIZED (SELECT vec_id, row_number() OVER () AS rid, list_transform(embedding, LAMBDA x: floor(1024 * x::DOUBLE)::BIGINT) AS x FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, LAMBDA x: x IS NOT NULL AND isfinite(x))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS j, x FROM v QUALIFY j < 8),
+{", ".join(_ROUND.format(i) + ", " + _MOVE.format(i, i + 1) for i in range(10))},
+{_ROUND.format(10)}
+SELECT vec_id, j::INTEGER AS cluster, apart AS distance, (sum(apart) OVER (PARTITION BY j))::BIGINT AS cluster_inertia,
+  (sum(apart) OVER ())::BIGINT AS inertia, sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a10 JOIN v USING (rid) JOIN c10 c USING (j)"""
