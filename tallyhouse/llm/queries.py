@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallyhouse.llm import centroids, chat, decontamination, id_files, jaccard, language_model, packing, quality_rules, runs, toxicity, warc
+from tallyhouse.llm import centroids, chat, decontamination, id_files, jaccard, language_model, packing, quality_rules, repeats, runs, toxicity, warc
 from tallyhouse.llm.base import remainder, table
 from tallyhouse.llm.token_counts import count_tokens
 
@@ -123,6 +124,13 @@ def op7_language_model(spark, folder):
     return scored.withColumn("held_out", remainder("doc_id", 7) == 2)
 
 
+@query
+def op11_repeated_passages(spark, folder):
+    kept = repeats.remove_repeats(table(spark, folder, "documents"))
+    removed = (F.col("n_bytes") - F.octet_length("kept")).cast("bigint").alias("n_removed")
+    return kept.select("doc_id", "n_bytes", removed, F.size("spans").cast("bigint").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op12_word_runs(spark, folder):
     return runs.find_runs(table(spark, folder, "documents"), plant=True)
