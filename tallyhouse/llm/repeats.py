@@ -278,8 +278,9 @@ def _sort(sent: DataFrame, shards: int, folder: str | None, memory: int) -> Data
             block, at = block[order], at[order].astype(np.int64)
             new = np.r_[True, (np.diff(block) != 0) | (np.diff(at) != 1)]
             first, last, of = at[new], at[np.r_[new[1:], True]], block[new]
-            for b in np.unique(of).tolist():
-                yield result(0, b, first[of == b], last[of == b])
+            cuts = np.r_[np.flatnonzero(np.diff(of, prepend=of[:1] - 1)), len(of)].tolist()
+            for low, high in zip(cuts, cuts[1:]):
+                yield result(0, int(of[low]), first[low:high], last[low:high])
         yield from ready
 
     return sent.repartitionById(shards, F.col("shard")).mapInArrow(sort, sent.schema)
@@ -292,11 +293,9 @@ def _cut(blocks: DataFrame, key: str) -> DataFrame:
         for batch in batches:
             for row in batch.to_pylist():
                 text, ends = _read(row["texts"], row["sizes"])
-                edge = np.zeros(len(text) + 1, dtype=np.int32)
-                for r in row["found"] or []:
-                    first, last = _unpack(r["a"], r["n"], "<u4", "<u4")
-                    edge += np.bincount(first, minlength=len(edge)).astype(np.int32)
-                    edge -= np.bincount(last.astype(np.int64) + RIGHT, minlength=len(edge)).astype(np.int32)
+                found = [_unpack(r["a"], r["n"], "<u4", "<u4") for r in row["found"] or []]
+                first, last = (np.concatenate([np.zeros(0, "<u4"), *x]) for x in (zip(*found) if found else ([], [])))
+                edge = np.bincount(first, minlength=len(text) + 1) - np.bincount(last.astype(np.int64) + RIGHT, minlength=len(text) + 1)
                 gone = np.cumsum(edge[:-1]) > 0
                 free, filled = np.r_[0, ends[:-1]], np.diff(ends, prepend=0) > 0
                 starts, stops = np.r_[True, ~gone[:-1]][: len(text)], np.r_[~gone[1:], True][: len(text)]
