@@ -133,7 +133,7 @@ def op11_repeated_passages(spark, folder):
 
 @query
 def op12_word_runs(spark, folder):
-    return runs.find_runs(table(spark, folder, "documents"), plant=True)
+    return runs.digest(runs.find_runs(table(spark, folder, "documents"), plant=True))
 
 
 @query

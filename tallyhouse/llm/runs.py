@@ -12,9 +12,6 @@ Squares of one period in neighbouring blocks merge; the ends of what they merge
 
 from __future__ import annotations
 
-import hashlib
-from functools import cmp_to_key
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -116,26 +113,15 @@ class Catchers:
         return rows[np.array(exact, dtype=bool)] if len(rows) else rows
 
 
-def _more(a: tuple[int, int, int], b: tuple[int, int, int]) -> int:
-    """Order of runs: greatest length / period first, then smallest start, then smallest period."""
-    return b[1] * a[2] - a[1] * b[2] or a[0] - b[0] or a[2] - b[2]
-
-
-def digest(words: list[bytes], runs: list[tuple[int, int, int]]) -> dict:
-    """The columns of one text. ``runs``: start, length, period by start and period."""
+def collapse(words: list[bytes], runs: list[tuple[int, int, int]]) -> bytes:
+    """Words joined by spaces, without those that a run holds after its first period. ``runs``: start, length, period."""
+    if not runs:
+        return b" ".join(words)
     dropped = np.zeros(len(words) + 1, dtype=np.int64)
     for s, n, q in runs:
         dropped[s + q] += 1
         dropped[s + n] -= 1
-    gone = np.cumsum(dropped[:-1]) > 0
-    kept = [w for w, out in zip(words, gone.tolist()) if not out] if runs else words
-    start, length, period = min(runs, key=cmp_to_key(_more)) if runs else (None, None, None)
-    return {
-        "n_runs": len(runs), "start": start, "length": length, "period": period,
-        "exponent_milli": 1000 * length // period if runs else None,
-        "runs_sha256": hashlib.sha256("".join(f"{s},{n},{q}\n" for s, n, q in runs).encode()).hexdigest(),
-        "collapsed_sha256": hashlib.sha256(b" ".join(kept)).hexdigest(),
-    }
+    return b" ".join([w for w, out in zip(words, (np.cumsum(dropped[:-1]) > 0).tolist()) if not out])
 
 
 def runs_of(texts: list[list[bytes]], least: int = 6, exponent: int = 4) -> list[list[tuple[int, int, int]]]:
@@ -168,8 +154,7 @@ def alike(texts: list[list[bytes]]) -> list[list[int]]:
     return groups
 
 
-COLUMNS = "n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string"
-_TYPES = [pa.int64()] * 5 + [pa.string()] * 2
+_RUNS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())]))
 
 
 def repeated(text: bytes | None, loop_from: int | None, loop: int | None) -> list[bytes]:
@@ -189,14 +174,13 @@ def planted(key: Column) -> tuple[Column, Column, Column]:
 
 
 def find_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", least: int = 6, exponent: int = 4, plant: bool = False) -> DataFrame:
-    """One row per document: ``key``, ``n_runs``, ``start``, ``length``, ``period`` and ``exponent_milli`` of the run with the greatest
-    exponent, ``runs_sha256`` of all runs, ``collapsed_sha256`` of the words outside later periods.
+    """One row per document: ``key``, ``runs`` (start, length and period in words, by start and period), ``collapsed`` (the text's
+    words joined by spaces, without those that a run holds after its first period).
 
     Words end at ASCII white space. A run is a stretch of consecutive words with smallest period ``q``, of ``least`` words and
     ``exponent`` periods or more, that no neighbouring word extends. ``plant`` makes the tails of a tenth of the documents
     periodic before the search (tests plant runs of every period so). NULL and empty texts have no words and no runs; rows repeat
-    as given and keep their key, NULL too (it plants like empty text); ties of the exponent go to the smaller start, then the
-    smaller period; extra columns are not read; an empty table gives no rows. A text is held by one task as a whole. Nothing is
+    as given and keep their key, NULL too (it plants like empty text); extra columns are not read; an empty table gives no rows. A text is held by one task as a whole. Nothing is
     shuffled.
     """
     yes, g, parts = planted(F.col(key)) if plant else (F.lit(False), F.lit(0).cast("bigint"), F.lit(3).cast("bigint"))
@@ -208,12 +192,29 @@ def find_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", least: i
         for t, g, parts in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
             n = len((t or b"").split()) if g is not None else 0
             texts.append(repeated(t, g % n, 1 + (n - g % n) // parts) if n else repeated(t, None, None))
-        made = [{}] * len(texts)
+        runs, collapsed = [None] * len(texts), [None] * len(texts)
         for group in alike(texts):
             for i, found in zip(group, runs_of([texts[i] for i in group], least, exponent)):
-                made[i] = digest(texts[i], found)
-        names = [c.split()[0] for c in COLUMNS.split(", ")]
-        return pa.RecordBatch.from_arrays([batch.column(0), *(pa.array([m[c] for m in made], type=x) for c, x in zip(names, _TYPES))], names=["k", *names])
+                runs[i], collapsed[i] = [dict(zip(("start", "length", "period"), r)) for r in found], collapse(texts[i], found)
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(runs, _RUNS), pa.array(collapsed, pa.binary()).cast(pa.string())], names=["k", "runs", "collapsed"])
 
-    found = rows.mapInArrow(batches(convert), f"k {kind}, {COLUMNS}")
+    found = rows.mapInArrow(batches(convert), f"k {kind}, runs array<struct<start:bigint,length:bigint,period:bigint>>, collapsed string")
     return found.withColumnRenamed("k", key)
+
+
+def digest(found: DataFrame, key: str = "doc_id") -> DataFrame:
+    """Number of runs, the run with the greatest exponent (ties: smaller start, then smaller period), and digests of runs and words."""
+
+    def before(a: Column, b: Column) -> Column:
+        more, less = a["length"] * b["period"], b["length"] * a["period"]
+        earlier = F.struct(a["start"], a["period"]) < F.struct(b["start"], b["period"])
+        return F.when(more > less, -1).when(more < less, 1).when(earlier, -1).otherwise(1)
+
+    best = F.get(F.array_sort("runs", before), F.lit(0))
+    lines = F.transform("runs", lambda r: F.concat(r["start"], F.lit(","), r["length"], F.lit(","), r["period"], F.lit("\n")))
+    rows = found.select(key, "runs", "collapsed", best.alias("best"))
+    return rows.select(
+        key, F.size("runs").cast("bigint").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
