@@ -20,9 +20,9 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from checks.registry import COHORT_DAYS, MIN_SUPPORT  # noqa: E402
 from tallyhouse.operators import changes, quality  # noqa: E402
 from tallyhouse.plans import analytics, gold  # noqa: E402
-from tallyhouse.plans.lake import LAYOUT, Lake  # noqa: E402
+from tallyhouse.plans.lake import LAYOUT, Lake, store  # noqa: E402
 from tallyhouse.session import configure  # noqa: E402
-from tallyhouse.sources import feed, tables  # noqa: E402
+from tallyhouse.sources import feed  # noqa: E402
 from tallyhouse.streaming import clickstream as K  # noqa: E402
 from tallyhouse.streaming import runner as R  # noqa: E402
 
@@ -63,22 +63,21 @@ def main() -> None:
 
     bronze = clock("load_bronze", lambda: feed.materialise(spark, FOLDER, scratch))
     lake = Lake(bronze, feed.AS_OF)
-    for name, (partition_by, sort_by) in LAYOUT.items():
+    for name in LAYOUT:
         layer, table = name.split(".")
         if layer != "bronze":
-            clock(f"etl_{layer}_{table}", lambda: tables.overwrite(getattr(lake, table), f"{scratch}/{layer}/{table}", partition_by, sort_by))
-            lake.__dict__[table] = tables.load(spark, scratch, layer, table)
-    items, as_of = bronze["transaction_line_items"], feed.AS_OF
+            lake.__dict__[table] = clock(f"etl_{layer}_{table}", lambda: store(getattr(lake, table), scratch, name))
+    sales, items, as_of = lake.sales_lines, bronze["transaction_line_items"], feed.AS_OF
     t = lake.transactions
     headline = {
         "bench_simple_agg": lambda: analytics.revenue_by_channel(t),
         "bench_date_range": lambda: analytics.revenue_by_recent_day(t, as_of),
         "bench_large_join": lambda: analytics.revenue_by_segment(t, lake.customers),
-        "bench_multi_join": lambda: analytics.revenue_by_category_segment_channel(items, t, lake.products, lake.customers, as_of),
+        "bench_multi_join": lambda: analytics.revenue_by_category_segment_channel(sales, lake.products, lake.customers, as_of),
         "sales_trend": lambda: analytics.sales_trend(t, as_of),
         "cohort_retention": lambda: analytics.cohort_retention(t, as_of, days=COHORT_DAYS),
-        "market_basket": lambda: analytics.market_basket(items, lake.products, MIN_SUPPORT),
-        "inventory_optimization": lambda: analytics.inventory_optimization(lake.products, items, t, bronze["inventory_snapshots"], as_of),
+        "market_basket": lambda: analytics.market_basket(sales, lake.products, MIN_SUPPORT),
+        "inventory_optimization": lambda: analytics.inventory_optimization(lake.products, sales, bronze["inventory_snapshots"], as_of),
     }
     more = {
         "mix_count": lambda: t.groupBy().count(),
@@ -88,7 +87,7 @@ def main() -> None:
         "kpi_segment_performance": lambda: analytics.kpi_segment_performance(lake.customer_360),
         "kpi_top_products": lambda: analytics.kpi_top_products(lake.product_performance),
         "kpi_store_by_state": lambda: analytics.kpi_store_by_state(lake.store_analytics),
-        "sales_summary_day_product_store": lambda: gold.sales_by_day_product_store(items, t),
+        "sales_summary_day_product_store": lambda: gold.sales_by_day_product_store(sales),
         "dq_orphan_line_items": lambda: quality.orphans(items, bronze["transactions"], "transaction_id", "items"),
         "gdpr_delete": lambda: changes.delete_keys(
             {"t": (t, ["transaction_id"])}, bronze["customers"].where("NOT is_active"), "customer_id")["t"],

@@ -103,7 +103,7 @@ def dq_summary(lake):
 
 @query
 def transaction_totals(lake):
-    return silver.transaction_totals(lake.bronze["transaction_line_items"])
+    return silver.transaction_totals(lake.sales_lines)
 
 
 @query
@@ -113,7 +113,7 @@ def silver_transactions(lake):
 
 @query
 def product_metrics(lake):
-    return silver.product_metrics(lake.bronze["transaction_line_items"])
+    return silver.product_metrics(lake.sales_lines)
 
 
 @query
@@ -150,7 +150,7 @@ def customer_360(lake):
 
 @query
 def product_performance_agg(lake):
-    return gold.product_performance_agg(lake.bronze["transaction_line_items"], lake.transactions)
+    return gold.product_performance_agg(lake.sales_lines)
 
 
 @query
@@ -170,7 +170,7 @@ def store_analytics(lake):
 
 @query
 def sales_summary_day_product_store(lake):
-    return gold.sales_by_day_product_store(lake.bronze["transaction_line_items"], lake.transactions)
+    return gold.sales_by_day_product_store(lake.sales_lines)
 
 
 @query
@@ -197,14 +197,12 @@ def cohort_retention(lake):
 
 @query
 def market_basket(lake):
-    return analytics.market_basket(lake.bronze["transaction_line_items"], lake.products, MIN_SUPPORT)
+    return analytics.market_basket(lake.sales_lines, lake.products, MIN_SUPPORT)
 
 
 @query
 def inventory_optimization(lake):
-    return analytics.inventory_optimization(
-        lake.products, lake.bronze["transaction_line_items"], lake.transactions, lake.bronze["inventory_snapshots"], AS_OF
-    )
+    return analytics.inventory_optimization(lake.products, lake.sales_lines, lake.bronze["inventory_snapshots"], AS_OF)
 
 
 @query
@@ -234,9 +232,7 @@ def bench_large_join(lake):
 
 @query
 def bench_multi_join(lake):
-    return analytics.revenue_by_category_segment_channel(
-        lake.bronze["transaction_line_items"], lake.transactions, lake.products, lake.customers, AS_OF
-    )
+    return analytics.revenue_by_category_segment_channel(lake.sales_lines, lake.products, lake.customers, AS_OF)
 
 
 @query

@@ -25,11 +25,6 @@ def since(df: DataFrame, as_of: dt.date, days: int, day: str = "transaction_date
     return recent
 
 
-def _lines_since(line_items: DataFrame, as_of: dt.date, days: int) -> DataFrame:
-    """Line items cut to the period themselves where they carry the transaction date."""
-    return since(line_items, as_of, days) if "transaction_date" in line_items.columns else line_items
-
-
 def _fine_mean(c: Column) -> Column:
     """Average of inexact values, summed as fixed-point so that row order cannot change it."""
     return mean(c.cast(FINE))
@@ -94,19 +89,19 @@ def cohort_retention(transactions: DataFrame, as_of: dt.date, days: int = 365, m
 
 
 def market_basket(
-    line_items: DataFrame, products: DataFrame, min_support: int = 100, limit: int | None = 50
+    sales: DataFrame, products: DataFrame, min_support: int = 100, limit: int | None = 50
 ) -> DataFrame:
     """Products bought together in ``min_support`` transactions or more, by descending lift.
 
     ``confidence`` divides by the smaller product count and ``lift`` is scaled by a million and leaves out the number of
     transactions: both follow the reporting rules, not the textbook. Products below the threshold cannot be
-    part of a result and are dropped before pairing. The distinct (transaction, product) rows and the product counts
-    are written once to the shared working folder and read by all steps.
+    part of a result and are dropped before pairing. The sales fact has one row per transaction and product; these rows and the
+    product counts are written once to the shared working folder and read by all steps.
     """
-    spark = line_items.sparkSession
+    spark = sales.sparkSession
     staged = workspace(spark, "baskets")
-    bought = line_items.select(F.col("transaction_id").alias("basket"), F.col("product_id").alias("item"))
-    bought.distinct().write.parquet(f"{staged}/rows")
+    bought = sales.select(F.col("transaction_id").alias("basket"), F.col("product_id").alias("item"))
+    bought.write.parquet(f"{staged}/rows")
     rows = spark.read.schema(bought.schema).parquet(f"{staged}/rows")
     counts = (
         rows.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
@@ -138,13 +133,11 @@ def market_basket(
 
 
 def inventory_optimization(
-    products: DataFrame, line_items: DataFrame, transactions: DataFrame, snapshots: DataFrame,
-    as_of: dt.date, days: int = 30, limit: int | None = 100,
+    products: DataFrame, sales: DataFrame, snapshots: DataFrame, as_of: dt.date, days: int = 30, limit: int | None = 100,
 ) -> DataFrame:
     """Active products with recent demand, stock at the latest snapshot, cover in days, status and revenue at risk."""
-    recent = since(transactions.where(PURCHASE), as_of, days).select("transaction_id")
-    lines = _lines_since(line_items, as_of, days)
-    demand = lines.join(recent, "transaction_id", "left_semi").groupBy("product_id").agg(F.sum("quantity").alias("sold"))
+    recent = since(sales.where("has_transaction").where(PURCHASE), as_of, days)
+    demand = recent.groupBy("product_id").agg(F.sum("units").alias("sold"))
     stock = latest_snapshot(snapshots).groupBy("product_id").agg(
         F.sum("quantity_available").alias("total_available"),
         F.avg("reorder_point").alias("avg_reorder_point"),
@@ -222,19 +215,18 @@ def revenue_by_segment(transactions: DataFrame, customers: DataFrame) -> DataFra
 
 
 def revenue_by_category_segment_channel(
-    line_items: DataFrame, transactions: DataFrame, products: DataFrame, customers: DataFrame, as_of: dt.date, days: int = 90
+    sales: DataFrame, products: DataFrame, customers: DataFrame, as_of: dt.date, days: int = 90
 ) -> DataFrame:
     """Lines and revenue of the last ``days`` days by product category, customer segment and channel.
 
     Sums per (category, customer, channel) are formed before customers are joined, so a hot customer, or the many lines
     of one product, enter that join as few rows. A hot product in the product join is split by AQE.
     """
-    recent = since(transactions, as_of, days).where("customer_id IS NOT NULL").select("transaction_id", "customer_id", "channel")
-    lines = _lines_since(line_items, as_of, days).select("transaction_id", "product_id", "line_total")
+    recent = since(sales.where("has_transaction"), as_of, days).where("customer_id IS NOT NULL")
     by_category = (
-        lines.join(recent, "transaction_id").join(products.select("product_id", "category"), "product_id")
+        recent.join(products.select("product_id", "category"), "product_id")
         .groupBy("category", "customer_id", "channel")
-        .agg(F.count(F.lit(1)).alias("lines"), F.sum("line_total").cast(MONEY).alias("revenue"))
+        .agg(F.sum("lines").alias("lines"), F.sum("revenue").cast(MONEY).alias("revenue"))
     )
     return (
         by_category.join(customers.select("customer_id", "customer_segment"), "customer_id")

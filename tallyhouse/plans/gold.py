@@ -141,23 +141,13 @@ def customer_360(customers: DataFrame, transactions: DataFrame) -> DataFrame:
     })
 
 
-def product_performance_agg(line_items: DataFrame, transactions: DataFrame) -> DataFrame:
-    """Sales per product with buyers, channel split and sale dates.
+def product_performance_agg(sales: DataFrame) -> DataFrame:
+    """Sales per product with buyers, channel split and sale dates, from the sales fact.
 
-    Lines are first summed per (transaction, product). That pair is then unique: distinct transactions are a plain
-    count, one distinct aggregate remains (two would make Spark multiply the rows), and a transaction with very
-    many lines enters the join with one row per product.
+    The fact has one row per transaction and product: distinct transactions are a plain count, and one distinct
+    aggregate remains (two would make Spark multiply the rows).
     """
-    lines = line_items.groupBy("transaction_id", "product_id").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.sum("quantity").alias("units"),
-        F.sum("line_total").cast(MONEY).alias("revenue"),
-        F.sum("unit_price").alias("price_sum"),
-        F.count("unit_price").alias("price_count"),
-        F.sum("discount_percent").alias("discount_sum"),
-        F.count("discount_percent").alias("discount_count"),
-    )
-    sold = lines.join(transactions.select("transaction_id", "transaction_date", "channel", "customer_id"), "transaction_id")
+    sold = sales.where("has_transaction")
     channel, revenue = F.col("channel"), F.col("revenue")
     return sold.groupBy("product_id").agg(
         F.sum("units").alias("total_units_sold"),
@@ -175,12 +165,10 @@ def product_performance_agg(line_items: DataFrame, transactions: DataFrame) -> D
     )
 
 
-def product_performance(
-    products: DataFrame, line_items: DataFrame, transactions: DataFrame, as_of: dt.date,
-) -> DataFrame:
+def product_performance(products: DataFrame, sales: DataFrame, as_of: dt.date) -> DataFrame:
     """Products with their sales, velocity, ranks within the category and performance class."""
     catalogue = products.drop("total_revenue", "avg_selling_price", "avg_discount_given", "unique_transactions")
-    joined = catalogue.join(product_performance_agg(line_items, transactions), "product_id", "left").na.fill(
+    joined = catalogue.join(product_performance_agg(sales), "product_id", "left").na.fill(
         0, ["total_units_sold", "total_revenue", "unique_customers"]
     )
     measured = joined.withColumns({
@@ -234,14 +222,13 @@ def store_analytics(
     return both.withColumn("performance_tier", at_most(F.col("revenue_rank"), V.STORE_TIERS, V.STORE_TIER_ELSE))
 
 
-def sales_by_day_product_store(line_items: DataFrame, transactions: DataFrame) -> DataFrame:
+def sales_by_day_product_store(sales: DataFrame) -> DataFrame:
     """Purchased units, revenue and transactions per day, product and store."""
-    bought = transactions.where(PURCHASE).select("transaction_id", "transaction_date", "store_id")
-    lines = line_items.select("transaction_id", "product_id", "quantity", "line_total")
-    return lines.join(bought, "transaction_id").groupBy("transaction_date", "product_id", "store_id").agg(
-        F.sum("quantity").alias("units_sold"),
-        F.sum("line_total").cast(MONEY).alias("revenue"),
-        F.countDistinct("transaction_id").alias("transaction_count"),
+    bought = sales.where("has_transaction").where(PURCHASE)
+    return bought.groupBy("transaction_date", "product_id", "store_id").agg(
+        F.sum("units").alias("units_sold"),
+        F.sum("revenue").cast(MONEY).alias("revenue"),
+        F.count("transaction_id").alias("transaction_count"),
     )
 
 
@@ -254,6 +241,9 @@ def inventory_status(snapshots: DataFrame) -> DataFrame:
 
 
 def latest_snapshot(snapshots: DataFrame) -> DataFrame:
-    """Rows of the most recent snapshot date, found by a scalar subquery."""
+    """Rows of the most recent snapshot date, found by a scalar subquery.
+
+    Stored by ``snapshot_date``, the subquery reads no column of any file and its result is a partition filter of the scan.
+    """
     newest = snapshots.agg(F.max("snapshot_date")).scalar()
     return snapshots.where(F.col("snapshot_date") == newest)

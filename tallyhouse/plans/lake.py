@@ -14,7 +14,10 @@ from tallyhouse.sources import tables as T
 
 #: how published tables are laid out: partition columns and sort columns inside the files
 LAYOUT = {
+    "bronze.transactions": (["year_month"], ["transaction_date"]),
+    "bronze.transaction_line_items": (["year_month"], ["transaction_date"]),
     "bronze.inventory_snapshots": (["snapshot_date"], []),
+    "silver.sales_lines": (["year_month"], ["transaction_date"]),
     "silver.customers": ([], []),
     "silver.transactions": (["year_month"], ["transaction_date"]),
     "silver.products": ([], []),
@@ -26,12 +29,27 @@ LAYOUT = {
     "gold.mv_category_performance": ([], []),
 }
 
+#: tables in buckets of a key: grouped or joined by it, they are not exchanged
+BUCKETS = {"bronze.transactions": "transaction_id", "silver.sales_lines": "transaction_id", "silver.transactions": "transaction_id"}
+
+
+def store(df: DataFrame, root: str, name: str) -> DataFrame:
+    """Write ``layer.table`` under ``root`` in its layout and return a scan of it."""
+    layer, table = name.split(".")
+    partition_by, sort_by = LAYOUT.get(name, ([], []))
+    path = f"{root}/{layer}/{table}"
+    partition_by = [c for c in partition_by if c in df.columns]
+    if name in BUCKETS:
+        return T.overwrite_bucketed(df, path, BUCKETS[name], partition_by)
+    T.overwrite(df, path, partition_by, sort_by)
+    return T.load(df.sparkSession, root, layer, table)
+
 
 class Lake:
     """Bronze tables in, every derived table as an attribute out.
 
-    Attributes are query plans; nothing runs before an action. ``as_of`` is the business date used in
-    place of the clock.
+    Attributes are query plans. Most run nothing before an action; ranks (in ``product_performance`` and ``store_analytics``)
+    and market baskets write a staged table while the plan is built. ``as_of`` is the business date used in place of the clock.
     """
 
     def __init__(self, bronze: Mapping[str, DataFrame], as_of: dt.date):
@@ -42,13 +60,17 @@ class Lake:
     def customers(self) -> DataFrame:
         return silver.customers(self.bronze["customers"], self.as_of)
 
+    @cached_property
+    def sales_lines(self) -> DataFrame:
+        return silver.sales_lines(self.bronze["transaction_line_items"], self.bronze["transactions"])
+
     @cached_property
     def transactions(self) -> DataFrame:
-        return silver.transactions(self.bronze["transactions"], self.bronze["transaction_line_items"])
+        return silver.transactions(self.bronze["transactions"], self.sales_lines)
 
     @cached_property
     def products(self) -> DataFrame:
-        return silver.products(self.bronze["products"], self.bronze["transaction_line_items"])
+        return silver.products(self.bronze["products"], self.sales_lines)
 
     @cached_property
     def daily_sales_summary(self) -> DataFrame:
@@ -60,7 +82,7 @@ class Lake:
 
     @cached_property
     def product_performance(self) -> DataFrame:
-        return gold.product_performance(self.products, self.bronze["transaction_line_items"], self.transactions, self.as_of)
+        return gold.product_performance(self.products, self.sales_lines, self.as_of)
 
     @cached_property
     def store_analytics(self) -> DataFrame:
@@ -84,25 +106,22 @@ class Lake:
         Each table is written from the written tables below it, so silver is computed once however many gold
         tables use it. Written rows carry the time of writing in ``processed_at``.
         """
-        spark = next(iter(self.bronze.values())).sparkSession
         out = Lake(self.bronze, self.as_of)
-        for name, (partition_by, sort_by) in LAYOUT.items():
+        for name in LAYOUT:
             layer, table = name.split(".")
-            if layer == "bronze":
-                continue
-            frame = getattr(out, table).withColumn("processed_at", F.current_timestamp())
-            T.overwrite(frame, f"{root}/{layer}/{table}", partition_by, sort_by)
-            out.__dict__[table] = T.load(spark, root, layer, table).drop("processed_at")
+            if layer != "bronze":
+                out.__dict__[table] = store(getattr(out, table).withColumn("processed_at", F.current_timestamp()), root, name).drop("processed_at")
         return out
 
     @classmethod
     def open(cls, spark: SparkSession, root: str, bronze: Mapping[str, DataFrame], as_of: dt.date) -> "Lake":
-        """A lake whose silver and gold tables were published under ``root`` before."""
+        """A lake whose silver and gold tables were published under ``root`` before; bucketed tables are found in their buckets again."""
         out = cls(bronze, as_of)
         for name in LAYOUT:
             layer, table = name.split(".")
             if layer != "bronze":
-                out.__dict__[table] = T.load(spark, root, layer, table).drop("processed_at")
+                scan = T.load_bucketed(spark, f"{root}/{layer}/{table}", BUCKETS[name], LAYOUT[name][0]) if name in BUCKETS else T.load(spark, root, layer, table)
+                out.__dict__[table] = scan.drop("processed_at")
         return out
 
     def refresh_summaries(self, root: str) -> None:

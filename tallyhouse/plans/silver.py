@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.functions import values as V
-from tallyhouse.functions.columns import MONEY, at_least, below, calendar, mean, on_weekend, per, percent
+from tallyhouse.functions.columns import MONEY, at_least, below, calendar, on_weekend, per, percent
 
 
 def standard_phone(phone: Column) -> Column:
@@ -40,14 +40,43 @@ def customers(bronze: DataFrame, as_of: dt.date) -> DataFrame:
     return flagged.withColumn("dq_score", points * F.lit(50.0))
 
 
-def transaction_totals(line_items: DataFrame) -> DataFrame:
+def sales_lines(line_items: DataFrame, transactions: DataFrame) -> DataFrame:
+    """The sales fact: one row per transaction and product with sums over its lines and the facts of the transaction.
+
+    Lines meet their transactions here and nowhere else. They are summed before that, so a transaction with very many lines enters
+    the join with one row per product, and (transaction, product) is unique: distinct transactions of a product are a
+    plain count of rows. Lines of an unknown transaction stay, with ``has_transaction`` false. Stored partitioned by month
+    and bucketed by ``transaction_id``, the fact needs no exchange for anything that is grouped or joined by transaction.
+    """
+    lines = line_items.groupBy("transaction_id", "product_id").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum("quantity").alias("units"),
+        F.sum("line_total").alias("revenue"),
+        F.sum("unit_price").alias("price_sum"),
+        F.count("unit_price").alias("price_count"),
+        F.sum("discount_percent").alias("discount_sum"),
+        F.count("discount_percent").alias("discount_count"),
+        F.max("discount_percent").alias("discount_max"),
+    )
+    known = transactions.select(
+        "transaction_id", "transaction_date", "transaction_type", "channel", "store_id", "customer_id",
+        *[c for c in ("year_month",) if c in transactions.columns], F.lit(True).alias("has_transaction"),
+    )
+    return lines.join(known, "transaction_id", "left").withColumn("has_transaction", F.coalesce("has_transaction", F.lit(False)))
+
+
+def _mean_of_sums(total: str, count: str) -> Column:
+    return F.try_divide(F.sum(total).cast("double"), F.sum(count))
+
+
+def transaction_totals(sales: DataFrame) -> DataFrame:
     """Amount, units, lines and discounts per transaction."""
-    return line_items.groupBy("transaction_id").agg(
-        F.sum("line_total").cast(MONEY).alias("calculated_total"),
-        F.sum("quantity").alias("calculated_total_items"),
-        F.count(F.lit(1)).alias("calculated_line_items"),
-        mean(F.col("discount_percent")).alias("calculated_avg_discount"),
-        F.max("discount_percent").alias("calculated_max_discount"),
+    return sales.groupBy("transaction_id").agg(
+        F.sum("revenue").cast(MONEY).alias("calculated_total"),
+        F.sum("units").alias("calculated_total_items"),
+        F.sum("lines").alias("calculated_line_items"),
+        _mean_of_sums("discount_sum", "discount_count").alias("calculated_avg_discount"),
+        F.max("discount_max").alias("calculated_max_discount"),
     )
 
 
@@ -57,14 +86,14 @@ def _day_part(hour: Column) -> Column:
     return branches.otherwise(V.DAY_PART_ELSE)
 
 
-def transactions(bronze: DataFrame, line_items: DataFrame) -> DataFrame:
+def transactions(bronze: DataFrame, sales: DataFrame) -> DataFrame:
     """Transactions with their line totals, calendar attributes, bands and quality flags.
 
-    Both join sides have one row per transaction (line items are aggregated first), so a
-    transaction with very many lines is no hot key here. Flags that compare a missing line count stay NULL.
+    Both join sides have one row per transaction, and where both tables are bucketed by transaction, neither is
+    exchanged. Flags that compare a missing line count stay NULL.
     """
     day, amount, lines = F.col("transaction_date"), F.col("transaction_amount"), F.col("calculated_line_items")
-    joined = bronze.join(transaction_totals(line_items), "transaction_id", "left")
+    joined = bronze.join(transaction_totals(sales), "transaction_id", "left")
     derived = joined.withColumns({
         "transaction_amount": F.coalesce("calculated_total", F.lit(0).cast(MONEY)),
         "transaction_hour": F.hour("transaction_timestamp"),
@@ -80,22 +109,22 @@ def transactions(bronze: DataFrame, line_items: DataFrame) -> DataFrame:
     }).drop("calculated_total")
 
 
-def product_metrics(line_items: DataFrame) -> DataFrame:
-    """Sales figures per product."""
-    return line_items.groupBy("product_id").agg(
-        F.count(F.lit(1)).alias("times_sold"),
-        F.sum("quantity").alias("units_sold"),
-        F.sum("line_total").cast(MONEY).alias("total_revenue"),
-        mean(F.col("unit_price")).alias("avg_selling_price"),
-        mean(F.col("discount_percent")).alias("avg_discount_given"),
-        F.countDistinct("transaction_id").alias("unique_transactions"),
+def product_metrics(sales: DataFrame) -> DataFrame:
+    """Sales figures per product, lines of unknown transactions included."""
+    return sales.groupBy("product_id").agg(
+        F.sum("lines").alias("times_sold"),
+        F.sum("units").alias("units_sold"),
+        F.sum("revenue").cast(MONEY).alias("total_revenue"),
+        _mean_of_sums("price_sum", "price_count").alias("avg_selling_price"),
+        _mean_of_sums("discount_sum", "discount_count").alias("avg_discount_given"),
+        F.count("transaction_id").alias("unique_transactions"),
     )
 
 
-def products(bronze: DataFrame, line_items: DataFrame) -> DataFrame:
+def products(bronze: DataFrame, sales: DataFrame) -> DataFrame:
     """Catalogue with sales figures, margin and the revenue and price tiers."""
     revenue, orders = F.col("total_revenue"), F.col("unique_transactions")
-    joined = bronze.join(product_metrics(line_items), "product_id", "left").na.fill(
+    joined = bronze.join(product_metrics(sales), "product_id", "left").na.fill(
         0, ["times_sold", "units_sold", "total_revenue", "unique_transactions"]
     )
     return joined.withColumns({

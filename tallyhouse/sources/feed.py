@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from tallyhouse.functions.columns import below
 from tallyhouse.functions.values import US_STATES
-from tallyhouse.sources.tables import load, overwrite
+from tallyhouse.plans.lake import store
 
 AS_OF = dt.date(2001, 8, 1)
 MOST_SITES = 10_000
@@ -60,10 +60,12 @@ def transactions(spark: SparkSession, root: str) -> DataFrame:
 
 def line_items(spark: SparkSession, root: str) -> DataFrame:
     part = raw(spark, root, "part").select("p_partkey", F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"))
-    items = raw(spark, root, "lineitem")
+    dates = raw(spark, root, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("transaction_date"))
+    items = raw(spark, root, "lineitem").join(dates, "l_orderkey", "left")
     order, product = F.col("l_orderkey"), F.col("l_partkey")
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     return items.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+        (order * 100 + F.col("l_linenumber")).alias("line_item_id"),
         _stranger(order, order % 23 == 0).alias("transaction_id"),
         _stranger(product, product % 17 == 0).alias("product_id"),
         F.col("l_linenumber").alias("item_seq"),
@@ -71,6 +73,8 @@ def line_items(spark: SparkSession, root: str) -> DataFrame:
         "unit_price",
         (F.col("l_discount") * 100).cast("decimal(5,2)").alias("discount_percent"),
         (price * (1 - F.col("l_discount").cast("decimal(3,2)"))).cast("decimal(12,2)").alias("line_total"),
+        "transaction_date",
+        F.date_format("transaction_date", "yyyy-MM").alias("year_month"),
     )
 
 
@@ -213,9 +217,5 @@ class Bronze(Mapping):
 
 
 def materialise(spark: SparkSession, folder: str, root: str) -> dict[str, DataFrame]:
-    """Write all bronze tables under ``root/bronze`` and return them as table scans."""
-    out = {}
-    for name, frame in Bronze(spark, folder).items():
-        overwrite(frame.hint("rebalance") if name in ("transactions", "transaction_line_items") else frame, f"{root}/bronze/{name}")
-        out[name] = load(spark, root, "bronze", name)
-    return out
+    """Write all bronze tables under ``root/bronze``, laid out as the lake lays them out, and return them as table scans."""
+    return {name: store(frame, root, f"bronze.{name}") for name, frame in Bronze(spark, folder).items()}

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: folder inside a bucketed table that says how many buckets it has; scans of the table skip it
+BUCKETING = "_bucketing"
+
 
 def load(spark: SparkSession, root: str, layer: str, table: str, merge_schema: bool = False) -> DataFrame:
     """Scan one table. ``merge_schema`` unites the columns of files written over time."""
@@ -35,6 +39,41 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by:
     _writer(df, partition_by, sort_by).mode("append").parquet(path)
 
 
+def bucketed_name(path: str) -> str:
+    """Name under which the session's catalog knows the bucketed table of a folder."""
+    return f"bucketed_{path.rstrip('/').rsplit('/', 1)[-1]}_{hashlib.sha256(path.rstrip('/').encode()).hexdigest()[:16]}"
+
+
+def overwrite_bucketed(df: DataFrame, path: str, key: str, partition_by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
+    """Replace a table whose rows lie in ``buckets`` by ``key`` (default: the shuffle partitions) and return a scan that knows it.
+
+    Two tables with the same number of buckets are joined by the key, and each is grouped by it, without an exchange. Rows are
+    dealt out by the key before they are written, so a bucket is one file per partition folder; the key should be
+    spread evenly, as one that is unique or nearly so is.
+    """
+    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    name = bucketed_name(path)
+    df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
+    writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path)
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
+    df.sparkSession.range(1).select(F.lit(buckets).alias("buckets")).write.parquet(f"{path}/{BUCKETING}")
+    return df.sparkSession.table(name)
+
+
+def load_bucketed(spark: SparkSession, path: str, key: str, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Scan a table written by :func:`overwrite_bucketed`; a session whose catalog does not know it registers it again."""
+    name = bucketed_name(path)
+    if not spark.catalog.tableExists(name):
+        plain = spark.read.parquet(path)
+        buckets = spark.read.parquet(f"{path}/{BUCKETING}").first()[0]
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields)
+        folders = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet {folders} CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS LOCATION '{path}'")
+        if partition_by:
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return spark.table(name)
+
+
 def _writer(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]):
     if partition_by:
         df = df.hint("rebalance", *partition_by)

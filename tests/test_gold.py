@@ -117,16 +117,18 @@ def test_store_tier(spark, rank, tier):
 
 def test_product_classes_and_ties(spark):
     n = 70
+    t = tx(spark, *[{"transaction_date": AS_OF - dt.timedelta(days=10)}] * 2, {"transaction_date": AS_OF})
+    lines = spark.range(65).select(
+        (F.col("id") % 3).alias("transaction_id"), F.col("id").alias("product_id"), F.lit(20).alias("quantity"),
+        F.lit(1).cast("decimal(10,2)").alias("unit_price"), F.lit(0).cast("decimal(5,2)").alias("discount_percent"),
+        F.when(F.col("id") < 5, 100).otherwise(50).cast("decimal(12,2)").alias("line_total"))
+    sales = silver.sales_lines(lines, t)
     catalogue = silver.products(
         spark.range(n).select(F.col("id").alias("product_id"), F.lit("c").alias("category"), F.lit(10).cast("decimal(10,2)").alias("base_price"),
                               F.lit(4).cast("decimal(10,2)").alias("cost_price")),
-        lines := spark.range(65).select(
-            (F.col("id") % 3).alias("transaction_id"), F.col("id").alias("product_id"), F.lit(20).alias("quantity"),
-            F.lit(1).cast("decimal(10,2)").alias("unit_price"), F.lit(0).cast("decimal(5,2)").alias("discount_percent"),
-            F.when(F.col("id") < 5, 100).otherwise(50).cast("decimal(12,2)").alias("line_total")),
+        sales,
     )
-    t = tx(spark, *[{"transaction_date": AS_OF - dt.timedelta(days=10)}] * 2, {"transaction_date": AS_OF})
-    got = {r.product_id: r for r in gold.product_performance(catalogue, lines, t, AS_OF).collect()}
+    got = {r.product_id: r for r in gold.product_performance(catalogue, sales, AS_OF).collect()}
     assert [got[i].category_revenue_rank for i in range(n)] == list(range(1, n + 1))
     assert got[0].performance_class == "Star" and got[0].sales_velocity == 2.0
     assert got[2].performance_class == "Strong" and got[2].days_since_first_sale == 0 and got[2].sales_velocity == 0
@@ -184,9 +186,10 @@ def test_inventory_status_paths(spark):
                                      F.lit(10).cast("decimal(10,2)").alias("base_price"), (F.col("id") != 5).alias("is_active"))
     stock = inventory(
         spark, (0, 1, AS_OF, 0, 5), (1, 1, AS_OF, 4, 5), (2, 1, AS_OF, 5, 5), (2, 1, dt.date(2001, 7, 1), 99, 5), (3, 1, AS_OF, 50, 5))
-    lines = spark.createDataFrame([(0, 2, 30), (0, 3, 50), (1, 3, 99)], "transaction_id bigint, product_id bigint, quantity int")
-    t = tx(spark, {}, {"transaction_date": AS_OF - dt.timedelta(days=31)})
-    got = {r.product_id: r for r in analytics.inventory_optimization(products, lines, t, stock, AS_OF).collect()}
+    lines = spark.createDataFrame([(0, 2, 30), (0, 3, 50), (1, 3, 99)], "transaction_id bigint, product_id bigint, quantity int").selectExpr(
+        "*", "CAST(1 AS decimal(10,2)) AS unit_price", "CAST(0 AS decimal(5,2)) AS discount_percent", "CAST(1 AS decimal(12,2)) AS line_total")
+    t = tx(spark, {}, {"transaction_date": AS_OF - dt.timedelta(days=31), "year_month": "2001-07"})
+    got = {r.product_id: r for r in analytics.inventory_optimization(products, silver.sales_lines(lines, t), stock, AS_OF).collect()}
     assert sorted(got) == [0, 1, 2, 3, 4]
     assert [got[i].stock_status for i in range(5)] == ["OUT_OF_STOCK", "LOW_STOCK", "REORDER_SOON", "HEALTHY", "OUT_OF_STOCK"]
     assert [got[i].days_of_inventory for i in range(5)] == [999, 999, 5.0, 30.0, 999]

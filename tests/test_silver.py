@@ -63,7 +63,7 @@ def transaction(spark, lines, day=dt.date(2001, 7, 30), hour=10, num_items=1):
     head = spark.createDataFrame(
         [(1, 1, 1, day, dt.datetime(day.year, day.month, day.day, hour), "purchase", "cash", "online", num_items, "2001-07")], TX)
     items = spark.createDataFrame([(1, 5, 1, Decimal("1.00"), Decimal(d), Decimal(t)) for t, d in lines], LINES)
-    return silver.transactions(head, items).first()
+    return silver.transactions(head, silver.sales_lines(items, head)).first()
 
 
 @pytest.mark.parametrize("amount, bucket", [("24.99", "Small (<$25)"), ("25.00", "Medium ($25-$100)"), ("99.99", "Medium ($25-$100)"),
@@ -100,7 +100,7 @@ def test_negative_total_and_discounts(spark):
 def product(spark, price="10.00", cost="4.00", totals=()):
     head = spark.createDataFrame([(1, Decimal(price), Decimal(cost))], "product_id bigint, base_price decimal(10,2), cost_price decimal(10,2)")
     items = spark.createDataFrame([(i, 1, 2, Decimal("1.00"), Decimal("0"), Decimal(t)) for i, t in enumerate(totals)], LINES)
-    return silver.products(head, items).first()
+    return silver.products(head, silver.sales_lines(items, spark.createDataFrame([], TX))).first()
 
 
 @pytest.mark.parametrize("revenue, tier", [("99999.99", "Gold"), ("100000", "Platinum"), ("49999.99", "Silver"), ("50000", "Gold"),
