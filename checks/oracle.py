@@ -631,6 +631,10 @@ _STATEMENTS = {
         f"SELECT '{layer}' AS layer, event_id, event_timestamp FROM clicks WHERE event_timestamp >= TIMESTAMP '2024-01-31' - INTERVAL {hours} HOUR"
         for layer, hours in RETENTION_HOURS.items()),
     "zorder_key": _z_key(["customer_id", "store_id"]),
+    "quantile_buckets": f"""WITH q AS (SELECT DISTINCT unnest(quantile_disc(customer_id, {[i / 16 for i in range(1, 16)]})) AS b FROM b_transactions)
+        SELECT CAST(bucket AS INTEGER) AS bucket, count(*) AS row_count, min(customer_id) AS low, max(customer_id) AS high
+        FROM (SELECT customer_id, (SELECT count(*) FROM q WHERE b <= customer_id) AS bucket FROM b_transactions WHERE customer_id IS NOT NULL)
+        GROUP BY bucket""",
     "cluster_write": """SELECT channel, transaction_type, count(*) AS row_count, CAST(sum(transaction_id) AS BIGINT) AS key_sum,
         CAST(sum(customer_id) AS BIGINT) AS customer_sum FROM b_transactions GROUP BY 1, 2""",
     "refresh_summaries": """SELECT 'mv_executive_summary' AS summary, count(*) AS row_count,

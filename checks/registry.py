@@ -713,6 +713,16 @@ def zorder_key(lake):
     return layout.zorder_key(df, ["customer_id", "store_id"])
 
 
+@query
+def quantile_buckets(lake):
+    """Rows of transactions by quantile bucket of the customer: evenly, however far off the strangers' keys are."""
+    df = lake.bronze["transactions"].where("customer_id IS NOT NULL")
+    bounds = layout.quantile_bounds(df, ["customer_id"], 4)["customer_id"]
+    return df.groupBy(layout.bucket_by(F.col("customer_id"), bounds, "bigint").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.min("customer_id").alias("low"), F.max("customer_id").alias("high")
+    )
+
+
 @query
 def cluster_write(lake):
     """Rewritten, clustered table read back: same rows, same totals."""

@@ -9,7 +9,9 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyhouse.operators import layout
 from tallyhouse.plans import analytics, gold, silver
+from tallyhouse.session import workspace
 from tallyhouse.sources import tables as T
 
 #: how published tables are laid out: partition columns and sort columns inside the files
@@ -29,9 +31,20 @@ LAYOUT = {
     "gold.mv_category_performance": ([], []),
 }
 
+#: unpartitioned tables whose files are clustered by several columns at once
+CLUSTERS = {
+    "silver.customers": ["state", "customer_segment", "tenure_category"],
+    "silver.products": ["category", "subcategory"],
+    "gold.customer_360": ["value_segment", "customer_segment"],
+    "gold.product_performance": ["category", "performance_class"],
+    "gold.store_analytics": ["state", "performance_tier"],
+}
 #: tables in buckets of a key: grouped or joined by it, they are not exchanged
 BUCKETS = {"bronze.transactions": "transaction_id", "silver.sales_lines": "transaction_id", "silver.transactions": "transaction_id"}
 
+#: most files of a clustered table
+FILES = 4096
+
 
 def store(df: DataFrame, root: str, name: str) -> DataFrame:
     """Write ``layer.table`` under ``root`` in its layout and return a scan of it."""
@@ -41,7 +54,13 @@ def store(df: DataFrame, root: str, name: str) -> DataFrame:
     partition_by = [c for c in partition_by if c in df.columns]
     if name in BUCKETS:
         return T.overwrite_bucketed(df, path, BUCKETS[name], partition_by)
-    T.overwrite(df, path, partition_by, sort_by)
+    if name in CLUSTERS:  # written once as it comes and then rewritten, as its quantiles need a pass of their own
+        staged = workspace(df.sparkSession, table)
+        df.write.parquet(staged)
+        plain = df.sparkSession.read.schema(df.schema).parquet(staged)
+        layout.cluster_write(plain, path, CLUSTERS[name], files=max(1, min(len(plain.inputFiles()), FILES)))
+    else:
+        T.overwrite(df, path, partition_by, sort_by)
     return T.load(df.sparkSession, root, layer, table)
 
 
