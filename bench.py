@@ -107,6 +107,9 @@ def main() -> None:
     clock("stream_session_metrics", lambda: R.drain_complete(K.session_metrics(events())))
     clock("stream_product_trending", lambda: R.drain_complete(K.product_trending(events())))
     clock("stream_realtime_dashboard", lambda: R.drain_complete(K.realtime_dashboard(events())))
+    clock("stream_session_metrics_append", lambda: K.session_metrics_of(R.drain_append(K.session_panes(events()))).count())
+    clock("stream_product_trending_append", lambda: K.product_trending_of(R.drain_append(K.product_panes(events()))).count())
+    clock("stream_realtime_dashboard_append", lambda: K.dashboard_of(R.drain_append(K.dashboard_panes(events()))).count())
     clock("stream_enriched", lambda: R.drain_append(K.enriched(events(), feed.customers(spark, FOLDER))))
 
     print(json.dumps({

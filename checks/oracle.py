@@ -685,5 +685,8 @@ _STATEMENTS = {
         lpad(CAST(l_suppkey AS VARCHAR), 5, '0') AS zip
         FROM (SELECT *, unnest(range(CASE WHEN l_returnflag = 'R' THEN 2 ELSE 1 END)) AS i FROM lineitem)""",
 }
+_STATEMENTS |= {f"{name}_append": _STATEMENTS[name] for name in ("session_metrics", "product_trending", "realtime_dashboard")}
+_STATEMENTS["daily_visitors"] = """SELECT CAST(event_timestamp AS DATE) AS day, count(*) AS event_count, count(DISTINCT customer_id) AS exact_customers, true AS approx_ok
+    FROM clicks GROUP BY 1"""
 
 ORACLE = {name: _sql(text) for name, text in _STATEMENTS.items()}

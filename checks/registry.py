@@ -792,6 +792,49 @@ def realtime_dashboard(spark, folder):
     return _checked(found, events, ["timestamp"], {"active_sessions": ("exact_sessions", "session_id"), "active_customers": ("exact_customers", "customer_id")})
 
 
+def _ended_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events and, a day after the last, one that ends the stream, so that every window before it closes."""
+    events = feed.raw(spark, folder, "events")
+    end = events.agg((F.max("ts") + F.expr("INTERVAL 1 DAY")).alias("ts")).select(
+        F.lit(10**15 + 3).alias("event_id"), "ts", F.lit(0).cast("bigint").alias("user_id"), F.lit("view").alias("event_type"),
+        F.lit(0.0).alias("value"), F.lit('{"k": 0}').alias("props"))
+    path = workspace(spark, "ended-events")
+    events.select(end.columns).unionByName(end).write.parquet(path)
+    return feed.shape_events(R.read_table(spark, path, events.select(end.columns).schema))
+
+
+@raw_query
+def session_metrics_append(spark, folder):
+    """As ``session_metrics``, from one-minute panes that an append-mode stream wrote once each."""
+    found = K.session_metrics_of(R.drain_append(K.session_panes(_ended_events(spark, folder)), label="session_panes")).drop("conversion_rate")
+    events = _windowed(feed.clickstream(spark, folder), "5 minutes", "1 minute")
+    return _checked(found, events, ["window_start", "window_end", "device_type", "referrer"],
+                    {"unique_sessions": ("exact_sessions", "session_id"), "unique_customers": ("exact_customers", "customer_id")})
+
+
+@raw_query
+def product_trending_append(spark, folder):
+    found = K.product_trending_of(R.drain_append(K.product_panes(_ended_events(spark, folder)), label="product_panes"))
+    events = _windowed(feed.clickstream(spark, folder).where("product_id IS NOT NULL"), "15 minutes", "5 minutes")
+    return _checked(found, events, ["window_start", "window_end", "product_id"], {"unique_viewers": ("exact_viewers", "session_id")})
+
+
+@raw_query
+def realtime_dashboard_append(spark, folder):
+    found = K.dashboard_of(R.drain_append(K.dashboard_panes(_ended_events(spark, folder)), label="dashboard_panes"))
+    events = _windowed(feed.clickstream(spark, folder), "1 minute", "1 minute").withColumnRenamed("window_end", "timestamp")
+    return _checked(found, events, ["timestamp"], {"active_sessions": ("exact_sessions", "session_id"), "active_customers": ("exact_customers", "customer_id")})
+
+
+@raw_query
+def daily_visitors(spark, folder):
+    """Distinct customers per day from the sketches of one-minute panes, held against exact counts."""
+    found = K.distinct_over(K.dashboard_panes(feed.clickstream(spark, folder)), "day")
+    exact = feed.clickstream(spark, folder).groupBy(F.date_trunc("day", "event_timestamp").alias("period")).agg(F.count_distinct("customer_id").alias("exact_customers"))
+    near = F.abs(F.col("distinct_values") - F.col("exact_customers")) <= F.greatest(F.lit(1.0), F.col("exact_customers") * 0.08)
+    return found.join(exact, "period").select(F.to_date("period").alias("day"), "event_count", "exact_customers", near.alias("approx_ok"))
+
+
 @raw_query
 def late_data_append(spark, folder):
     return R.drain_append(K.closed_windows(_events(spark, folder)), label="closed_windows")

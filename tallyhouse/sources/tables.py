@@ -39,6 +39,29 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), sort_by:
     _writer(df, partition_by, sort_by).mode("append").parquet(path)
 
 
+def _place(spark: SparkSession, path: str):
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), where
+
+
+def mark(spark: SparkSession, path: str) -> None:
+    """Create an empty file; it is there or not, never half."""
+    system, where = _place(spark, path)
+    system.create(where, True).close()
+
+
+def marks(spark: SparkSession, folder: str) -> list[int]:
+    """Numbers that :func:`mark` has left as file names in a folder, ascending; none if there is no such folder."""
+    system, where = _place(spark, folder)
+    return sorted(int(f.getPath().getName()) for f in system.listStatus(where)) if system.exists(where) else []
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder of the library's own, if it is there."""
+    system, where = _place(spark, path)
+    system.delete(where, True)
+
+
 def bucketed_name(path: str) -> str:
     """Name under which the session's catalog knows the bucketed table of a folder."""
     return f"bucketed_{path.rstrip('/').rsplit('/', 1)[-1]}_{hashlib.sha256(path.rstrip('/').encode()).hexdigest()[:16]}"

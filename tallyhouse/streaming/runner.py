@@ -7,11 +7,11 @@ from contextlib import contextmanager
 from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallyhouse.session import workspace
+from tallyhouse.sources.tables import mark, marks, remove
 
 EVENT_SCHEMA = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 ORDER_SCHEMA = T.StructType([
@@ -95,13 +95,16 @@ def start_complete(df: DataFrame, path: str, checkpoint: str, state_partitions:
 
     Each batch writes its own ``version=<batch id>`` folder, so a batch replayed after a failure
     overwrites just what it wrote before, and readers of the previous version are not disturbed. A finished
-    version is named in the small table ``committed`` beside the data; readers take versions from there only.
+    version has an empty file with its number in the folder ``committed``; readers take versions from there only. The version before
+    the previous one is deleted then.
     """
 
     def publish(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/data/version={batch_id}")
-        done = batch.sparkSession.createDataFrame([(batch_id,)], "version long").coalesce(1)
-        done.write.mode("overwrite").parquet(f"{path}/committed/batch={batch_id}")
+        mark(batch.sparkSession, f"{path}/committed/{batch_id}")
+        for old in [v for v in marks(batch.sparkSession, f"{path}/committed") if v < batch_id - 1]:
+            remove(batch.sparkSession, f"{path}/committed/{old}")
+            remove(batch.sparkSession, f"{path}/data/version={old}")
 
     writer = df.writeStream.foreachBatch(publish).outputMode("complete").option("checkpointLocation", checkpoint)
     with _stream_settings(df.sparkSession, state_partitions):
@@ -110,8 +113,7 @@ def start_complete(df: DataFrame, path: str, checkpoint: str, state_partitions:
 
 def latest_version(spark: SparkSession, path: str) -> DataFrame:
     """The newest committed version written by :func:`start_complete`; a half-written one is not seen."""
-    newest = spark.read.schema("version long").parquet(f"{path}/committed").agg(F.max("version")).first()[0]
-    return spark.read.parquet(f"{path}/data/version={newest}")
+    return spark.read.parquet(f"{path}/data/version={max(marks(spark, f'{path}/committed'))}")
 
 
 def drain_append(df: DataFrame, partition_by: Sequence[str] = (), label: str = "stream") -> DataFrame:
