@@ -685,6 +685,11 @@ _STATEMENTS = {
         lpad(CAST(l_suppkey AS VARCHAR), 5, '0') AS zip
         FROM (SELECT *, unnest(range(CASE WHEN l_returnflag = 'R' THEN 2 ELSE 1 END)) AS i FROM lineitem)""",
 }
+_STATEMENTS |= {
+    f"{name}_unique_customers": f"""SELECT CAST(date_trunc('{unit}', transaction_date) AS DATE) AS period_start, {more} count(DISTINCT customer_id) AS unique_customers,
+        count(*) AS transaction_count, CAST(sum(transaction_amount) AS DOUBLE) AS revenue FROM s_transactions WHERE transaction_type = 'purchase' GROUP BY ALL"""
+    for name, unit, more in (("weekly", "week", "channel,"), ("monthly", "month", ""))
+}
 _STATEMENTS |= {f"{name}_append": _STATEMENTS[name] for name in ("session_metrics", "product_trending", "realtime_dashboard")}
 _STATEMENTS["daily_visitors"] = """SELECT CAST(event_timestamp AS DATE) AS day, count(*) AS event_count, count(DISTINCT customer_id) AS exact_customers, true AS approx_ok
     FROM clicks GROUP BY 1"""

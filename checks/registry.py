@@ -170,6 +170,17 @@ def store_analytics(lake):
     return lake.store_analytics
 
 
+@query
+def weekly_unique_customers(lake):
+    """Customers counted once a week and channel, from bitmaps of days."""
+    return gold.unique_customers(gold.daily_customer_bitmaps(lake.transactions), "week")
+
+
+@query
+def monthly_unique_customers(lake):
+    return gold.unique_customers(gold.daily_customer_bitmaps(lake.transactions), "month", [])
+
+
 @query
 def sales_summary_day_product_store(lake):
     return gold.sales_by_day_product_store(lake.sales_lines)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +21,7 @@ from tallyhouse.functions.columns import (
     ratio,
     sum_where,
 )
+from tallyhouse.operators.distinct import KEYS, key_bitmaps, unite
 from tallyhouse.operators.ranking import ranked
 
 SALES_KEY = ["transaction_date", "channel", "store_id"]
@@ -84,7 +86,11 @@ def daily_sales_summary(transactions: DataFrame) -> DataFrame:
 
 
 def customer_transactions(transactions: DataFrame) -> DataFrame:
-    """Order history per customer."""
+    """Order history per customer.
+
+    Stores and channels are counted as the sizes of sets, which are bounded by the number of stores: two distinct counts would
+    multiply every row.
+    """
     purchase, returned = F.expr(PURCHASE), F.expr(RETURN)
     spent = F.when(purchase, F.col("transaction_amount"))
     channel, pay = F.col("channel"), F.col("payment_method")
@@ -98,8 +104,8 @@ def customer_transactions(transactions: DataFrame) -> DataFrame:
         F.sum("calculated_total_items").alias("total_items_purchased"),
         F.min("transaction_date").alias("first_transaction_date"),
         F.max("transaction_date").alias("last_transaction_date"),
-        F.countDistinct("store_id").alias("stores_visited"),
-        F.countDistinct("channel").alias("channels_used"),
+        F.size(F.collect_set("store_id")).cast("bigint").alias("stores_visited"),
+        F.size(F.collect_set("channel")).cast("bigint").alias("channels_used"),
         F.count_if(channel == "online").alias("online_orders"),
         F.count_if(channel == "in_store").alias("instore_orders"),
         F.count_if(channel == "mobile_app").alias("mobile_orders"),
@@ -188,18 +194,59 @@ def product_performance(products: DataFrame, sales: DataFrame, as_of: dt.date) -
 
 
 def store_metrics(transactions: DataFrame) -> DataFrame:
-    """Trade per store."""
-    channel = F.col("channel")
-    return transactions.groupBy("store_id").agg(
-        F.count(F.lit(1)).alias("total_transactions"),
-        sum_where(F.expr(PURCHASE), F.col("transaction_amount")).cast(MONEY).alias("total_revenue"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        mean(F.col("transaction_amount")).alias("avg_transaction_value"),
-        F.countDistinct("transaction_date").alias("active_days"),
-        F.count_if("is_weekend").alias("weekend_transactions"),
-        F.count_if(~F.col("is_weekend")).alias("weekday_transactions"),
-        F.count_if(channel == "online").alias("online_transactions"),
-        F.count_if(channel == "in_store").alias("instore_transactions"),
+    """Trade per store.
+
+    Customers and days are counted exactly in bitmaps, by store and block of customer keys first, so no row is multiplied for
+    the two counts and a hot store is spread over its blocks. Days since 1970 have a bit each for 89 years; others, if any, are
+    kept as a set.
+    """
+    channel, amount = F.col("channel"), F.col("transaction_amount")
+    day = F.unix_date("transaction_date")
+    usual = day.between(0, KEYS - 1)
+    counts = {
+        "total_transactions": F.count(F.lit(1)),
+        "total_revenue": sum_where(F.expr(PURCHASE), amount),
+        "_amount": F.sum(amount),
+        "_amounts": F.count(amount),
+        "weekend_transactions": F.count_if("is_weekend"),
+        "weekday_transactions": F.count_if(~F.col("is_weekend")),
+        "online_transactions": F.count_if(channel == "online"),
+        "instore_transactions": F.count_if(channel == "in_store"),
+    }
+    parts = key_bitmaps(transactions, ["store_id"], "customer_id", [
+        F.bitmap_construct_agg(F.bitmap_bit_position(F.when(usual, day + 1).cast("bigint"))).alias("_days"),
+        F.collect_set(F.when(~usual, day)).alias("_other_days"),
+        *[c.alias(name) for name, c in counts.items()],
+    ])
+    other_days = F.size(F.array_distinct(F.flatten(F.collect_list("_other_days"))))
+    return parts.groupBy("store_id").agg(
+        F.sum("total_transactions").alias("total_transactions"),
+        F.sum("total_revenue").cast(MONEY).alias("total_revenue"),
+        F.sum(F.bitmap_count("bitmap")).alias("unique_customers"),
+        F.try_divide(F.sum("_amount").cast("double"), F.sum("_amounts")).alias("avg_transaction_value"),
+        (F.bitmap_count(F.bitmap_or_agg("_days")) + other_days).alias("active_days"),
+        *[F.sum(c).alias(c) for c in ("weekend_transactions", "weekday_transactions", "online_transactions", "instore_transactions")],
+    )
+
+
+def daily_customer_bitmaps(transactions: DataFrame) -> DataFrame:
+    """Purchases and a bitmap of their customers per day, channel and block of customer keys."""
+    return key_bitmaps(
+        transactions.where(PURCHASE), ["transaction_date", "channel"], "customer_id",
+        [F.count(F.lit(1)).alias("transaction_count"), F.sum("transaction_amount").cast(MONEY).alias("revenue")],
+    )
+
+
+def unique_customers(daily: DataFrame, unit: str = "week", groups: Sequence[str] = ("channel",)) -> DataFrame:
+    """Distinct customers, purchases and revenue per week (or month, quarter, year) and group, united from the bitmaps of days.
+
+    Unlike the sum of daily distinct counts, a customer counts once per period.
+    """
+    sums = [F.sum("transaction_count").alias("transaction_count"), F.sum("revenue").alias("revenue")]
+    coarse = unite(daily.withColumn("period_start", F.trunc("transaction_date", unit)), ["period_start", *groups], sums)
+    return coarse.groupBy("period_start", *groups).agg(
+        F.sum(F.bitmap_count("bitmap")).alias("unique_customers"), F.sum("transaction_count").alias("transaction_count"),
+        F.sum("revenue").cast(MONEY).alias("revenue"),
     )
 
 
