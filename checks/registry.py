@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallyhouse.functions import columns as C
 from tallyhouse.functions.values import RETENTION_HOURS
-from tallyhouse.operators import changes, governance, grid, layout, quality, reports
+from tallyhouse.operators import changes, governance, grid, layout, quality, reports, stored
 from tallyhouse.plans import analytics, gold, silver
 from tallyhouse.plans.lake import Lake
 from tallyhouse.session import configure, workspace
@@ -718,6 +718,20 @@ def retention_filter(spark, folder):
     return out
 
 
+@query
+def stored_changes(lake):
+    """Deletes and upserts on a stored table by month, told from the digests of its versions."""
+    spark = lake.bronze["transactions"].sparkSession
+    base = lake.bronze["transactions"].select("transaction_id", "customer_id", "channel", "year_month")
+    table = stored.StoredTable(spark, workspace(spark, "stored"), ["year_month"])
+    first = table.overwrite(base)
+    table.delete(lake.bronze["customers"].where("NOT is_active"), "customer_id")
+    last = table.upsert(base.where("transaction_id % 50 = 0").withColumn("channel", F.lit("kiosk")), ["transaction_id"])
+    changed = table.changes(first, last, ["transaction_id"])
+    return changed.groupBy("year_month", F.col("_change_type").alias("change_type")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("transaction_id").alias("key_sum"), F.count_if(F.col("channel") == "kiosk").alias("kiosk_rows"))
+
+
 @query
 def zorder_key(lake):
     df = lake.bronze["transactions"].select("transaction_id", "customer_id", "store_id")
