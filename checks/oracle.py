@@ -695,6 +695,7 @@ _STATEMENTS["stored_changes"] = """WITH c AS (
         FROM b_transactions WHERE transaction_id % 50 = 0 OR customer_id IN (SELECT customer_id FROM b_customers WHERE NOT is_active))
     SELECT year_month, change_type, count(*) AS row_count, CAST(sum(transaction_id) AS BIGINT) AS key_sum,
         CASE WHEN change_type = 'update_postimage' THEN count(*) ELSE 0 END AS kiosk_rows FROM c GROUP BY year_month, change_type"""
+_STATEMENTS["session_windows_by_slot"] = _STATEMENTS["session_windows"]
 _STATEMENTS |= {f"{name}_append": _STATEMENTS[name] for name in ("session_metrics", "product_trending", "realtime_dashboard")}
 _STATEMENTS["daily_visitors"] = """SELECT CAST(event_timestamp AS DATE) AS day, count(*) AS event_count, count(DISTINCT customer_id) AS exact_customers, true AS approx_ok
     FROM clicks GROUP BY 1"""

@@ -888,6 +888,12 @@ def metric_anomalies(spark, folder):
     return K.metric_anomalies(dashboard, back=60)
 
 
+@raw_query
+def session_windows_by_slot(spark, folder):
+    """The same sessions from a finished table, built in two levels."""
+    return K.sessions_by_slot(feed.clickstream(spark, folder))
+
+
 @raw_query
 def orders_json_flatten(spark, folder):
     """Orders written as JSON documents with one or two items, streamed back under the declared schema, flattened."""

@@ -215,6 +215,41 @@ def session_windows(events: DataFrame, gap: str = "30 minutes", delay: str = "1
     )
 
 
+def sessions_by_slot(events: DataFrame, gap_minutes: int = 30, slot_hours: int = 6) -> DataFrame:
+    """The rows of :func:`session_windows` for finished tables, with a very busy customer spread over time slots.
+
+    Sessions are first built within (customer, slot of some hours), in parallel. One that starts or ends further than the gap from the
+    borders of its slot is final; only the others, at most two per slot, meet their neighbours per customer, where those no
+    more than a gap apart become one.
+    """
+    gap = gap_minutes * 60_000_000
+    slot = slot_hours * 3_600_000_000
+    if slot < 2 * gap:
+        raise ValueError("a slot must hold two gaps")
+    micros = F.unix_micros(TIME)
+    known = events.where("customer_id IS NOT NULL").where(F.col(TIME).isNotNull())
+    parts = (
+        known.groupBy("customer_id", F.floor(micros / slot).cast("bigint").alias("_slot"), F.session_window(TIME, f"{gap_minutes} minutes"))
+        .agg(
+            F.count(F.lit(1)).alias("event_count"), _hits(CHECKOUT).alias("checkouts"),
+            # not the bounds of session_window: Spark pushes filters on these below the merging of sessions
+            F.min(micros).alias("_start"), (F.max(micros) + gap).alias("_end"),
+        )
+    )
+    open_left, open_right = F.col("_start") - F.col("_slot") * slot <= gap, (F.col("_slot") + 1) * slot <= F.col("_end")
+    final, border = parts.where(~(open_left | open_right)), parts.where(open_left | open_right)
+    order = Window.partitionBy("customer_id").orderBy("_start")
+    apart = F.coalesce(F.col("_start") > F.lag("_end").over(order), F.lit(True))
+    numbered = border.withColumn("_new", apart.cast("int")).withColumn("_session", F.sum("_new").over(order))
+    joined = numbered.groupBy("customer_id", "_session").agg(
+        F.min("_start").alias("_start"), F.max("_end").alias("_end"), F.sum("event_count").alias("event_count"), F.sum("checkouts").alias("checkouts")
+    )
+    columns = ["customer_id", "_start", "_end", "event_count", "checkouts"]
+    return final.select(columns).unionByName(joined.select(columns)).select(
+        "customer_id", F.timestamp_micros("_start").alias("session_start"), F.timestamp_micros("_end").alias("session_end"), "event_count", "checkouts"
+    )
+
+
 def metric_anomalies(metrics: DataFrame, time: str = "timestamp", value: str = "events_per_minute", back: int = 60, sigmas: int = 3) -> DataFrame:
     """Minutes whose value lies more than ``sigmas`` standard deviations off the mean of the ``back`` minutes before.
 
