@@ -58,7 +58,11 @@ def store(df: DataFrame, root: str, name: str) -> DataFrame:
         staged = workspace(df.sparkSession, table)
         df.write.parquet(staged)
         plain = df.sparkSession.read.schema(df.schema).parquet(staged)
-        layout.cluster_write(plain, path, CLUSTERS[name], files=max(1, min(len(plain.inputFiles()), FILES)))
+        files = min(len(plain.inputFiles()), FILES)
+        if files > 1:
+            layout.cluster_write(plain, path, CLUSTERS[name], files)
+        else:  # one file has no order of files
+            T.overwrite(plain, path)
     else:
         T.overwrite(df, path, partition_by, sort_by)
     return T.load(df.sparkSession, root, layer, table)

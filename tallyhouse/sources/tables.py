@@ -68,13 +68,16 @@ def bucketed_name(path: str) -> str:
 
 
 def overwrite_bucketed(df: DataFrame, path: str, key: str, partition_by: Sequence[str] = (), buckets: int | None = None) -> DataFrame:
-    """Replace a table whose rows lie in ``buckets`` by ``key`` (default: the shuffle partitions) and return a scan that knows it.
+    """Replace a table whose rows lie in ``buckets`` by ``key`` and return a scan that knows it.
+
+    The default is a quarter of the shuffle partitions, since a bucket is a file in every partition folder.
 
     Two tables with the same number of buckets are joined by the key, and each is grouped by it, without an exchange. Rows are
     dealt out by the key before they are written, so a bucket is one file per partition folder; the key should be
-    spread evenly, as one that is unique or nearly so is.
+    spread evenly, as one that is unique or nearly so is. The partition columns should have far fewer values than there are rows in a
+    file.
     """
-    buckets = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = buckets or max(2, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
     name = bucketed_name(path)
     df.sparkSession.sql(f"DROP TABLE IF EXISTS {name}")
     writer = df.repartition(buckets, key).write.mode("overwrite").bucketBy(buckets, key).sortBy(key).option("path", path)
