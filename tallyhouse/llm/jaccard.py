@@ -1,18 +1,19 @@
 """Documents whose sets of word shingles are similar: PartEnum signatures, exact verification, components.
 
 Sets are banded by size. In a band, two sets whose Jaccard similarity reaches the threshold differ in at most ``k`` elements.
-The feature domain (64-bit shingle hashes) is cut into ``n = k + 1 + m`` partitions, and of all unions of partitions those of
-one partition are enumerated: at least ``m + 1`` of the ``n`` projections of two similar sets are equal. Each non-empty projection
-gives one signature.
+The feature domain (64-bit shingle hashes) is cut into ``k // (inner + 1) + 1 + m`` partitions, so at least ``m + 1`` of them hold at
+most ``inner`` of the differences. Each is cut again into ``parts``, of which at most ``inner`` differ there, and every subset of
+``parts - inner`` parts gives one signature: two similar sets share one in each of ``m + 1`` partitions. Small sets do without
+the second level (one part, no difference).
 
-An equal projection that is empty says nothing, and projections on a passage that many documents share say little. So
+An equal subset that is empty says nothing, and one on a passage that many documents share says little. So
 the domain first leaves out shingles that are frequent in a bounded sample of documents (any sub-domain keeps the bound ``k``,
-so the sample decides cost, never results). A set with at most ``m`` empty projections shares a non-empty one with every
-similar set. Only sets with more empty ones go on to the next scheme, with more partitions or the whole domain, and sets that
-fail every scheme meet in one signature for their band. A pair is missed by a scheme only if both of its sets go on,
+so the sample decides cost, never results). A partition is weak for a set that fills at most ``inner`` of its parts. A set with at most
+``m`` weak partitions shares a non-empty signature with every similar set. Only sets with more go on to the next scheme, with more
+partitions or the whole domain, and sets that fail every scheme meet in one signature for their band. A pair is missed by a scheme only if both of its sets go on,
 so no pair is missed.
 
-How many non-empty projections two similar sets share follows from ``m`` and the empty ones; each set leaves out as many of its
+How many non-empty signatures two similar sets share at least follows from ``m`` and the weak partitions; each set leaves out as many of its
 most common signatures, less one, as it must share.
 
 Sets that share a signature are not paired with each other. Each set is verified against one other, of the smallest sets of
@@ -24,8 +25,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 from fractions import Fraction
+from functools import lru_cache
+from itertools import combinations
 from math import ceil
 
 import numpy as np
@@ -51,6 +53,13 @@ class Scheme:
     seed: int
 
 
+#: Differences allowed inside a partition and parts of it, from this ``k`` on; below, a partition is one part.
+INNER, PARTS, TWO_LEVELS = 1, 3, 8
+#: Steps in which the number of shared signatures is promised, rounded down.
+NEEDS = np.array([1, 2, 3, 4, 6, 8, 12, 16, 24, 32, 48, 64, 96, 128, 192, 255])
+#: Scheme number of the one signature that all remaining sets of a band share.
+REST = 7
+
 SCHEMES = (Scheme(True, 0.25, 0), Scheme(True, 1.0, 0), Scheme(False, 0.25, 1), Scheme(False, 1.0, 2))
 
 _words = WordHashes()
@@ -90,6 +99,13 @@ def _levels(size: int, threshold: float) -> list[tuple[int, int]]:
     return [(band, most_different(int(ends[band]), threshold)) for band in range(low, high + 1)]
 
 
+@lru_cache
+def _subsets(inner: int, parts: int) -> np.ndarray:
+    """One column per subset of ``parts - inner`` parts, 1 where the part belongs to it."""
+    picked = list(combinations(range(parts), parts - inner))
+    return np.array([[part in some for some in picked] for part in range(parts)], dtype=np.uint64)
+
+
 def signatures(elements: np.ndarray, frequent: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of one set (sorted distinct 64-bit elements), of every band it joins, and a code for each.
 
@@ -106,26 +122,35 @@ def signatures(elements: np.ndarray, frequent: np.ndarray, threshold: float) ->
         domains[True] = elements[frequent[at] != elements]
     made = []
     for band, k in _levels(len(elements), threshold):
+        inner, parts = (INNER, PARTS) if k >= TWO_LEVELS else (0, 1)
+        subsets = _subsets(inner, parts)
+        bad = k // (inner + 1)  # partitions that may hold more than ``inner`` differences
         for number, scheme in enumerate(SCHEMES):
-            m = max(1, ceil(scheme.slack * (k + 1))) if k else 0
-            n = k + 1 + m
+            m = max(1, ceil(scheme.slack * (bad + 1))) if k else 0
+            n = bad + 1 + m
             which = True if scheme.rare_only else scheme.seed
             if which not in domains:
                 domains[which] = np.sort(mix(elements ^ np.uint64(scheme.seed * 0x9E3779B97F4A7C15 & (1 << 64) - 1)))
             domain = domains[which]
-            # partitions are ranges of hashes, so a sorted set is already grouped by them
-            part = ((domain >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)
+            # parts are ranges of hashes, so a sorted set is already grouped by them
+            part = ((domain >> np.uint64(32)) * np.uint64(n * parts)) >> np.uint64(32)
             first = _first_of_run(part)
+            total, filled = np.zeros(n * parts, np.uint64), np.zeros(n * parts, np.uint64)
             if len(first):
-                inside = np.add.reduceat(domain, first)
-                made.append(mix(inside ^ mix(part[first] + np.uint64((band << 40) + (number << 36) + (1 << 35)))))
-            need = m + 1 - (n - len(first))
-            codes.append(np.full(len(first), min(max(need, 1), 255) << 8 | (band & 1) << 4 | number, dtype=np.uint16))
+                total[part[first]] = np.add.reduceat(domain, first)
+                filled[part[first]] = 1
+            filled = filled.reshape(n, parts)
+            names = (np.arange(n * subsets.shape[1], dtype=np.uint64) + np.uint64((band << 40) + (number << 36) + (1 << 35))) * np.uint64(0x9E3779B97F4A7C15)
+            some = ((filled @ subsets) > 0).ravel()
+            made.append(mix((total.reshape(n, parts) @ subsets).ravel() + names)[some])
+            need = m + 1 - int(np.count_nonzero(filled.sum(axis=1) <= inner))
+            promise = int(NEEDS[np.searchsorted(NEEDS, max(need, 1), "right") - 1])
+            codes.append(np.full(len(made[-1]), promise << 8 | (band & 1) << 3 | number, dtype=np.uint16))
             if need >= 1:
                 break
         else:
             made.append(mix(np.array([band << 40 | 0xF << 32], dtype=np.uint64)))
-            codes.append(np.array([1 << 8 | (band & 1) << 4 | 15], dtype=np.uint16))
+            codes.append(np.array([1 << 8 | (band & 1) << 3 | REST], dtype=np.uint16))
     return np.concatenate(made), np.concatenate(codes)
 
 
@@ -143,9 +168,24 @@ def _frequent(rows: DataFrame, threshold: float) -> np.ndarray:
 
 
 def _identity(elements: np.ndarray) -> tuple[int, bytes]:
-    """64-bit id and 128-bit digest of a set."""
+    """56-bit id and 128-bit digest of a set."""
     digest = xxhash.xxh3_128_digest(elements.tobytes())
-    return int.from_bytes(digest[:8], "little", signed=True), digest
+    return _id(digest), digest
+
+
+def _id(digest: bytes) -> int:
+    return int.from_bytes(digest[:7], "little")
+
+
+def _narrow(values: np.ndarray, width: int) -> bytes:
+    """The low ``width`` bytes of 64-bit values."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _widen(blob: bytes, n: int, width: int, at: int) -> np.ndarray:
+    wide = np.zeros((n, 8), dtype=np.uint8)
+    wide[:, :width] = np.frombuffer(blob, np.uint8, width * n, at).reshape(n, width)
+    return wide.view("<u8").ravel()
 
 
 _PLACED = "k long, n long, digest binary, id long, sig long, size long, code int"
@@ -171,15 +211,16 @@ def _signed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame
         found, owners, marks, held, told = [], [], [], 0, []
 
         def flush():
-            sig, owner = np.concatenate([np.zeros(0, np.uint64), *found]), np.concatenate([np.zeros(0, "<i8"), *owners])
-            mark = np.concatenate([np.zeros(0, np.uint16), *marks]).astype("<u2")
+            # 12 bytes an entry: a bucket holds few enough for 32 bits of the signature to tell it, chance equality adds candidates only
+            sig, owner = np.concatenate([np.zeros(0, np.uint64), *found]), np.concatenate([np.zeros(0, np.uint64), *owners])
+            mark = np.concatenate([np.zeros(0, np.uint16), *marks])
+            mark = (np.searchsorted(NEEDS, mark >> 8) << 4 | mark & 15).astype(np.uint8)
             bucket = ((sig >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
-            order = np.argsort(bucket, kind="stable")
+            order = np.argsort(bucket.astype(np.uint16) if buckets <= 1 << 16 else bucket, kind="stable")
             sig, owner, mark, bucket = sig[order], owner[order], mark[order], bucket[order]
             starts = _first_of_run(bucket)
             stops = np.append(starts[1:], len(bucket))
-            low = sig.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
-            blobs = [low[a:b].tobytes() + owner[a:b].tobytes() + mark[a:b].tobytes() for a, b in zip(starts, stops)]
+            blobs = [_narrow(sig[a:b], 4) + _narrow(owner[a:b], 7) + mark[a:b].tobytes() for a, b in zip(starts, stops)]
             blank = [None] * len(blobs)
             names = bucket[starts].astype(np.int64).tolist()
             for k, _, digest in told:  # documents need not meet here: copies are dealt out by their keys too
@@ -201,7 +242,7 @@ def _signed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame
                 sig, code = signatures(s, frequent, threshold)
                 found.append(sig)
                 marks.append(code)
-                owners.append(np.full(len(sig), name, dtype="<i8"))
+                owners.append(np.full(len(sig), name, dtype=np.uint64))
                 held += len(sig)
             if held > 1_000_000:
                 yield flush()
@@ -209,39 +250,45 @@ def _signed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame
         if told:
             yield flush()
 
+    def work(bucket: int, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+        sigs, owners, marks = [], [], []
+        for blob in blobs:
+            n = len(blob) // 12
+            sigs.append(_widen(blob, n, 4, 0))
+            owners.append(_widen(blob, n, 7, 4 * n))
+            marks.append(np.frombuffer(blob, np.uint8, n, 11 * n))
+        sig, owner, mark = np.concatenate(sigs), np.concatenate(owners), np.concatenate(marks)
+        order = np.lexsort((owner, sig))
+        sig, owner, mark = sig[order], owner[order], mark[order]
+        fresh = np.append(True, (sig[1:] != sig[:-1]) | (owner[1:] != owner[:-1]))
+        sig, owner, mark = sig[fresh], owner[fresh], mark[fresh]
+        starts = _first_of_run(sig)
+        count = np.diff(np.append(starts, len(sig)))
+        shared = np.repeat(count > 1, count)
+        named = np.repeat(bucket * (1 << 32) + np.arange(len(starts)), count)[shared]
+        if len(named):
+            code = NEEDS[mark[shared] >> 4] << 8 | (mark[shared] & 15)
+            yield _placed(id=owner[shared].astype(np.int64), sig=named, size=np.repeat(count, count)[shared], code=code.astype(np.int32))
+
     def meet(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs: dict[int, list[bytes]] = {}
+        current, blobs = None, []  # rows come sorted by bucket, so one bucket is held at a time
         for batch in rows:
             own = batch.filter(batch.column(4).is_valid())
             if own.num_rows:
                 digests = own.column(4).to_pylist()
-                yield _placed(k=own.column(2).to_pylist(), n=own.column(3).to_pylist(), digest=digests, id=[int.from_bytes(d[:8], "little", signed=True) for d in digests])
+                yield _placed(k=own.column(2).to_pylist(), n=own.column(3).to_pylist(), digest=digests, id=[_id(d) for d in digests])
             for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                if blob is not None:
-                    blobs.setdefault(bucket, []).append(blob)
-        for bucket in list(blobs):
-            sigs, owners, marks = [], [], []
-            for blob in blobs.pop(bucket):
-                n = len(blob) // 16
-                wide = np.zeros((n, 8), dtype=np.uint8)
-                wide[:, :6] = np.frombuffer(blob, np.uint8, 6 * n).reshape(n, 6)
-                sigs.append(wide.view("<u8").ravel())
-                owners.append(np.frombuffer(blob, "<i8", n, 6 * n))
-                marks.append(np.frombuffer(blob, "<u2", n, 14 * n))
-            sig, owner, mark = np.concatenate(sigs), np.concatenate(owners), np.concatenate(marks)
-            order = np.lexsort((owner, sig))
-            sig, owner, mark = sig[order], owner[order], mark[order]
-            again = (sig[1:] == sig[:-1]) & (owner[1:] == owner[:-1])
-            fresh = np.append(True, ~again)
-            sig, owner, mark = sig[fresh], owner[fresh], mark[fresh]
-            starts = _first_of_run(sig)
-            count = np.diff(np.append(starts, len(sig)))
-            shared = np.repeat(count > 1, count)
-            named = np.repeat(bucket * (1 << 32) + np.arange(len(starts)), count)[shared]
-            if len(named):
-                yield _placed(id=owner[shared].astype(np.int64), sig=named, size=np.repeat(count, count)[shared], code=mark[shared].astype(np.int32))
-
-    dealt = rows.mapInArrow(sign, "bucket long, blob binary, k long, n long, digest binary").repartition(buckets, "bucket")
+                if blob is None:
+                    continue
+                if bucket != current and blobs:
+                    yield from work(current, blobs)
+                    blobs = []
+                current = bucket
+                blobs.append(blob)
+        if blobs:
+            yield from work(current, blobs)
+
+    dealt = rows.mapInArrow(sign, "bucket long, blob binary, k long, n long, digest binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return stage(dealt.mapInArrow(meet, _PLACED), "signatures")
 
 
@@ -309,7 +356,7 @@ def similar_components(docs: DataFrame, threshold: float = 0.75, key: str = "doc
     identified, groups = signed.where("digest is not null").select("k", "n", "digest", "id"), _worth_a_look(signed.where("sig is not null"))
     classes = stage(identified.where("n > 0").groupBy("digest", "id").agg(F.min("k").alias("k")), "classes")
 
-    # ids are 64 bits of the digest: should two sets have one id, both stand for it, and they are a candidate pair
+    # ids are 56 bits of the digest: should two sets have one id, both stand for it, and they are a candidate pair
     bundled = classes.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id")
     taking_part = stage(classes.join(groups.select("id").unionByName(bundled).distinct(), "id"), "candidates")
     texts = stage(_texts(docs, taking_part.select("k").distinct(), key, text), "candidate-texts")
