@@ -8,17 +8,21 @@ the second level (one part, no difference).
 
 An equal subset that is empty says nothing, and one on a passage that many documents share says little. So
 the domain first leaves out shingles that are frequent in a bounded sample of documents (any sub-domain keeps the bound ``k``,
-so the sample decides cost, never results). A partition is weak for a set that fills at most ``inner`` of its parts. A set with at most
-``m`` weak partitions shares a non-empty signature with every similar set. Only sets with more go on to the next scheme, with more
-partitions or the whole domain, and sets that fail every scheme meet in one signature for their band. A pair is missed by a scheme only if both of its sets go on,
+so the sample decides cost, never results). Counting parts that can differ, two similar sets share at least ``n * (inner + 1) - k`` subsets, of which a set loses at most
+``inner + 1 - filled`` in a partition of which it fills so few parts. A set that still has one left shares a non-empty signature
+with every similar set. Only the others go on to the next scheme, with more partitions or the whole domain, and sets that fail every
+scheme meet in one signature for their band. A pair is missed by a scheme only if both of its sets go on,
 so no pair is missed.
 
-How many non-empty signatures two similar sets share at least follows from ``m`` and the weak partitions; each set leaves out as many of its
+The same count tells how many non-empty signatures two similar sets share at least; each set leaves out as many of its
 most common signatures, less one, as it must share.
 
 Sets that share a signature are not paired with each other. Each set is verified against one other, of the smallest sets of
 its groups the one it shares most signatures with; verified links are joined to components; only then are pairs verified that
 share a signature and lie in different components. The components are those of all links.
+
+Before texts are compared, sizes and parities rule pairs out exactly: each set has 256 bits, the parities of its elements' counts in
+256 classes of hashes, and two sets differ in at least as many elements as bits.
 """
 
 from __future__ import annotations
@@ -33,10 +37,10 @@ from math import ceil
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.base import WordHashes, hash_sample, mix, stage, windows
+from tallyhouse.llm.base import WordHashes, discard, hash_sample, mix, stage, windows
 from tallyhouse.llm.components import components
 
 #: Documents (hash sample over the whole table) that tell frequent shingles, and the share of them that makes one frequent.
@@ -143,7 +147,8 @@ def signatures(elements: np.ndarray, frequent: np.ndarray, threshold: float) ->
             names = (np.arange(n * subsets.shape[1], dtype=np.uint64) + np.uint64((band << 40) + (number << 36) + (1 << 35))) * np.uint64(0x9E3779B97F4A7C15)
             some = ((filled @ subsets) > 0).ravel()
             made.append(mix((total.reshape(n, parts) @ subsets).ravel() + names)[some])
-            need = m + 1 - int(np.count_nonzero(filled.sum(axis=1) <= inner))
+            # a partition with j differing parts shares at least inner + 1 - j subsets, less those that are empty in this set
+            need = n * (inner + 1) - k - int(np.maximum(inner + 1 - filled.sum(axis=1).astype(np.int64), 0).sum())
             promise = int(NEEDS[np.searchsorted(NEEDS, max(need, 1), "right") - 1])
             codes.append(np.full(len(made[-1]), promise << 8 | (band & 1) << 3 | number, dtype=np.uint16))
             if need >= 1:
@@ -173,6 +178,11 @@ def _identity(elements: np.ndarray) -> tuple[int, bytes]:
     return _id(digest), digest
 
 
+def _parities(elements: np.ndarray) -> bytes:
+    """256 bits: whether an odd number of elements is in each class."""
+    return np.packbits(np.bincount((elements & np.uint64(255)).astype(np.int64), minlength=256) & 1).tobytes()
+
+
 def _id(digest: bytes) -> int:
     return int.from_bytes(digest[:7], "little")
 
@@ -188,9 +198,9 @@ def _widen(blob: bytes, n: int, width: int, at: int) -> np.ndarray:
     return wide.view("<u8").ravel()
 
 
-_PLACED = "k long, n long, digest binary, id long, sig long, size long, code int"
+_PLACED = "k long, n long, digest binary, id long, sig long, size long, code int, p0 long, p1 long, p2 long, p3 long"
 _NAMES = [x.split(" ")[0] for x in _PLACED.split(", ")]
-_KINDS = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+_KINDS = [pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), *[pa.int64()] * 4]
 
 
 def _placed(**columns) -> pa.RecordBatch:
@@ -223,19 +233,20 @@ def _signed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame
             blobs = [_narrow(sig[a:b], 4) + _narrow(owner[a:b], 7) + mark[a:b].tobytes() for a, b in zip(starts, stops)]
             blank = [None] * len(blobs)
             names = bucket[starts].astype(np.int64).tolist()
-            for k, _, digest in told:  # documents need not meet here: copies are dealt out by their keys too
+            for k, _, digest, _ in told:  # documents need not meet here: copies are dealt out by their keys too
                 names.append(xxhash.xxh3_64_intdigest(digest + (k or 0).to_bytes(8, "little", signed=True)) % buckets)
             return pa.RecordBatch.from_arrays(
                 [pa.array(names, pa.int64()), pa.array(blobs + [None] * len(told), pa.binary()), pa.array(blank + [x[0] for x in told], pa.int64()),
-                 pa.array(blank + [x[1] for x in told], pa.int64()), pa.array(blank + [x[2] for x in told], pa.binary())],
-                ["bucket", "blob", "k", "n", "digest"],
+                 pa.array(blank + [x[1] for x in told], pa.int64()), pa.array(blank + [x[2] for x in told], pa.binary()),
+                 pa.array(blank + [x[3] for x in told], pa.binary())],
+                ["bucket", "blob", "k", "n", "digest", "bits"],
             )
 
         for batch in rows:
             for k, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 s = shingle_set(t)
                 name, digest = _identity(s)
-                told.append((k, len(s), digest))
+                told.append((k, len(s), digest, _parities(s)))
                 if not len(s) or digest in seen:
                     continue
                 seen.add(digest)
@@ -276,7 +287,11 @@ def _signed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame
             own = batch.filter(batch.column(4).is_valid())
             if own.num_rows:
                 digests = own.column(4).to_pylist()
-                yield _placed(k=own.column(2).to_pylist(), n=own.column(3).to_pylist(), digest=digests, id=[_id(d) for d in digests])
+                bits = np.frombuffer(b"".join(own.column(5).to_pylist()), "<i8").reshape(-1, 4)
+                yield _placed(
+                    k=own.column(2).to_pylist(), n=own.column(3).to_pylist(), digest=digests, id=[_id(d) for d in digests],
+                    **{f"p{i}": bits[:, i] for i in range(4)},
+                )
             for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if blob is None:
                     continue
@@ -288,7 +303,7 @@ def _signed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame
         if blobs:
             yield from work(current, blobs)
 
-    dealt = rows.mapInArrow(sign, "bucket long, blob binary, k long, n long, digest binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
+    dealt = rows.mapInArrow(sign, "bucket long, blob binary, k long, n long, digest binary, bits binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return stage(dealt.mapInArrow(meet, _PLACED), "signatures")
 
 
@@ -304,9 +319,27 @@ def _texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame
     return rows.join(wanted, rows["k"].eqNullSafe(wanted["k"]), "left_semi").select("t").mapInArrow(run, "digest binary, t binary")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+_BITS = ("p0", "p1", "p2", "p3")
+
+
+def _sided(sets: DataFrame, side: str) -> DataFrame:
+    """The sets with their digest named ``side`` and their size and parities marked by it."""
+    return sets.withColumnsRenamed({"digest": side, **{c: f"{c}_{side}" for c in ("n", *_BITS)}}).drop("k")
+
+
+def _may_link(threshold: float) -> Column:
+    """Whether the pair ``a``, ``b`` may be linked: similar sets differ in few elements, and different bits or sizes are differences."""
+    share = Fraction(str(threshold))
+    bits = sum((F.bit_count(F.col(f"{c}_a").bitwiseXOR(F.col(f"{c}_b"))) for c in _BITS), F.lit(0))
+    least = F.greatest(bits.cast("long"), F.abs(F.col("n_a") - F.col("n_b")))
+    return least * (share.denominator + share.numerator) <= (F.col("n_a") + F.col("n_b")) * (share.denominator - share.numerator)
+
+
+def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, threshold: float, key: str, text: str) -> DataFrame:
     """Those pairs of digests (``a``, ``b``) whose sets are similar enough. Texts travel, being smaller than their sets."""
     share = Fraction(str(threshold))
+    used = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
+    texts = stage(_texts(docs, sets.join(used, "digest").select("k").distinct(), key, text), "candidate-texts")
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, q = None, None
@@ -328,7 +361,9 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
     left = texts.select(F.col("digest").alias("a"), F.col("t").alias("x"))
     right = texts.select(F.col("digest").alias("b"), F.col("t").alias("y"))
     found = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
-    return stage(found, "links")
+    links = stage(found, "links")
+    discard(texts)
+    return links
 
 
 def _worth_a_look(shared: DataFrame) -> DataFrame:
@@ -341,7 +376,9 @@ def _worth_a_look(shared: DataFrame) -> DataFrame:
     left = shared.withColumn("place", F.row_number().over(mine)).where(F.col("place") >= F.shiftright("code", 8)).select("sig", "id")
     left = stage(left, "rare-signatures")
     centers = left.groupBy("sig").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("c")).where("c > 1").select("sig", "center")
-    return stage(left.join(centers, "sig"), "signature-groups")
+    groups = stage(left.join(centers, "sig"), "signature-groups")
+    discard(left)
+    return groups
 
 
 def similar_components(docs: DataFrame, threshold: float = 0.75, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -353,31 +390,38 @@ def similar_components(docs: DataFrame, threshold: float = 0.75, key: str = "doc
     and its component has the smallest key that is there, if any. Extra columns are not read, an empty table gives no rows.
     """
     signed = _signed(docs, key, text, threshold)
-    identified, groups = signed.where("digest is not null").select("k", "n", "digest", "id"), _worth_a_look(signed.where("sig is not null"))
-    classes = stage(identified.where("n > 0").groupBy("digest", "id").agg(F.min("k").alias("k")), "classes")
+    identified = stage(signed.where("digest is not null").select("k", "n", "digest", "id", *_BITS), "identities")
+    groups = _worth_a_look(signed.where("sig is not null"))
+    discard(signed)
+    facts = [F.min("k").alias("k"), *[F.first(c).alias(c) for c in ("n", *_BITS)]]
+    classes = stage(identified.where("n > 0").groupBy("digest", "id").agg(*facts), "classes")
 
     # ids are 56 bits of the digest: should two sets have one id, both stand for it, and they are a candidate pair
     bundled = classes.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id")
     taking_part = stage(classes.join(groups.select("id").unionByName(bundled).distinct(), "id"), "candidates")
-    texts = stage(_texts(docs, taking_part.select("k").distinct(), key, text), "candidate-texts")
     named = taking_part.select("id", "digest")
-    first, second = named.select(F.col("id").alias("i"), F.col("digest").alias("a")), named.select(F.col("id").alias("j"), F.col("digest").alias("b"))
+    first, second = _sided(taking_part, "a").withColumnRenamed("id", "i"), _sided(taking_part, "b").withColumnRenamed("id", "j")
     # each set is first held against the center it shares most signatures with
     most = groups.where("id <> center").groupBy("id", "center").agg(F.count(F.lit(1)).alias("c"))
     starred = most.groupBy(F.col("id").alias("i")).agg(F.max_by("center", F.struct("c", "center")).alias("j"))
     tried = starred.unionByName(bundled.select(F.col("id").alias("i"), F.col("id").alias("j"))).join(first, "i").join(second, "j").where("a <> b")
-    tried = stage(tried.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "tried-pairs")
-    links = _verified(tried, texts, threshold)
+    tried = tried.where(_may_link(threshold)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    tried = stage(tried.distinct(), "tried-pairs")
+    links = _verified(tried, docs, taking_part, threshold, key, text)
     joined = components(links)
 
     # what shares a signature and is still apart
     placed = groups.select("sig", "id").join(named, "id").join(joined.withColumnRenamed("node", "digest"), "digest", "left")
     placed = stage(placed.select("sig", "digest", F.coalesce("root", "digest").alias("root")), "placed")
+    discard(groups)
     apart = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
-    rest = placed.join(apart, "sig")
-    a, b = rest.select("sig", F.col("digest").alias("a"), F.col("root").alias("ra")), rest.select("sig", F.col("digest").alias("b"), F.col("root").alias("rb"))
-    more = a.join(b, "sig").where("a > b and ra <> rb").select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = _verified(more, texts, threshold)
+    rest = stage(placed.join(apart, "sig").join(taking_part.select("digest", "n", *_BITS), "digest"), "apart")
+    discard(placed)
+    a, b = _sided(rest, "a").withColumnRenamed("root", "ra"), _sided(rest, "b").withColumnRenamed("root", "rb")
+    more = a.join(b, "sig").where("a > b and ra <> rb").where(_may_link(threshold)).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
+    more = stage(more, "more-pairs")
+    discard(rest)
+    more = _verified(more, docs, taking_part, threshold, key, text)
     if not more.isEmpty():
         joined = components(links.unionByName(more))
 
