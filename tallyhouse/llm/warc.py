@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.base import stage
+from tallyhouse.llm.base import discard, stage
 from tallyhouse.session import workspace
 
 #: Payload bytes of a chunk.
@@ -62,16 +62,22 @@ def write(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
     Of pages with equal payloads of at least ``least`` bytes the one with the largest key is a response, the others are
     revisits of it. NULL html is an empty payload. Repeated rows each have a record; if a largest key repeats, each of its rows is a
     response. A NULL key is smaller than any other; if a payload has no other key, all its records are responses. Other
-    columns are not read, an empty table gives an empty archive. Hot payloads: the largest key is aggregated before the
-    shuffle, and the join back is one that Spark splits by size.
+    columns are not read, an empty table gives an empty archive. Hot payloads: the largest key of a repeated payload is aggregated before
+    the shuffle, and revisits are decided and written without bodies. Bodies of responses are told by key and digest together, which
+    spreads the copies of a payload; only distinct keys of revisits are held in memory, a partition at a time, and no body is sorted.
     """
     path = workspace(pages.sparkSession, "warc")
     raw = pages.select(F.col(key).cast("long").alias("page"), F.col(url).alias("url"), F.coalesce(F.col(html).cast("binary"), F.lit(b"")).alias("body"))
     raw = raw.withColumn("sha", F.unhex(F.sha1("body"))).withColumn("size", F.octet_length("body").cast("long"))
-    newest = stage(raw.where(F.col("size") >= least).groupBy("sha").agg(F.max("page").alias("newest")), "payloads")
-    joined = raw.join(newest, "sha", "left")
+    groups = raw.where(F.col("size") >= least).groupBy("sha").agg(F.max("page").alias("newest"), F.count(F.lit(1)).alias("c"))
+    newest = stage(groups.where("c > 1 AND newest IS NOT NULL").select("sha", "newest"), "payloads")
+    revisits = raw.drop("body").join(newest, "sha").where(~F.col("page").eqNullSafe(F.col("newest")))
+    revisits = stage(revisits.select("page", "url", "sha", "size", "newest"), "revisits")
+    told = revisits.select(F.col("page").alias("p"), F.col("sha").alias("s")).distinct().hint("shuffle_hash")
+    responses = raw.join(told, F.col("page").eqNullSafe(F.col("p")) & (F.col("sha") == F.col("s")), "left_anti")
+    empty = revisits.select("*", F.lit(0).alias("chunk"), F.lit(b"").alias("part"))
     chunks = F.explode(F.sequence(F.lit(0), F.greatest(F.ceil(F.col("size") / CHUNK_BYTES).cast("int") - 1, F.lit(0))))
-    cut = joined.select("page", "url", "sha", "size", "newest", "body", chunks.alias("chunk"))
+    cut = responses.select("page", "url", "sha", "size", F.lit(None).cast("long").alias("newest"), "body", chunks.alias("chunk"))
     cut = cut.select("page", "url", "sha", "size", "newest", "chunk", F.substring("body", F.col("chunk") * CHUNK_BYTES + 1, F.lit(CHUNK_BYTES)).alias("part"))
 
     def records(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,17 +86,15 @@ def write(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
             made: list[list] = [[] for _ in _NAMES]
             columns = [batch.column(i).to_pylist() for i in range(6)]
             for page, link, sha, size, newest, number, part in zip(*columns, batch.column(6)):
-                revisit = newest is not None and page != newest
+                revisit = newest is not None
                 content = part.as_py()
                 if number == 0:
                     record, running, length = str(uuid.uuid4()), hashlib.sha1(), 0
                 running.update(content)
                 length += len(content)
                 last = length == size
-                if last and running.digest() != sha:
+                if last and not revisit and running.digest() != sha:
                     raise ValueError(f"payload of page {page} changed while it was written")
-                if revisit and number:
-                    continue
                 if number == 0:
                     content = header(record, page, link, sha, size, newest, revisit, date) + (b"" if revisit else content)
                 whole = last or revisit
@@ -99,7 +103,8 @@ def write(pages: DataFrame, key: str = "page_id", url: str = "url", html: str =
                     column.append(value)
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(made, _KINDS)], _NAMES)
 
-    cut.mapInArrow(records, _TABLE).write.parquet(path)
+    cut.unionByName(empty).mapInArrow(records, _TABLE).write.parquet(path)
+    discard(revisits)
     return path
 
 

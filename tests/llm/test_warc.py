@@ -58,3 +58,13 @@ def test_whole_test_table_and_empty(spark, folder):
     got = sorted(map(tuple, warc.read(spark, warc.write(table)).collect()), key=str)
     assert got == expected([(r.page_id, r.url, r.html) for r in table.collect()])
     assert warc.read(spark, warc.write(spark.createDataFrame([], PAGES))).collect() == []
+
+
+def test_ten_thousand_equal_pages(spark):
+    rows = [(i, "u", "same page") for i in range(10_000)] + [(20_000, "v", "another"), (None, "w", "same page")]
+    table = spark.createDataFrame([(*r, "s", "p") for r in rows], PAGES)
+    path = warc.write(table)
+    got = {r.page_id: (r.record_type, r.refers_to) for r in warc.read(spark, path).collect()}
+    assert len(got) == 10_002 and got[9_999] == got[20_000] == ("response", None)
+    assert {v for k, v in got.items() if k not in (9_999, 20_000)} == {("revisit", 9_999)}
+    assert spark.read.parquet(path).where(F.col("content").contains(b"same page")).count() == 1
