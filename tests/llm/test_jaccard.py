@@ -97,3 +97,18 @@ def test_copies_are_dealt_out(spark, docs):
     assert made.count() == 301
     files = [r["count"] for r in made.selectExpr("input_file_name() AS f").groupBy("f").count().collect()]
     assert len(files) > 1 and max(files) < 250
+
+
+def test_subsets_and_parities():
+    """Every two of three parts make a signature, and sets differ in at least as many elements as parity bits."""
+    assert J._subsets(1, 3).T.tolist() == [[1, 1, 0], [1, 0, 1], [0, 1, 1]]
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 40, 400):
+        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        b = np.unique(np.r_[a[size // 5 :], rng.integers(0, 1 << 63, size // 4, dtype=np.uint64)])
+        bits = int.from_bytes(J._parities(a), "big") ^ int.from_bytes(J._parities(b), "big")
+        assert bits.bit_count() <= len(np.setxor1d(a, b))
+    whole = np.sort(rng.integers(0, 1 << 63, 200, dtype=np.uint64))
+    other = np.delete(whole, [3, 50, 120])
+    (p, c), (q, _) = J.signatures(whole, whole[:0], 0.75), J.signatures(other, whole[:0], 0.75)
+    assert len(p) > 100 and len(np.intersect1d(p, q)) >= max(c >> 8)
