@@ -43,11 +43,11 @@ def tidy(spark: SparkSession) -> Iterator[None]:
         spark.conf.unset(TIDY) if before is None else spark.conf.set(TIDY, before)
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, codec: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back: later steps do not recompute it."""
     path = workspace(df.sparkSession, label)
     with tidy(df.sparkSession):
-        df.write.parquet(path)
+        df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -8,7 +8,7 @@ import uuid
 
 import numpy as np
 
-ONE, WORD = np.uint64(1), np.uint64(63)
+ONE, WORD, ALL = np.uint64(1), np.uint64(63), np.uint64((1 << 64) - 1)
 
 
 def save(path: str, arrays: dict[str, np.ndarray], notes: dict) -> None:
@@ -92,13 +92,27 @@ class Sequence:
             place += np.where(skip, np.uint64(width), np.uint64(0))
         return word * 64 + place.astype(np.int64)
 
+    def _next_zero(self, at: np.ndarray) -> np.ndarray:
+        """Position of the first zero of ``high`` beyond each position."""
+        at = at + 1
+        word = at >> 6
+        left = ~self.high[word] & (ALL << (at.astype(np.uint64) & WORD))
+        none = np.flatnonzero(left == 0)
+        while len(none):
+            word[none] += 1
+            left[none] = ~self.high[word[none]]
+            none = none[left[none] == 0]
+        lowest = left & (~left + ONE)
+        return word * 64 + np.bitwise_count(lowest - ONE).astype(np.int64)
+
     def successor(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Index of the first value not below each ``x`` (``n`` if there is none), and whether it equals ``x``."""
         x = x.astype(np.uint64)
         top, want = (x >> np.uint64(self.bits)).astype(np.int64), x & self.mask
         # values with these high bits lie between two zeros; among them the low bits ascend
-        index = np.where(top > 0, self._zero(np.maximum(top - 1, 0)) + 1 - top, 0)
-        stop = self._zero(top) - top
+        before = np.where(top > 0, self._zero(np.maximum(top - 1, 0)), -1)
+        index = before + 1 - top
+        stop = self._next_zero(before) - top
         end = stop.copy()
         live = np.flatnonzero(index < stop)
         while len(live):

@@ -12,8 +12,8 @@ level above, a number as small as the run. The order, the number of levels, is a
 
 Probabilities are interpolated after Witten and Bell, from the longest context down to the word alone: what a context has not
 seen is shared out by the probabilities after the context without its first word, at last by word frequency, and an
-unknown word has the share of words among tokens. Words are counted, and levels built one after the other, one task per range,
-from counts that each task has summed before the shuffle. The files lie in the shared folder and are mapped, not loaded: a task touches
+unknown word has the share of words among tokens. Words are counted, then every text is written once as the ids of its words; levels
+are built from ids, one after the other, one task per range, from counts that each task has summed before the shuffle. The files lie in the shared folder and are mapped, not loaded: a task touches
 the pages its texts need.
 """
 
@@ -27,27 +27,53 @@ from urllib.parse import urlparse
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import eliasfano as ef
-from tallyhouse.llm.base import WordHashes, tidy
-from tallyhouse.llm.tokens import trim
+from tallyhouse.llm.base import discard, mix, stage, tidy
 from tallyhouse.session import workspace
 
 #: Tokens that a task sums before it hands on counts.
 FLUSH = 2_000_000
 #: Tokens per file of a level beyond the first to aim for.
 SHARD = 4_000_000
+#: Ids that are looked up together, at least where a task has as many.
+CHUNK = 1_000_000
+#: Words of more bytes are hashed one by one.
+LONG = 256
 #: Bins of the quantised log probabilities.
 BINS = 256
 
-_hash = WordHashes()
+_ALL = np.uint64((1 << 64) - 1)
 
 
-def words(text: bytes | None) -> list[bytes]:
-    return (text or b"").lower().split()
+def word_hashes(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of texts, one after the other, and how many words each text has. A-Z count as a-z.
+
+    All words are hashed at once, eight bytes a step. Words of up to eight bytes that are as long never collide.
+    """
+    joined = (b"\n".join(t or b"" for t in texts) + b"\n").lower() + bytes(8)
+    raw = np.frombuffer(joined, dtype=np.uint8, count=len(joined) - 8)
+    gap = (raw == 32) | (raw - np.uint8(9) < 5)
+    edge = np.flatnonzero(gap[1:] != gap[:-1]) + 1
+    edge = edge if gap[0] else np.concatenate(([0], edge))
+    start, length = edge[0::2], edge[1::2] - edge[0::2]
+    bounds = np.cumsum([0, *(len(t or b"") + 1 for t in texts)])
+    sizes = np.diff(np.searchsorted(start, bounds))
+    eight = np.ndarray(len(raw), dtype="<u8", buffer=joined, strides=(1,))  # the eight bytes from each place on
+    hashes = mix(length.astype(np.uint64))
+    live, step = np.flatnonzero(length <= LONG), 0
+    while len(live):
+        left = length[live] - step
+        lane = eight[start[live] + step] & (_ALL >> (64 - 8 * np.minimum(left, 8)).astype(np.uint64))
+        hashes[live] = mix(hashes[live] * np.uint64(0x9E3779B97F4A7C15) ^ lane)
+        live, step = live[left > 8], step + 8
+    for i in np.flatnonzero(length > LONG):
+        hashes[i] = xxhash.xxh3_64_intdigest(joined[start[i] : start[i] + length[i]])
+    return hashes, sizes
 
 
 def shared_folder(spark, label: str) -> str:
@@ -94,7 +120,7 @@ def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray | None]:
     return np.cumsum(steps, dtype=np.uint64), counts.astype(np.int64), values
 
 
-_BLOBS = "shard long, blob binary"
+_BLOBS = "shard int, blob binary"
 
 
 def _dealt(keys: list[np.ndarray], shard: Callable[[np.ndarray], np.ndarray], values: list[np.ndarray] | None = None) -> pa.RecordBatch:
@@ -108,7 +134,11 @@ def _dealt(keys: list[np.ndarray], shard: Callable[[np.ndarray], np.ndarray], va
     shards = shard(distinct)
     spans = list(_runs(shards))
     blobs = [_pack(distinct[a:b], counts[a:b], None if beside is None else beside[a:b]) for _, a, b in spans]
-    return pa.RecordBatch.from_arrays([pa.array([s for s, _, _ in spans], pa.int64()), pa.array(blobs, pa.binary())], ["shard", "blob"])
+    return pa.RecordBatch.from_arrays([pa.array([s for s, _, _ in spans], pa.int32()), pa.array(blobs, pa.binary())], ["shard", "blob"])
+
+
+def _one_task_each(blobs: DataFrame, shards: int) -> DataFrame:
+    return blobs.repartitionById(shards, F.col("shard"))
 
 
 def _by_range(hashes: np.ndarray, parts: int) -> np.ndarray:
@@ -181,12 +211,11 @@ class Model:
 class Levels:
     """A model's mapped files; one per worker process."""
 
-    def __init__(self, model: Model, limit: int = 400_000):
-        self.model, self.limit = model, limit
+    def __init__(self, model: Model):
+        self.model = model
         self.bases = np.concatenate(([0], np.cumsum(model.sizes))).astype(np.int64)
         self.starts = [np.concatenate(([0], np.cumsum(g.sizes))).astype(np.int64) for g in model.grams]
         self.one, self.more = {}, {}
-        self.known: dict[bytes, int] = {}
 
     def _one(self, part: int):
         if part not in self.one:
@@ -200,24 +229,21 @@ class Levels:
             self.more[n, shard] = (arrays, ef.Sequence(arrays, notes["bits"], notes["n"]), ef.Sequence(arrays, notes["point_bits"], notes["contexts"] + 1, "point_"))
         return self.more[n, shard]
 
-    def _search(self, new: list[bytes]) -> list[int]:
-        hashes = _hash.of(new)
-        ids, parts = np.full(len(new), self.model.unknown), _by_range(hashes, len(self.model.sizes)).astype(np.int64)
-        for part in np.unique(parts):
+    def numbers(self, texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Word ids of texts, each with its end, one after the other, and how many ids each text has."""
+        hashes, sizes = word_hashes(texts)
+        distinct, inverse = np.unique(hashes, return_inverse=True)
+        found = np.full(len(distinct), self.model.unknown)
+        for part, a, b in _runs(_by_range(distinct, len(self.model.sizes))):
             if self.model.sizes[part]:
-                mine = np.flatnonzero(parts == part)
-                index, equal = self._one(part)[0].successor(hashes[mine])
-                ids[mine[equal]] = self.bases[part] + index[equal]
-        return ids.tolist()
-
-    def ids(self, texts: list[list[bytes]]) -> list[np.ndarray]:
-        """Ids of the words of texts."""
-        known = self.known
-        trim(known, self.limit)
-        found = [list(map(known.get, t)) for t in texts]
-        new = list({w for t, f in zip(texts, found) if None in f for w, i in zip(t, f) if i is None})
-        known.update(zip(new, self._search(new)))
-        return [np.array([known[w] for w in t] if None in f else f, dtype=np.int64) for t, f in zip(texts, found)]
+                index, equal = self._one(part)[0].successor(distinct[a:b])
+                found[a:b][equal] = self.bases[part] + index[equal]
+        sizes = sizes + 1
+        ids = np.full(int(sizes.sum()), self.model.end)
+        inside = np.ones(len(ids), dtype=bool)
+        inside[np.cumsum(sizes) - 1] = False
+        ids[inside] = found[inverse]
+        return ids, sizes
 
     def counts(self, ids: np.ndarray) -> np.ndarray:
         """How often words (and the end) occur in training."""
@@ -225,7 +251,7 @@ class Levels:
         out[ids == self.model.end] = self.model.ends
         inside = np.flatnonzero(ids < self.model.n_words)
         parts = np.searchsorted(self.bases, ids[inside], side="right") - 1
-        order = np.argsort(parts, kind="stable")
+        order = np.argsort(parts.astype(np.min_scalar_type(len(self.bases))), kind="stable")
         inside, parts = inside[order], parts[order]
         for part, a, b in _runs(parts):
             mine = inside[a:b]
@@ -259,9 +285,13 @@ class Levels:
             local = context[a:b] - grams.first(shard)
             index, equal = keys.successor(local * grams.width + np.maximum(successor[a:b], 0))
             equal &= successor[a:b] >= 0
-            begin = _pointer(points, arrays, local)
-            kinds = _pointer(points, arrays, local + 1) - begin
-            weight[a:b] = np.log10(np.where(kinds > 0, np.maximum(kinds, 1) / (arrays["totals"][local] + np.maximum(kinds, 1)), 1))
+            # pairs of one context lie together: its run is looked up once
+            own = np.flatnonzero(np.concatenate(([True], local[1:] != local[:-1])))
+            each, pairs_each = local[own], np.diff(np.append(own, b - a))
+            begin = _pointer(points, arrays, each)
+            kinds = _pointer(points, arrays, each + 1) - begin
+            share = np.log10(np.where(kinds > 0, np.maximum(kinds, 1) / (arrays["totals"][each] + np.maximum(kinds, 1)), 1))
+            weight[a:b], begin = np.repeat(share, pairs_each), np.repeat(begin, pairs_each)
             found = a + np.flatnonzero(equal)
             index, begin = index[equal], begin[equal]
             value[found] = arrays["book"][arrays["bins"][index]]
@@ -282,11 +312,6 @@ class Levels:
             contexts[begin] = -1
         return contexts, successors, value
 
-    def log10(self, contexts: np.ndarray, ids: np.ndarray, context_counts: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        """log10 probability of each word after the word before it alone."""
-        seen = (contexts < self.model.unknown) & (context_counts > 0)
-        return self.follow(2, np.where(seen, contexts, -1), ids, np.log10(self.unigram(counts)))[0]
-
 
 def _pointer(points: ef.Sequence, arrays: dict, i: np.ndarray) -> np.ndarray:
     """Value of the pointer sequence at each index: low bits, and the position of the i-th one."""
@@ -319,20 +344,79 @@ def _levels(model: Model) -> Levels:
     return _OPEN[0]
 
 
-def _flat(levels: Levels, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word ids of texts, each with its end, one after the other; where each text begins; how many ids it has."""
-    each = [np.append(i, levels.model.end) for i in levels.ids([words(t) for t in texts])]
-    sizes = np.array([len(i) for i in each], dtype=np.int64)
-    return np.concatenate(each) if each else np.zeros(0, np.int64), np.cumsum(sizes) - sizes, sizes
+def _raw(text: str) -> Column:
+    return F.coalesce(F.col(text).cast("binary"), F.lit(b""))
+
+
+def _kind(model: Model) -> str:
+    return "<u4" if model.unknown < 1 << 32 else "<u8"
+
+
+def _numbered(rows: DataFrame, model: Model) -> DataFrame:
+    """``rows`` with ``ids``, the word ids of a text and its end as little-endian numbers, in place of ``t``."""
+    others = [c for c in rows.columns if c != "t"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels, kind = _levels(model), np.dtype(_kind(model))
+        for batch in batches:
+            ids, sizes = levels.numbers(batch.column("t").to_pylist())
+            bounds = np.concatenate(([0], np.cumsum(sizes * kind.itemsize))).astype(np.int32)
+            blobs = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(bounds), pa.py_buffer(ids.astype(kind))])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in others), blobs], [*others, "ids"])
+
+    kinds = "".join(f"{c} {rows.schema[c].dataType.simpleString()}, " for c in others)
+    return rows.mapInArrow(run, kinds + "ids binary")
+
+
+def _chunks(batches: Iterator[pa.RecordBatch], kind: str) -> Iterator[tuple[list[pa.RecordBatch], np.ndarray, np.ndarray, np.ndarray]]:
+    """Batches taken together: these, their ids one after the other, where each text begins, and how many ids it has."""
+    held, size, width = [], 0, np.dtype(kind).itemsize
+
+    def joined():
+        blobs = [x for b in held for x in b.column("ids").to_pylist()]
+        sizes = np.fromiter(map(len, blobs), dtype=np.int64, count=len(blobs)) // width
+        return held, np.frombuffer(b"".join(blobs), dtype=kind).astype(np.int64), np.cumsum(sizes) - sizes, sizes
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            size += batch.column("ids").nbytes // width
+        if size > CHUNK:
+            yield joined()
+            held, size = [], 0
+    if held:
+        yield joined()
 
 
 def train(texts: DataFrame, text: str = "text", order: int = 2) -> Model:
     """Count, smooth and write a model of all texts with contexts of up to ``order - 1`` words. NULL texts count as empty: just an end."""
+    model, numbered = _learn(texts.select(F.lit(True).alias("learn"), _raw(text).alias("t")), order)
+    discard(numbered)
+    return model
+
+
+def _learn(rows: DataFrame, order: int) -> tuple[Model, DataFrame]:
+    """A model of the texts ``t`` of rows that say ``learn``, and all rows with ids in place of texts, staged."""
     if order < 2:
         raise ValueError("a model has two levels at least")
-    spark = texts.sparkSession
+    model = _level_one(rows.where("learn").select("t"))
+    numbered = stage(_numbered(rows, model), "language-model-ids", codec="zstd")
+    parts = len(model.sizes)
+    shards = max(parts, ceil(model.tokens / SHARD))
+    grams = Grams(model.n_words + 2, model.n_words + 3, shards)
+    for n in range(2, order + 1):
+        if grams.contexts * (grams.width + 1) >= 1 << 63:
+            raise ValueError(f"n-grams of level {n} do not fit 63 bits")
+        sizes, width = _level(numbered.where("learn").select("ids"), model, n, grams)
+        model = replace(model, grams=(*model.grams, replace(grams, sizes=sizes)))
+        grams = Grams(sum(sizes), width, shards)
+    return model, numbered
+
+
+def _level_one(raw: DataFrame) -> Model:
+    """Count the words of the texts ``t`` and write level one."""
+    spark = raw.sparkSession
     path = shared_folder(spark, "language-model")
-    raw = texts.select(F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("t"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def by_range(hashes: np.ndarray) -> np.ndarray:
@@ -341,9 +425,8 @@ def train(texts: DataFrame, text: str = "text", order: int = 2) -> Model:
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in rows:
-            for t in batch.column(0).to_pylist():
-                held.append(_hash.of(words(t)))
-                size += len(held[-1])
+            held.append(word_hashes(batch.column(0).to_pylist())[0])
+            size += len(held[-1])
             if size > FLUSH:
                 yield _dealt(held, by_range)
                 held, size = [], 0
@@ -359,23 +442,24 @@ def train(texts: DataFrame, text: str = "text", order: int = 2) -> Model:
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([len(keys)], pa.int64()), pa.array([int(counts.sum())], pa.int64())], ["shard", "n", "total"])
 
     with tidy(spark):
-        built = raw.mapInArrow(count, _BLOBS).repartition(parts, "shard").mapInArrow(level_one, "shard long, n long, total long").collect()
+        built = _one_task_each(raw.mapInArrow(count, _BLOBS), parts).mapInArrow(level_one, "shard long, n long, total long").collect()
     ends = raw.count()
     sizes = {r["shard"]: r["n"] for r in built}
     tokens = sum(r["total"] for r in built) + ends
-    shards = max(parts, ceil(tokens / SHARD))
-    model = Model(path, tuple(sizes.get(p, 0) for p in range(parts)), ends, tokens)
-    grams = Grams(model.n_words + 2, model.n_words + 3, shards)
-    for n in range(2, order + 1):
-        if grams.contexts * (grams.width + 1) >= 1 << 63:
-            raise ValueError(f"n-grams of level {n} do not fit 63 bits")
-        sizes, width = _level(raw, model, n, grams)
-        model = replace(model, grams=(*model.grams, replace(grams, sizes=sizes)))
-        grams = Grams(sum(sizes), width, shards)
-    return model
+    return Model(path, tuple(sizes.get(p, 0) for p in range(parts)), ends, tokens)
+
+
+def quantised(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A bin for each value and the value of each bin: values themselves where ``BINS`` suffice, else means of bins of equal width."""
+    book, bins = np.unique(values, return_inverse=True)
+    if len(book) > BINS:
+        low, high = book[0], book[-1]
+        bins = np.minimum(((values - low) / (high - low) * BINS).astype(np.int64), BINS - 1)
+        book = np.bincount(bins, weights=values, minlength=BINS) / np.maximum(np.bincount(bins, minlength=BINS), 1)
+    return bins.astype(np.uint8), book
 
 
-def _level(raw: DataFrame, model: Model, n: int, grams: Grams) -> tuple[tuple[int, ...], int]:
+def _level(numbered: DataFrame, model: Model, n: int, grams: Grams) -> tuple[tuple[int, ...], int]:
     """Write level ``n`` below the levels of ``model``: n-grams in each file, and the most successors of a context."""
 
     def shard(keys: np.ndarray) -> np.ndarray:
@@ -383,8 +467,7 @@ def _level(raw: DataFrame, model: Model, n: int, grams: Grams) -> tuple[tuple[in
 
     def count(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels, held, lower, size = _levels(model), [], [], 0
-        for batch in rows:
-            ids, begin, _ = _flat(levels, batch.column(0).to_pylist())
+        for _, ids, begin, _ in _chunks(rows, _kind(model)):
             contexts, successors, value = levels.walk(ids, begin, levels.counts(ids), n - 1)
             seen = np.flatnonzero(contexts >= 0)  # all but the first words of texts, which have no context of this length
             held.append((contexts[seen] * grams.width + successors[seen]).astype(np.uint64))
@@ -410,20 +493,17 @@ def _level(raw: DataFrame, model: Model, n: int, grams: Grams) -> tuple[tuple[in
             # in level two the probability of the word alone, which is not sent along
             alone = levels.unigram(levels.counts((keys % np.uint64(width)).astype(np.int64))) if lower is None else 10.0**lower
             value = np.log10((counts + run[local] * alone) / (total[local] + run[local]))
-            low, high = float(value.min()), float(value.max())
-            bins = np.minimum(((value - low) / max(high - low, 1e-9) * BINS).astype(np.int64), BINS - 1)
-            members = np.bincount(bins, minlength=BINS)
-            book = np.bincount(bins, weights=value, minlength=BINS) / np.maximum(members, 1)
+            bins, book = quantised(value)
             pairs, bits = ef.encode(keys, (stop - first) * width)
             points, point_bits = ef.encode(where, len(keys) + 1)
             ones = np.concatenate(([0], np.cumsum(np.bitwise_count(points["high"]).astype(np.int64))[:-1]))
-            arrays = pairs | {"point_" + k: a for k, a in points.items()} | {"point_ones": ones, "book": book, "bins": bins.astype(np.uint8)}
+            arrays = pairs | {"point_" + k: a for k, a in points.items()} | {"point_ones": ones, "book": book, "bins": bins}
             arrays["totals"] = total.astype(np.min_scalar_type(int(total.max())))
             ef.save(f"{model.path}/grams{n}-{part}", arrays, {"bits": bits, "n": len(keys), "point_bits": point_bits, "contexts": stop - first})
             yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([len(keys)], pa.int64()), pa.array([int(run.max())], pa.int64())], ["shard", "n", "widest"])
 
-    with tidy(raw.sparkSession):
-        built = raw.mapInArrow(count, _BLOBS).repartition(grams.shards, "shard").mapInArrow(write, "shard long, n long, widest long").collect()
+    with tidy(numbered.sparkSession):
+        built = _one_task_each(numbered.mapInArrow(count, _BLOBS), grams.shards).mapInArrow(write, "shard long, n long, widest long").collect()
     sizes = {r["shard"]: r["n"] for r in built}
     return tuple(sizes.get(p, 0) for p in range(grams.shards)), max((r["widest"] for r in built), default=0)
 
@@ -435,25 +515,29 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text"
     read; an empty table gives no rows. A model of no texts gives every text probability 1. No shuffle.
     """
 
+    rows = docs.select(F.col(key).alias("k"), _raw(text).alias("t"))
+    return _scored(_numbered(rows, model), model).withColumnRenamed("k", key)
+
+
+def _scored(numbered: DataFrame, model: Model) -> DataFrame:
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = _levels(model)
-        for batch in rows:
-            ids, begin, sizes = _flat(levels, batch.column(1).to_pylist())
+        for held, ids, begin, sizes in _chunks(rows, _kind(model)):
             counts = levels.counts(ids)
             base = np.log10((counts + 1) / (model.tokens + model.types + 1))
             made = levels.walk(ids, begin, counts, model.order)[2]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(sizes), pa.array(np.add.reduceat((counts > 0).astype(np.int64), begin)),
+                [pa.concat_arrays([b.column("k") for b in held]), pa.array(sizes), pa.array(np.add.reduceat((counts > 0).astype(np.int64), begin)),
                  pa.array(np.full(len(sizes), model.tokens, dtype=np.int64)), pa.array(np.add.reduceat(base, begin)), pa.array(np.add.reduceat(made, begin))],
                 ["k", "n_tokens", "n_known", "train_tokens", "base_score", "score"],
             )
 
-    rows = docs.select(F.col(key).alias("k"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("t"))
-    kind = rows.schema["k"].dataType.simpleString()
-    made = rows.mapInArrow(run, f"k {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
-    return made.withColumnRenamed("k", key)
+    kind = numbered.schema["k"].dataType.simpleString()
+    return numbered.mapInArrow(run, f"k {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
 def train_and_score(docs: DataFrame, learn_from: Column, key: str = "doc_id", text: str = "text", order: int = 2) -> DataFrame:
-    """Train on the rows where ``learn_from`` holds and score all rows."""
-    return score(docs, train(docs.where(learn_from), text, order), key, text)
+    """Train on the rows where ``learn_from`` holds and score all rows. Texts become word ids once, for both."""
+    learn = F.coalesce(learn_from, F.lit(False)).alias("learn")
+    model, numbered = _learn(docs.select(F.col(key).alias("k"), learn, _raw(text).alias("t")), order)
+    return _scored(numbered.select("k", "ids"), model).withColumnRenamed("k", key)

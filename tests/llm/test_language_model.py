@@ -85,16 +85,43 @@ def test_probabilities_of_a_context_sum_to_one(spark, docs):
     text = "a b a c a b d a b c a"
     model = L.train(docs([(1, text)]))
     levels = L.Levels(model)
-    ids = np.append(levels.ids([words_bytes("a b c d x")])[0], model.end)
-    counts = levels.counts(ids)
+    ids = levels.numbers([b"a b c d x"])[0]
+    alone = np.log10(levels.unigram(levels.counts(ids)))
     for context in ids[:-1]:  # nothing follows the end
         n = len(ids)
-        total = 10 ** levels.log10(np.full(n, context), ids, np.full(n, levels.counts(np.array([context]))[0]), counts)
+        total = 10 ** levels.follow(2, np.full(n, context if context < model.unknown else -1), ids, alone)[0]
         assert abs(total.sum() - 1) < 0.02
 
 
-def words_bytes(text):
-    return text.encode().split()
+def test_quantised_values():
+    few, many = np.log10(np.arange(1, 200) / 200), np.random.default_rng(0).normal(size=5000)
+    bins, book = L.quantised(np.tile(few, 3))
+    assert (book[bins] == np.tile(few, 3)).all()
+    bins, book = L.quantised(many)
+    assert len(book) == L.BINS and np.abs(book[bins] - many).max() <= np.ptp(many) / L.BINS
+
+
+def test_words_are_told_apart():
+    texts = [None, b"", b" \t\x0b\x0c\r\n", b"a", b" a  b\x00c ", "É é \x85x\u3000y".encode(), b"A b aB" + b"z" * 300 + b" " + b"z" * 301, b"x" * 100_000]
+    texts += [b"a" * n for n in range(1, 40)] + [b"a" * n + b"\x00" for n in range(1, 40)] + [b"abcdefgh" * n + b"A" for n in range(1, 40)]
+    hashes, sizes = L.word_hashes(texts)
+    plain = [(t or b"").lower().split() for t in texts]
+    assert sizes.tolist() == [len(w) for w in plain]
+    flat = [w for ws in plain for w in ws]
+    assert len(hashes) == len(flat)
+    assert len(set(zip(flat, hashes.tolist()))) == len(set(flat)) == len(set(hashes.tolist()))
+    alone = [h for t in texts for h in L.word_hashes([t])[0].tolist()]
+    assert hashes.tolist() == alone
+    assert [len(x) for x in L.word_hashes([])] == [0, 0]
+
+
+def test_ids_over_many_chunks(spark, docs, monkeypatch):
+    rows = [(i, f"the cat {i % 7} sat on the mat {i % 3}" if i % 5 else None) for i in range(300)]
+    want = sorted((r.doc_id, r.n_tokens, round(r.score, 9)) for r in L.train_and_score(docs(rows), F.lit(True), order=3).collect())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")
+    monkeypatch.setattr(L, "CHUNK", 20)  # tasks get the module by reference in this process, a smaller batch in any case
+    got = sorted((r.doc_id, r.n_tokens, round(r.score, 9)) for r in L.train_and_score(docs(rows), F.lit(True), order=3).collect())
+    assert got == want
 
 
 def brute_order(rows, train, order):
