@@ -2,11 +2,13 @@
 
 All distinct pre-tokens of a batch are held as one flat array of symbols with row bounds. In each round every row finds
 its lowest-rank adjacent pair and merges all its occurrences, all rows at once, until no row has a known pair. What
-survives is counted; no ids are needed.
+survives is counted; no ids are needed. Long rows have many rounds: there the places of each waiting rank are kept, and a
+round touches only the places of its rank and their neighbours.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
 
 import numpy as np
@@ -18,6 +20,16 @@ from tallyhouse.llm import tokens
 from tallyhouse.llm.base import batches
 
 
+#: Bytes of a pre-token from which on the places of each rank are kept.
+LONG = 512
+
+
+def _every_other(follows: np.ndarray) -> np.ndarray:
+    """Every other place of each run from its first on; ``follows`` says that a place goes on the run of the one before it."""
+    place = np.arange(len(follows))
+    return (place - np.maximum.accumulate(np.where(follows, 0, place))) % 2 == 0
+
+
 class Merger:
     """Merge table of a BPE file as sorted pair keys, with the symbols that start a pre-token."""
 
@@ -36,12 +48,69 @@ class Merger:
 
     def counts(self, words: list[bytes]) -> np.ndarray:
         """Symbols that survive in each of the words (non-empty bytes)."""
+        out = np.zeros(len(words), dtype=np.int64)
+        lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+        for rows, count in ((np.flatnonzero(lengths < LONG), self._short), (np.flatnonzero(lengths >= LONG), self._long)):
+            if len(rows) == len(words):
+                return count(words)
+            if len(rows):
+                out[rows] = count([words[i] for i in rows])
+        return out
+
+    def _symbols(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Starting symbols of words, one after the other; the row of each; the words' lengths."""
         lengths = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
         flat = np.frombuffer(b"".join(words), dtype=np.uint8)
         symbols = self.inner[flat]
         ends = np.cumsum(lengths)
         symbols[ends - 1] = self.last[flat[ends - 1]]
-        row = np.repeat(np.arange(len(words)), lengths)
+        return symbols, np.repeat(np.arange(len(words)), lengths), lengths
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair of symbols, the number of ranks for a pair that does not merge."""
+        pair = left << 32 | right
+        at = np.minimum(np.searchsorted(self.keys, pair), len(self.keys) - 1)
+        return np.where(self.keys[at] == pair, self.ranks[at], len(self.keys))
+
+    def _long(self, words: list[bytes]) -> np.ndarray:
+        symbols, row, _ = self._symbols(words)
+        n, none = len(symbols), len(self.keys)
+        # neighbours by place; place n stands for none, and its symbol pairs with nothing
+        symbols = np.append(symbols, -1)
+        after = np.append(np.where(row[1:] == row[:-1], np.arange(1, n), n), [n, n])
+        before = np.concatenate(([n], np.where(row[1:] == row[:-1], np.arange(n - 1), n), [n]))
+        waiting: dict[int, list[np.ndarray]] = {}
+        ranks: list[int] = []
+
+        def add(places: np.ndarray) -> None:
+            rank = self._ranks(symbols[places], symbols[after[places]])
+            places, rank = places[rank < none], rank[rank < none]
+            order = np.argsort(rank, kind="stable")
+            places, rank = places[order], rank[order]
+            first = np.flatnonzero(np.concatenate(([True], rank[1:] != rank[:-1]))) if len(rank) else []
+            for a, b in zip(first, [*first[1:], len(rank)]):
+                r = int(rank[a])
+                if r not in waiting:
+                    waiting[r] = []
+                    heapq.heappush(ranks, r)
+                waiting[r].append(places[a:b])
+
+        add(np.arange(n))
+        while ranks:
+            r = heapq.heappop(ranks)
+            places = np.unique(np.concatenate(waiting.pop(r)))
+            places = places[self._ranks(symbols[places], symbols[after[places]]) == r]  # other merges may have come first
+            places = places[_every_other(np.concatenate(([False], after[places[:-1]] == places[1:])))] if len(places) else places
+            gone = after[places]
+            symbols[places], symbols[gone] = self.made[r], -1
+            after[places] = after[gone]
+            before[after[places]] = places
+            before[n] = n
+            add(np.unique(np.concatenate((places, before[places]))))
+        return np.bincount(row[symbols[:n] >= 0], minlength=len(words))
+
+    def _short(self, words: list[bytes]) -> np.ndarray:
+        symbols, row, lengths = self._symbols(words)
         final = lengths.copy()
         none = len(self.keys)
         while len(symbols) > 1:

@@ -1,4 +1,5 @@
 import random
+import time
 import zlib
 
 import numpy as np
@@ -18,6 +19,21 @@ def test_ids_and_counts_equal_the_library(file):
         assert token_counts.counter(path)(MIXED) == [len(x) for x in want]
 
 
+def test_long_words_take_seconds_and_equal_the_library():
+    path = tokens.vocabulary_file("word_bpe_49k.json")
+    tool, count = tokens._library(path), token_counts.Merger(path)
+    rng = random.Random(3)
+    plain = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n)) for n in (1, 2, 511, 512, 513, 700, 20_000)]
+    plain += ["a" * n for n in (511, 512, 513, 4001)] + ["the" * 500, "aab" * 700 + "a", "".join(rng.choices(["ing", "the", "er", "aa"], k=3000))]
+    want = [len(tool.encode(w, add_special_tokens=False).ids) for w in plain]
+    assert count.counts([w.encode() for w in plain]).tolist() == want
+    assert count._long([w.encode() for w in plain]).tolist() == want  # at any length
+    huge = "".join(rng.choices("etaoinshrdlu", k=1_000_000))
+    start = time.perf_counter()
+    assert token_counts.counter(path)([huge]) == [len(tool.encode(huge, add_special_tokens=False).ids)]
+    assert time.perf_counter() - start < 60
+
+
 def test_kept_pieces_stay_bounded():
     made = tokens.Pieces(lambda c: [len(x) for x in c], sum, len, False, limit=100)
     texts = [f"{i}a {i}b {i}" for i in range(1000)]
