@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tallyhouse.operators.ranking import ranked
 
+#: Site lists up to this length are sent to every executor.
+MANY_SITES = 100_000
+
 
 def calendar_spine(df: DataFrame, day: str, measures: Mapping[str, Column]) -> DataFrame:
     """One row per calendar day between the first and last ``day``; days without rows get 0."""
@@ -26,7 +29,8 @@ def product_site_day_grid(
     """Every product at every site on every day of the facts' date range, measures 0 where no fact exists.
 
     The grid grows out of the product rows (one explode per axis) and meets the sites on a dense number,
-    so no cross join is planned.
+    so no cross join is planned. A plan's size check does not see what an explode multiplies and would send the exploded products, or a
+    fact table that grew out of an explode, to every executor: here it is the counted sites that are sent, and facts meet the grid by sorting both.
     """
     numbered = ranked(sites.select(site), "_site_no", site, site, ascending=True)
     first, last, n_sites = (
@@ -38,11 +42,11 @@ def product_site_day_grid(
     grid = (
         products.select(product)
         .withColumn("_site_no", F.explode(F.sequence(F.lit(1), F.lit(n_sites))))
-        .join(numbered, "_site_no")
+        .join(numbered.hint("broadcast" if n_sites <= MANY_SITES else "merge"), "_site_no")
         .withColumn(day, F.explode(F.sequence(F.lit(first), F.lit(last), F.expr("interval 1 day"))))
         .select(product, site, day)
     )
-    return grid.join(facts.select(product, site, day, *measures), [product, site, day], "left").na.fill(0, list(measures))
+    return grid.join(facts.select(product, site, day, *measures).hint("merge"), [product, site, day], "left").na.fill(0, list(measures))
 
 
 def expand_rows(df: DataFrame, times: str, seq: str = "item_seq") -> DataFrame:
