@@ -21,7 +21,7 @@ from tallyhouse.functions.columns import (
     ratio,
     sum_where,
 )
-from tallyhouse.operators.distinct import KEYS, key_bitmaps, unite
+from tallyhouse.operators.distinct import KEYS, key_bitmaps, key_words, keys_in, unite
 from tallyhouse.operators.ranking import ranked
 
 SALES_KEY = ["transaction_date", "channel", "store_id"]
@@ -230,8 +230,8 @@ def store_metrics(transactions: DataFrame) -> DataFrame:
 
 
 def daily_customer_bitmaps(transactions: DataFrame) -> DataFrame:
-    """Purchases and a bitmap of their customers per day, channel and block of customer keys."""
-    return key_bitmaps(
+    """Purchases and a bitmap of their customers per day, channel and block of 64 customer keys."""
+    return key_words(
         transactions.where(PURCHASE), ["transaction_date", "channel"], "customer_id",
         [F.count(F.lit(1)).alias("transaction_count"), F.sum("transaction_amount").cast(MONEY).alias("revenue")],
     )
@@ -245,7 +245,7 @@ def unique_customers(daily: DataFrame, unit: str = "week", groups: Sequence[str]
     sums = [F.sum("transaction_count").alias("transaction_count"), F.sum("revenue").alias("revenue")]
     coarse = unite(daily.withColumn("period_start", F.trunc("transaction_date", unit)), ["period_start", *groups], sums)
     return coarse.groupBy("period_start", *groups).agg(
-        F.sum(F.bitmap_count("bitmap")).alias("unique_customers"), F.sum("transaction_count").alias("transaction_count"),
+        F.sum(keys_in(coarse)).alias("unique_customers"), F.sum("transaction_count").alias("transaction_count"),
         F.sum("revenue").cast(MONEY).alias("revenue"),
     )
 

@@ -53,3 +53,18 @@ def test_a_customer_counts_once_a_week(spark):
     daily = gold.daily_customer_bitmaps(t)
     assert rows(gold.unique_customers(daily), "unique_customers", "transaction_count") == [(3, 22)]
     assert sum(r.unique_customers for r in gold.unique_customers(daily, "month", []).collect()) == 6
+
+
+def test_sparse_days_are_not_sorted_in_wide_bitmaps(spark, folder):
+    lake = Lake(feed.Bronze(spark, folder), feed.AS_OF)
+    for unit, groups in (("week", ["channel"]), ("month", [])):
+        assert "SortAggregate" not in plan(gold.unique_customers(gold.daily_customer_bitmaps(lake.transactions), unit, groups))
+
+
+def test_words_count_odd_keys_and_roll_up(spark):
+    keys = [None, 0, 63, 64, -1, -64, -65, 2**63 - 1, -(2**63), 10**12, 5]
+    df = spark.createDataFrame([(g, h, k) for g in ("a", "b", None) for h in (0, 1) for k in keys * 2 if not (g == "b" and k == 5)] + [("c", 0, None)], "g string, h int, k bigint")
+    fine = D.key_words(df, ["g", "h"], "k", [F.count(F.lit(1)).alias("n")])
+    assert rows(D.count_keys(D.unite(fine, ["g"]), ["g"])) == rows(df.groupBy("g").agg(F.countDistinct("k")))
+    assert rows(D.unite(fine, [], [F.sum("n").alias("n")]).agg(F.sum("n"), F.sum(F.bit_count("bitmap").cast("bigint")))) == rows(df.agg(F.count(F.lit(1)), F.countDistinct("k")))
+    assert fine.count() == fine.where("bucket IS NULL OR bitmap <> 0").count()
