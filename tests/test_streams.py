@@ -151,13 +151,10 @@ def test_json_orders_follow_the_declared_schema(spark, tmp_path):
         ("o1", 1, 2, 1.5, "Springfield", "01234"), ("o1", 2, None, None, "Springfield", "01234"), ("o2", None, None, None, None, None)]
 
 
-def test_orders_land_compressed(spark, folder, tmp_path):
-    from checks.registry import REGISTRY
-
-    spark.conf.set("spark.checkpoint.dir", str(tmp_path))
-    try:
-        REGISTRY["orders_json_flatten"](spark, folder)
-    finally:
-        spark.conf.unset("spark.checkpoint.dir")
-    landed = [f.name for f in tmp_path.glob("landing-*/part-*")]
+def test_orders_land_compressed(spark, folder, tmp_path, monkeypatch):
+    from checks import registry
+
+    monkeypatch.setattr(registry, "workspace", lambda spark, label: str(tmp_path / label))
+    registry.REGISTRY["orders_json_flatten"](spark, folder)
+    landed = [f.name for f in tmp_path.glob("landing/part-*")]
     assert landed and all(n.endswith(".json.gz") for n in landed)
