@@ -82,3 +82,16 @@ def test_hot_folder_is_written_by_many_tasks(spark, tmp_path):
              spark.read.parquet(path).select("year_month", F.input_file_name().alias("f")).groupBy("year_month").agg(F.countDistinct("f")).collect()}
     assert files["2001-08"] > 4
     assert spark.read.parquet(path).count() == 200_000
+
+
+def test_pairs_are_dealt_out_by_their_number(spark, monkeypatch):
+    from tallyhouse.operators import baskets as B
+
+    df = spark.range(400).selectExpr("id div 20 AS basket", "id % 20 AS item")
+    monkeypatch.setattr(B, "TASK_ROWS", 100, raising=False)
+    found = B.pair_support(df, 20)
+    text = found._jdf.queryExecution().executedPlan().toString()
+    pairs = 20 * 20 * 19 // 2
+    assert f", {pairs // 100}), REPARTITION_BY_NUM" in text
+    assert found.count() == 190 and found.agg({"support": "sum"}).first()[0] == pairs
+    assert B.pair_support(df.limit(0), 1).count() == 0
