@@ -27,6 +27,9 @@ from tallyhouse.operators.ranking import ranked
 SALES_KEY = ["transaction_date", "channel", "store_id"]
 PURCHASE = "transaction_type = 'purchase'"
 RETURN = "transaction_type = 'return'"
+SALES_SUMS = ("lines", "units", "revenue", "price_sum", "price_count", "discount_sum", "discount_count")
+#: Slots of customers over which the sales of one product are dealt out.
+SLOTS = 4
 
 
 def _sales_measures(when=lambda c: c):
@@ -68,7 +71,8 @@ def daily_sales_summary(transactions: DataFrame) -> DataFrame:
     both = (
         transactions.where(purchase | returned).groupBy(*SALES_KEY)
         .agg(
-            *_sales_measures(lambda c: F.when(purchase, c)),
+            F.count_if(purchase).alias("transaction_count"),  # as amounts are never NULL; who only counts rows then needs no amounts
+            *_sales_measures(lambda c: F.when(purchase, c))[1:],
             F.count_if(returned).alias("return_count"),
             sum_where(returned, F.col("transaction_amount")).cast(MONEY).alias("return_amount"),
         )
@@ -147,34 +151,88 @@ def customer_360(customers: DataFrame, transactions: DataFrame) -> DataFrame:
     })
 
 
+def product_sales(sales: DataFrame) -> DataFrame:
+    """Sums per product, apart for lines with and without a transaction, from one exchange of the sales fact.
+
+    The products of a task would hardly repeat before an exchange, and sums are wider than the rows they are made of. So rows are dealt
+    out by product and by a slot of the customer, unsummed; a customer is in one slot, so the distinct customers of a product are
+    the sum over its slots. What is exchanged after that are few rows per product, however many tasks there are.
+    """
+    tasks = int(sales.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slot = F.pmod(F.xxhash64("customer_id"), F.lit(SLOTS)).cast("int")
+    kind = F.when(F.col("channel") == "online", 1).when(F.col("channel") == "in_store", 2).when(F.col("channel") == "mobile_app", 3)
+    dealt = sales.select(
+        "product_id", slot.alias("_slot"), "has_transaction", "customer_id", F.col("transaction_id").isNotNull().alias("has_id"), kind.alias("channel"),
+        "transaction_date", *SALES_SUMS,
+    ).repartition(tasks, "product_id", "_slot")
+    channel, revenue = F.col("channel"), F.col("revenue")
+    by_slot = dealt.groupBy("product_id", "_slot", "has_transaction").agg(
+        *[F.sum(c).alias(c) for c in SALES_SUMS],
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if("has_id").alias("orders"),
+        F.countDistinct("customer_id").alias("customers"),
+        sum_where(channel == 1, revenue).alias("online"),
+        sum_where(channel == 2, revenue).alias("instore"),
+        sum_where(channel == 3, revenue).alias("mobile"),
+        F.min("transaction_date").alias("first_date"),
+        F.max("transaction_date").alias("last_date"),
+    )
+    return by_slot.groupBy("product_id", "has_transaction").agg(
+        *[F.sum(c).alias(c) for c in (*SALES_SUMS, "rows", "orders", "customers", "online", "instore", "mobile")],
+        F.min("first_date").alias("first_date"),
+        F.max("last_date").alias("last_date"),
+    )
+
+
+def metrics_of(figures: DataFrame) -> DataFrame:
+    """:func:`silver.product_metrics` from :func:`product_sales`."""
+    return figures.groupBy("product_id").agg(
+        F.sum("lines").alias("times_sold"),
+        F.sum("units").alias("units_sold"),
+        F.sum("revenue").cast(MONEY).alias("total_revenue"),
+        F.try_divide(F.sum("price_sum").cast("double"), F.sum("price_count")).alias("avg_selling_price"),
+        F.try_divide(F.sum("discount_sum").cast("double"), F.sum("discount_count")).alias("avg_discount_given"),
+        F.sum("orders").alias("unique_transactions"),
+    )
+
+
+def performance_of(figures: DataFrame) -> DataFrame:
+    """:func:`product_performance_agg` from :func:`product_sales`."""
+    return figures.where("has_transaction").select(
+        "product_id",
+        F.col("units").alias("total_units_sold"),
+        F.col("revenue").cast(MONEY).alias("total_revenue"),
+        F.try_divide(F.col("price_sum").cast("double"), F.col("price_count")).alias("avg_selling_price"),
+        F.try_divide(F.col("discount_sum").cast("double"), F.col("discount_count")).alias("avg_discount"),
+        F.col("lines").alias("times_purchased"),
+        F.col("rows").alias("unique_transactions"),
+        F.col("customers").alias("unique_customers"),
+        F.col("online").cast(MONEY).alias("online_revenue"),
+        F.col("instore").cast(MONEY).alias("instore_revenue"),
+        F.col("mobile").cast(MONEY).alias("mobile_revenue"),
+        F.col("first_date").alias("first_sale_date"),
+        F.col("last_date").alias("last_sale_date"),
+    )
+
+
 def product_performance_agg(sales: DataFrame) -> DataFrame:
     """Sales per product with buyers, channel split and sale dates, from the sales fact.
 
     The fact has one row per transaction and product: distinct transactions are a plain count, and one distinct
     aggregate remains (two would make Spark multiply the rows).
     """
-    sold = sales.where("has_transaction")
-    channel, revenue = F.col("channel"), F.col("revenue")
-    return sold.groupBy("product_id").agg(
-        F.sum("units").alias("total_units_sold"),
-        F.sum(revenue).cast(MONEY).alias("total_revenue"),
-        F.try_divide(F.sum("price_sum").cast("double"), F.sum("price_count")).alias("avg_selling_price"),
-        F.try_divide(F.sum("discount_sum").cast("double"), F.sum("discount_count")).alias("avg_discount"),
-        F.sum("lines").alias("times_purchased"),
-        F.count(F.lit(1)).alias("unique_transactions"),
-        F.countDistinct("customer_id").alias("unique_customers"),
-        sum_where(channel == "online", revenue).cast(MONEY).alias("online_revenue"),
-        sum_where(channel == "in_store", revenue).cast(MONEY).alias("instore_revenue"),
-        sum_where(channel == "mobile_app", revenue).cast(MONEY).alias("mobile_revenue"),
-        F.min("transaction_date").alias("first_sale_date"),
-        F.max("transaction_date").alias("last_sale_date"),
-    )
+    return performance_of(product_sales(sales.where("has_transaction")))
 
 
 def product_performance(products: DataFrame, sales: DataFrame, as_of: dt.date) -> DataFrame:
     """Products with their sales, velocity, ranks within the category and performance class."""
+    return product_performance_with(products, product_performance_agg(sales), as_of)
+
+
+def product_performance_with(products: DataFrame, sold: DataFrame, as_of: dt.date) -> DataFrame:
+    """As :func:`product_performance`, from figures per product as :func:`product_performance_agg` gives them."""
     catalogue = products.drop("total_revenue", "avg_selling_price", "avg_discount_given", "unique_transactions")
-    joined = catalogue.join(product_performance_agg(sales), "product_id", "left").na.fill(
+    joined = catalogue.join(sold, "product_id", "left").na.fill(
         0, ["total_units_sold", "total_revenue", "unique_customers"]
     )
     measured = joined.withColumns({

@@ -78,6 +78,7 @@ class Lake:
     def __init__(self, bronze: Mapping[str, DataFrame], as_of: dt.date):
         self.bronze = bronze
         self.as_of = as_of
+        self.stored: set[str] = set()  # tables that are read from a folder
 
     @cached_property
     def customers(self) -> DataFrame:
@@ -105,7 +106,15 @@ class Lake:
 
     @cached_property
     def product_performance(self) -> DataFrame:
-        return gold.product_performance(self.products, self.sales_lines, self.as_of)
+        """From the stored products where there are any; else products and performance share one pass over the sales fact, whose figures per product are staged."""
+        if "products" in self.stored:
+            return gold.product_performance(self.products, self.sales_lines, self.as_of)
+        figures = gold.product_sales(self.sales_lines)
+        staged = workspace(figures.sparkSession, "product-sales")
+        figures.write.parquet(staged)
+        figures = figures.sparkSession.read.schema(figures.schema).parquet(staged)
+        products = silver.products_with(self.bronze["products"], gold.metrics_of(figures))
+        return gold.product_performance_with(products, gold.performance_of(figures), self.as_of)
 
     @cached_property
     def store_analytics(self) -> DataFrame:
@@ -134,6 +143,7 @@ class Lake:
             layer, table = name.split(".")
             if layer != "bronze":
                 out.__dict__[table] = store(getattr(out, table).withColumn("processed_at", F.current_timestamp()), root, name).drop("processed_at")
+                out.stored.add(table)
         return out
 
     @classmethod
@@ -145,6 +155,7 @@ class Lake:
             if layer != "bronze":
                 scan = T.load_bucketed(spark, f"{root}/{layer}/{table}", BUCKETS[name], LAYOUT[name][0]) if name in BUCKETS else T.load(spark, root, layer, table)
                 out.__dict__[table] = scan.drop("processed_at")
+                out.stored.add(table)
         return out
 
     def refresh_summaries(self, root: str) -> None:

@@ -123,8 +123,13 @@ def product_metrics(sales: DataFrame) -> DataFrame:
 
 def products(bronze: DataFrame, sales: DataFrame) -> DataFrame:
     """Catalogue with sales figures, margin and the revenue and price tiers."""
+    return products_with(bronze, product_metrics(sales))
+
+
+def products_with(bronze: DataFrame, metrics: DataFrame) -> DataFrame:
+    """As :func:`products`, from figures per product as :func:`product_metrics` gives them."""
     revenue, orders = F.col("total_revenue"), F.col("unique_transactions")
-    joined = bronze.join(product_metrics(sales), "product_id", "left").na.fill(
+    joined = bronze.join(metrics, "product_id", "left").na.fill(
         0, ["times_sold", "units_sold", "total_revenue", "unique_transactions"]
     )
     return joined.withColumns({

@@ -21,6 +21,8 @@ MOST_SITES = 10_000
 EVENTS_AS_OF = dt.datetime(2024, 1, 31)
 #: Added to a key so that it matches no row: every raw row stays, as a sale to a stranger, an orphan line and so on.
 STRANGER = 10**12
+#: Lines that a task takes at most, in the mean.
+TASK_LINES = 500_000
 SNAPSHOT_DAYS = ("2001-07-30", "2001-07-31", "2001-08-01")
 
 
@@ -59,14 +61,24 @@ def transactions(spark: SparkSession, root: str) -> DataFrame:
 
 
 def line_items(spark: SparkSession, root: str) -> DataFrame:
+    """Lines with the day of their order.
+
+    Days are looked up last and by ``transaction_id`` (and the raw key, which no other order shares), so rows come dealt out by
+    transaction and what is grouped or joined by it needs no further exchange. Tasks follow the number of rows, which the files tell, as
+    sums and joins of one transaction then share a task.
+    """
+    lines = raw(spark, root, "lineitem")
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), lines.count() // TASK_LINES + 1)
     part = raw(spark, root, "part").select("p_partkey", F.col("p_retailprice").cast("decimal(10,2)").alias("unit_price"))
-    dates = raw(spark, root, "orders").select(F.col("o_orderkey").alias("l_orderkey"), F.col("o_orderdate").cast("date").alias("transaction_date"))
-    items = raw(spark, root, "lineitem").join(dates, "l_orderkey", "left")
+    day, known = F.col("o_orderdate").cast("date"), F.col("o_orderkey")
+    dates = raw(spark, root, "orders").select("o_orderkey", _stranger(known, known % 23 == 0).alias("_sold_in"), day.alias("transaction_date"))
     order, product = F.col("l_orderkey"), F.col("l_partkey")
     price = F.col("l_extendedprice").cast("decimal(12,2)")
-    return items.join(part, F.col("l_partkey") == F.col("p_partkey")).select(
+    items = lines.join(part, product == F.col("p_partkey")).withColumn("transaction_id", _stranger(order, order % 23 == 0)).repartition(tasks, "transaction_id")
+    same = (F.col("transaction_id") == F.col("_sold_in")) & (order >= known) & (order <= known)
+    return items.join(dates, same, "left").select(
         (order * 100 + F.col("l_linenumber")).alias("line_item_id"),
-        _stranger(order, order % 23 == 0).alias("transaction_id"),
+        "transaction_id",
         _stranger(product, product % 17 == 0).alias("product_id"),
         F.col("l_linenumber").alias("item_seq"),
         F.col("l_quantity").cast("int").alias("quantity"),

@@ -93,3 +93,38 @@ def test_fact_keeps_null_keys_orphans_and_repeated_lines(spark):
     assert metrics[7].avg_selling_price == 4 / 3 and metrics[7].avg_discount_given is None
     sold = {r.product_id: r for r in gold.product_performance_agg(fact).collect()}
     assert (sold[7].unique_transactions, sold[7].unique_customers, sold[7].times_purchased) == (1, 0, 2)
+
+
+def test_figures_per_product_come_from_one_pass_and_few_rows(spark, folder, no_broadcast):
+    fresh = Lake(feed.Bronze(spark, folder), feed.AS_OF)
+    text = plan(fresh.sales_lines)
+    # lines meet their orders, are summed and meet their transactions in one deal by transaction; parts, orders and transactions are the other exchanges
+    assert text.count("Exchange") == 5
+    figures = gold.product_sales(fresh.sales_lines)
+    assert rows(gold.metrics_of(figures)) == rows(silver.product_metrics(fresh.sales_lines))
+    assert len(re.findall(r"Exchange hashpartitioning\(product_id", plan(gold.product_performance_agg(fresh.sales_lines)))) == 2
+    # the day a line was sold is looked up as before
+    items = feed.line_items(spark, folder)
+    orders = feed.raw(spark, folder, "orders").selectExpr("o_orderkey AS k", "CAST(o_orderdate AS date) AS day")
+    key = F.floor(F.col("line_item_id") / 100)
+    assert items.count() == feed.raw(spark, folder, "lineitem").count()
+    assert items.join(orders, key == F.col("k"), "left").where(~F.col("day").eqNullSafe(F.col("transaction_date"))).isEmpty()
+
+
+def test_counting_days_of_sales_reads_no_amounts(spark, folder, no_broadcast):
+    counted = Lake(feed.Bronze(spark, folder), feed.AS_OF).daily_sales_summary.groupBy().count()
+    assert "lineitem" not in plan(counted)
+
+
+def test_products_with_and_without_transactions_are_apart(spark):
+    fact = spark.createDataFrame(
+        [(1, 7, True, 5, "online"), (2, 7, True, 5, "in_store"), (3, 7, True, None, None), (4, 7, False, None, None), (5, 8, False, None, None), (None, 8, False, None, None), (6, None, True, 9, "mobile_app")],
+        "transaction_id bigint, product_id bigint, has_transaction boolean, customer_id bigint, channel string",
+    ).selectExpr("*", "DATE'2001-07-30' AS transaction_date", "2L AS lines", "3L AS units", "CAST(10 AS decimal(22,2)) AS revenue", "CAST(4 AS decimal(20,2)) AS price_sum", "2L AS price_count",
+                 "CAST(NULL AS decimal(15,2)) AS discount_sum", "0L AS discount_count")
+    figures = gold.product_sales(fact)
+    assert rows(gold.metrics_of(figures)) == rows(silver.product_metrics(fact))
+    sold = {r.product_id: r for r in gold.performance_of(figures).collect()}
+    assert set(sold) == {7, None}
+    assert (sold[7].unique_customers, sold[7].unique_transactions, sold[7].times_purchased, sold[7].total_units_sold) == (1, 3, 6, 9)
+    assert (sold[7].total_revenue, sold[7].online_revenue, sold[7].instore_revenue, sold[7].mobile_revenue, sold[7].avg_discount) == (30, 10, 10, 0, None)
