@@ -88,6 +88,21 @@ def batches(
     return run
 
 
+_HELD: dict[str, Callable[[], None]] = {}
+
+
+def hold(owner: str, release: Callable[[], None]) -> None:
+    """Say that an operator keeps values in this worker process; what other operators keep is released first.
+
+    Worker processes outlive stages: without this the caches of all operators that ever ran in one would add up.
+    """
+    if len(_HELD) == 1 and owner in _HELD:
+        return
+    for other in [o for o in _HELD if o != owner]:
+        _HELD.pop(other)()
+    _HELD[owner] = release
+
+
 class WordHashes(dict):
     """64-bit hash of each word (bytes), kept up to ``limit`` words and then begun anew."""
 

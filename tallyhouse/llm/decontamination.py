@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.base import WordHashes, batches, mix, stage, windows
+from tallyhouse.llm.base import WordHashes, batches, hold, mix, stage, windows
 
 SHINGLE = 5
 WORDS = 3
@@ -34,6 +34,7 @@ _words = WordHashes()
 
 
 def word_hashes(text: bytes | None) -> np.ndarray:
+    hold("decontamination", _words.clear)
     return _words.of((text or b"").lower().split())
 
 

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.base import WordHashes, discard, hash_sample, mix, stage, windows
+from tallyhouse.llm.base import WordHashes, discard, hash_sample, hold, mix, stage, windows
 from tallyhouse.llm.components import components
 
 #: Documents (hash sample over the whole table) that tell frequent shingles, and the share of them that makes one frequent.
@@ -71,6 +71,7 @@ _words = WordHashes()
 
 def shingle_set(text: bytes | None, size: int = 5) -> np.ndarray:
     """Sorted distinct hashes of the text's word shingles."""
+    hold("jaccard", _words.clear)
     found = (text or b"").lower().split()
     return np.unique(windows(_words.of(found), size)) if found else np.zeros(0, np.uint64)
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyhouse.llm import tokens
-from tallyhouse.llm.base import batches
+from tallyhouse.llm.base import batches, hold
 
 
 #: Bytes of a pre-token from which on the places of each rank are kept.
@@ -149,6 +149,7 @@ def counter(path: str) -> tokens.Pieces:
 
     The library cuts and normalises short pieces (its pre-tokenizer), the merges are done here.
     """
+    hold("counter", _COUNTERS.clear)
     if path not in _COUNTERS:
         tool, merger = tokens._library(path), Merger(path)
         back = {c: b for b, c in tokens.byte_letters().items()}

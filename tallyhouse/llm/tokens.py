@@ -15,6 +15,8 @@ from array import array
 from collections.abc import Callable, Iterable
 from itertools import islice
 
+from tallyhouse.llm.base import hold
+
 
 if sys.byteorder != "little":
     raise ImportError("token ids are kept as little-endian arrays of the machine")
@@ -137,6 +139,7 @@ def encoder(path: str) -> Pieces:
 
     Serves files whose ids are below 65,536. One encoder per worker process and file.
     """
+    hold("encoder", _ENCODERS.clear)
     if path not in _ENCODERS:
         tool = _library(path)
         if tool.get_vocab_size() > 65_536:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.base import batches, hash_sample, mix, stage
+from tallyhouse.llm.base import batches, hash_sample, hold, mix, stage
 from tallyhouse.llm.jaccard import shingle_set
 from tallyhouse.llm.tokens import trim
 
@@ -319,6 +319,7 @@ _SCORERS: list[tuple[Model, Scorer]] = []
 
 def _scorer(model: Model) -> Scorer:
     """The scorer of a model in this worker process."""
+    hold("toxicity", _SCORERS.clear)
     if not _SCORERS or _SCORERS[0][0] is not model and (_SCORERS[0][0].lexicon != model.lexicon or _SCORERS[0][0].trust != model.trust or _SCORERS[0][0].around != model.around or not np.array_equal(_SCORERS[0][0].weights, model.weights)):
         _SCORERS[:] = [(model, Scorer(model))]
     elif _SCORERS[0][0] is not model:

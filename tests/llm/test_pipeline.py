@@ -58,3 +58,20 @@ def test_empty_and_hostile_rows(spark, docs):
         for _, function in C.STAGES:
             now = stage(function(spark, now, "/root/testdata/sf0.001"), "t")
         assert sorted({str(r.doc_id) for r in now.collect()}) == (["4", "None"] if some else [])
+
+
+def test_a_worker_keeps_the_caches_of_one_operator_only():
+    from tallyhouse.llm import decontamination, jaccard, token_counts, tokens, toxicity
+
+    path = tokens.vocabulary_file("word_bpe_49k.json")
+    tokens.encoder(path)(["some words"])
+    scorer = toxicity._scorer(toxicity.Model({"badword": False}))
+    scorer.score("a text of words")
+    assert toxicity._scorer(scorer.model) is scorer and scorer.seen and not tokens._ENCODERS
+    jaccard.shingle_set(b"one two three four five six")
+    assert jaccard._words and not toxicity._SCORERS
+    decontamination.word_hashes(b"one two three")
+    assert decontamination._words and not jaccard._words
+    token_counts.counter(path)(["some words"])
+    assert token_counts._COUNTERS and not decontamination._words
+    assert len(tokens.encoder(path)(["some words"])) == 1 and not token_counts._COUNTERS
