@@ -7,8 +7,9 @@ most ``inner`` of the differences. Each is cut again into ``parts``, of which at
 the second level (one part, no difference).
 
 An equal subset that is empty says nothing, and one on a passage that many documents share says little. So
-the domain first leaves out shingles that are frequent in a bounded sample of documents (any sub-domain keeps the bound ``k``,
-so the sample decides cost, never results). Counting parts that can differ, two similar sets share at least ``n * (inner + 1) - k`` subsets, of which a set loses at most
+the domain first leaves out shingles that are frequent in a sample of documents (any sub-domain keeps the bound ``k``,
+so the sample decides cost, never results). Frequent means a number of documents, not a share of them: a share would let the groups
+of the rest grow with the table, and their pairs with its square. Counting parts that can differ, two similar sets share at least ``n * (inner + 1) - k`` subsets, of which a set loses at most
 ``inner + 1 - filled`` in a partition of which it fills so few parts. A set that still has one left shares a non-empty signature
 with every similar set. Only the others go on to the next scheme, with more partitions or the whole domain, and sets that fail every
 scheme meet in one signature for their band. A pair is missed by a scheme only if both of its sets go on,
@@ -17,12 +18,16 @@ so no pair is missed.
 The same count tells how many non-empty signatures two similar sets share at least; each set leaves out as many of its
 most common signatures, less one, as it must share.
 
+Signatures that the same sets share say the same, so a group is named by its members and each set joins it once.
+
 Sets that share a signature are not paired with each other. Each set is verified against one other, of the smallest sets of
-its groups the one it shares most signatures with; verified links are joined to components; only then are pairs verified that
-share a signature and lie in different components. The components are those of all links.
+its groups the one it shares most groups with; verified links are joined to components; only then are pairs verified that
+share a signature and lie in different components. Groups with one smallest component are paired side by side, so that a pair of many
+signatures is made about once. The components are those of all links.
 
 Before texts are compared, sizes and parities rule pairs out exactly: each set has 256 bits, the parities of its elements' counts in
-256 classes of hashes, and two sets differ in at least as many elements as bits.
+256 classes of hashes, and two sets differ in at least as many elements as bits. The few pairs left are ruled out by the same bound
+with about two classes an element before their texts travel.
 """
 
 from __future__ import annotations
@@ -40,12 +45,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyhouse.llm.base import WordHashes, discard, hash_sample, hold, mix, stage, windows
+from tallyhouse.llm.base import WordHashes, discard, hold, mix, stage, windows
 from tallyhouse.llm.components import components
 
-#: Documents (hash sample over the whole table) that tell frequent shingles, and the share of them that makes one frequent.
-SAMPLE_DOCS = 2000
-FREQUENT = 1 / 250
+#: One document of so many (by a hash of its text) tells frequent shingles, a shingle being frequent that more than so many of them
+#: have, and frequent shingles that are listed: the most common ones, where there are more.
+SAMPLE, FREQUENT, LISTED = 16, 8, 1 << 20
+#: Rows that are paired at a time, and tasks that the groups of one smallest component are dealt to.
+PAIRED, SPREAD = 1 << 16, 8
 #: Entries of a signature bucket to aim for.
 BUCKET = 1 << 19
 
@@ -160,21 +167,30 @@ def signatures(elements: np.ndarray, frequent: np.ndarray, threshold: float) ->
     return np.concatenate(made), np.concatenate(codes)
 
 
-def _frequent(rows: DataFrame, threshold: float) -> np.ndarray:
-    """Shingles in a larger share than ``FREQUENT`` of a bounded sample of documents. At most ``1 / FREQUENT`` times the longest text."""
-    picked = hash_sample(rows.select("t").where("t is not null"), ["t"], SAMPLE_DOCS, seed=3)
+def _frequent(rows: DataFrame) -> np.ndarray:
+    """Shingles in more than ``FREQUENT`` documents of the sample, at most ``LISTED``."""
+    picked = rows.select("t").where("t is not null").where(F.pmod(F.xxhash64(F.lit(3), "t"), F.lit(SAMPLE)) == 0)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
             sets = [shingle_set(x) for x in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(sets).view(np.int64))], ["h"])
 
-    counted = picked.mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > max(4, SAMPLE_DOCS * FREQUENT))
-    return np.sort(np.array([r["h"] for r in counted.select("h").collect()], dtype=np.int64).view(np.uint64))
+    counted = picked.mapInArrow(run, "h long").groupBy("h").agg(F.count(F.lit(1)).alias("c")).where(F.col("c") > FREQUENT)
+    counted = stage(counted, "frequent-shingles")
+    least, held = 0, 0
+    for c, n in counted.groupBy(F.least("c", F.lit(1 << 16)).alias("c")).count().orderBy(F.desc("c")).collect():
+        held += n
+        if held > LISTED:
+            least = c
+            break
+    found = counted.where(F.col("c") > least).select("h").toArrow().column(0).to_numpy()
+    discard(counted)
+    return np.sort(found.astype(np.int64).view(np.uint64))
 
 
 def _identity(elements: np.ndarray) -> tuple[int, bytes]:
-    """56-bit id and 128-bit digest of a set."""
+    """40-bit id and 128-bit digest of a set."""
     digest = xxhash.xxh3_128_digest(elements.tobytes())
     return _id(digest), digest
 
@@ -185,7 +201,7 @@ def _parities(elements: np.ndarray) -> bytes:
 
 
 def _id(digest: bytes) -> int:
-    return int.from_bytes(digest[:7], "little")
+    return int.from_bytes(digest[:5], "little")
 
 
 def _narrow(values: np.ndarray, width: int) -> bytes:
@@ -211,9 +227,9 @@ def _placed(**columns) -> pa.RecordBatch:
 
 def _signed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame:
     """One pass over the texts. Rows with a digest tell each document's key, set size and identity; rows with a signature tell
-    the id of a set that shares it with others, how many do, and the set's code for it."""
+    the name of the group that shares it, the id of a set of the group, how many it has, and the set's code for it."""
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("binary").alias("t"))
-    frequent = _frequent(rows, threshold)
+    frequent = _frequent(rows)
     entries = (rows.agg(F.coalesce(F.sum(F.octet_length("t")), F.lit(0))).first()[0]) // 8  # about one per word
     buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), ceil(entries / BUCKET))
 
@@ -222,7 +238,7 @@ def _signed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame
         found, owners, marks, held, told = [], [], [], 0, []
 
         def flush():
-            # 12 bytes an entry: a bucket holds few enough for 32 bits of the signature to tell it, chance equality adds candidates only
+            # 10 bytes an entry: a bucket holds few enough for 32 bits of the signature to tell it, chance equality adds candidates only
             sig, owner = np.concatenate([np.zeros(0, np.uint64), *found]), np.concatenate([np.zeros(0, np.uint64), *owners])
             mark = np.concatenate([np.zeros(0, np.uint16), *marks])
             mark = (np.searchsorted(NEEDS, mark >> 8) << 4 | mark & 15).astype(np.uint8)
@@ -231,7 +247,7 @@ def _signed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame
             sig, owner, mark, bucket = sig[order], owner[order], mark[order], bucket[order]
             starts = _first_of_run(bucket)
             stops = np.append(starts[1:], len(bucket))
-            blobs = [_narrow(sig[a:b], 4) + _narrow(owner[a:b], 7) + mark[a:b].tobytes() for a, b in zip(starts, stops)]
+            blobs = [_narrow(sig[a:b], 4) + _narrow(owner[a:b], 5) + mark[a:b].tobytes() for a, b in zip(starts, stops)]
             blank = [None] * len(blobs)
             names = bucket[starts].astype(np.int64).tolist()
             for k, _, digest, _ in told:  # documents need not meet here: copies are dealt out by their keys too
@@ -262,13 +278,13 @@ def _signed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame
         if told:
             yield flush()
 
-    def work(bucket: int, blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
+    def work(blobs: list[bytes]) -> Iterator[pa.RecordBatch]:
         sigs, owners, marks = [], [], []
         for blob in blobs:
-            n = len(blob) // 12
+            n = len(blob) // 10
             sigs.append(_widen(blob, n, 4, 0))
-            owners.append(_widen(blob, n, 7, 4 * n))
-            marks.append(np.frombuffer(blob, np.uint8, n, 11 * n))
+            owners.append(_widen(blob, n, 5, 4 * n))
+            marks.append(np.frombuffer(blob, np.uint8, n, 9 * n))
         sig, owner, mark = np.concatenate(sigs), np.concatenate(owners), np.concatenate(marks)
         order = np.lexsort((owner, sig))
         sig, owner, mark = sig[order], owner[order], mark[order]
@@ -277,8 +293,11 @@ def _signed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame
         starts = _first_of_run(sig)
         count = np.diff(np.append(starts, len(sig)))
         shared = np.repeat(count > 1, count)
-        named = np.repeat(bucket * (1 << 32) + np.arange(len(starts)), count)[shared]
-        if len(named):
+        if shared.any():
+            # named by its members, band and scheme: signatures of the same sets have one name, in whatever buckets they are
+            members = np.repeat(np.bitwise_xor.reduceat(mix(owner), starts), count)[shared]
+            named = mix(members + ((mark[shared] & 15).astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+            named = (named >> np.uint64(24)).view(np.int64)  # one name for two groups adds candidates only
             code = NEEDS[mark[shared] >> 4] << 8 | (mark[shared] & 15)
             yield _placed(id=owner[shared].astype(np.int64), sig=named, size=np.repeat(count, count)[shared], code=code.astype(np.int32))
 
@@ -297,27 +316,47 @@ def _signed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame
                 if blob is None:
                     continue
                 if bucket != current and blobs:
-                    yield from work(current, blobs)
+                    yield from work(blobs)
                     blobs = []
                 current = bucket
                 blobs.append(blob)
         if blobs:
-            yield from work(current, blobs)
+            yield from work(blobs)
 
     dealt = rows.mapInArrow(sign, "bucket long, blob binary, k long, n long, digest binary, bits binary").repartition(buckets, "bucket").sortWithinPartitions("bucket")
     return stage(dealt.mapInArrow(meet, _PLACED), "signatures")
 
 
+def _sketch(elements: np.ndarray) -> bytes:
+    """Parities in about two classes an element, 256 at least."""
+    classes = min(max(256, 1 << (2 * len(elements) - 1).bit_length()), 1 << 16) if len(elements) else 256
+    return np.packbits(np.bincount((elements & np.uint64(classes - 1)).astype(np.int64), minlength=classes) & 1).tobytes()
+
+
+def _differ(x: bytes, y: bytes) -> int:
+    """Bits in which two sketches differ. The longer one is folded: a class is the sum of two of twice as many."""
+    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    while len(p) > len(q):
+        p = p[: len(p) // 2] ^ p[len(p) // 2 :]
+    while len(q) > len(p):
+        q = q[: len(q) // 2] ^ q[len(q) // 2 :]
+    return int(np.bitwise_count(p ^ q).sum())
+
+
 def _texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
-    """Digest and text of the wanted documents (their keys)."""
+    """Digest, text, size and sketch of the wanted documents (their keys)."""
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            digests = [_identity(shingle_set(t))[1] for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(digests, pa.binary()), batch.column(0)], ["digest", "t"])
+            sets = [shingle_set(t) for t in batch.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([_identity(s)[1] for s in sets], pa.binary()), batch.column(0), pa.array([len(s) for s in sets], pa.int64()),
+                 pa.array([_sketch(s) for s in sets], pa.binary())],
+                ["digest", "t", "n", "bits"],
+            )
 
     rows = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("binary").alias("t")).where("t is not null")
-    return rows.join(wanted, rows["k"].eqNullSafe(wanted["k"]), "left_semi").select("t").mapInArrow(run, "digest binary, t binary")
+    return rows.join(wanted, rows["k"].eqNullSafe(wanted["k"]), "left_semi").select("t").mapInArrow(run, "digest binary, t binary, n long, bits binary")
 
 
 _BITS = ("p0", "p1", "p2", "p3")
@@ -342,6 +381,13 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, threshold: flo
     used = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
     texts = stage(_texts(docs, sets.join(used, "digest").select("k").distinct(), key, text), "candidate-texts")
 
+    def near(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in rows:
+            a, b, n, m, x, y = (c.to_pylist() for c in batch.columns)
+            most = [(i + j) * (share.denominator - share.numerator) for i, j in zip(n, m)]
+            keep = pa.array([_differ(i, j) * (share.denominator + share.numerator) <= d for i, j, d in zip(x, y, most)], pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, q = None, None
         for batch in rows:
@@ -361,27 +407,89 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, threshold: flo
 
     left = texts.select(F.col("digest").alias("a"), F.col("t").alias("x"))
     right = texts.select(F.col("digest").alias("b"), F.col("t").alias("y"))
-    found = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
+    marks = texts.select("digest", "n", "bits").dropDuplicates(["digest"])
+    first, second = marks.withColumnsRenamed({"digest": "a", "bits": "x"}), marks.withColumnsRenamed({"digest": "b", "n": "m", "bits": "y"})
+    close = pairs.join(first, "a").join(second, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(near, "a binary, b binary")
+    close = stage(close, "close-pairs")
+    found = close.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
     links = stage(found, "links")
     discard(texts)
+    discard(close)
     return links
 
 
 def _worth_a_look(shared: DataFrame) -> DataFrame:
-    """Signatures by which sets must meet: ``sig``, ``id``, ``center`` (smallest id of the rest of the group).
+    """Groups in which sets must meet: ``sig``, ``id``.
 
     Similar sets share ``need`` signatures, so each may leave out its ``need - 1`` most common ones, in one order for all sets, and
-    the rarest shared one is left (prefix filter). Sets that only share a passage share fewer and drop out here.
+    the rarest shared one is left (prefix filter). Sets that only share a passage share fewer and drop out here. Of signatures with
+    one name the last stands for all: two sets that share one of them share the last too.
     """
     mine = Window.partitionBy("id", F.col("code").bitwiseAND(F.lit(255))).orderBy(F.desc("size"), "sig")
-    left = shared.withColumn("place", F.row_number().over(mine)).where(F.col("place") >= F.shiftright("code", 8)).select("sig", "id")
-    left = stage(left, "rare-signatures")
-    centers = left.groupBy("sig").agg(F.min("id").alias("center"), F.count(F.lit(1)).alias("c")).where("c > 1").select("sig", "center")
-    groups = stage(left.join(centers, "sig"), "signature-groups")
+    ranked = shared.withColumns({"place": F.row_number().over(mine), "next": F.lead(F.struct("size", "sig")).over(mine)})
+    last = ~F.col("next").eqNullSafe(F.struct("size", "sig"))
+    left = stage(ranked.where(last & (F.col("place") >= F.shiftright("code", 8))).select("sig", "id"), "rare-signatures")
+    several = left.groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig")
+    groups = stage(left.join(several, "sig"), "signature-groups")
     discard(left)
     return groups
 
 
+def _paired(rest: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (``a``, ``b``) of sets of one group and different components that may be linked by size and parities, each about once.
+
+    Rows come sorted by group. A group is held whole, its pairs are not: those at one distance in the sorted rows are made at a time.
+    """
+    share = Fraction(str(threshold))
+    up, down = share.denominator + share.numerator, share.denominator - share.numerator
+
+    def work(held: pa.Table) -> Iterator[pa.RecordBatch]:
+        sig, root, n = (held.column(c).to_numpy() for c in ("sig", "r", "n"))
+        bits = np.stack([held.column(c).to_numpy().view(np.uint64) for c in _BITS], axis=1)
+        coded = held.column("digest").combine_chunks().dictionary_encode()
+        names, own = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
+        made, total, at, step = [], 0, np.arange(len(sig) - 1), 1
+
+        def told() -> pa.RecordBatch:
+            pairs = np.unique(np.concatenate(made))
+            return pa.RecordBatch.from_arrays([names.take(pa.array(pairs // len(names))), names.take(pa.array(pairs % len(names)))], ["a", "b"])
+
+        while len(at := at[sig[at] == sig[at + step]]):
+            i = at[root[at] != root[at + step]]
+            j = i + step
+            least = np.maximum(np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64), np.abs(n[i] - n[j]))
+            may = least * up <= (n[i] + n[j]) * down
+            x, y = own[i[may]], own[j[may]]
+            made.append(np.unique(np.minimum(x, y) * len(names) + np.maximum(x, y)))
+            total += len(made[-1])
+            if total > 1_000_000:
+                yield told()
+                made, total = [], 0
+            step += 1
+            at = at[at + step < len(sig)]
+        if total:
+            yield told()
+
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in rows:
+            held.append(batch)
+            size += batch.num_rows
+            if size >= PAIRED:
+                table = pa.Table.from_batches(held)
+                sig = table.column("sig").to_numpy()
+                end = int(np.flatnonzero(sig != sig[-1])[-1]) + 1 if sig[0] != sig[-1] else 0  # the last group may go on
+                if end:
+                    yield from work(table.slice(0, end))
+                held = table.slice(end).to_batches()
+                size = 0  # a group longer than this is looked at again only after as many rows more
+        if held:
+            yield from work(pa.Table.from_batches(held))
+
+    dealt = rest.repartition("lo", F.pmod("sig", F.lit(SPREAD))).sortWithinPartitions("lo", "sig").select("sig", "digest", "r", "n", *_BITS)
+    return dealt.mapInArrow(run, "a binary, b binary").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
 def similar_components(docs: DataFrame, threshold: float = 0.75, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``key``, ``n_shingles`` and ``component_id``, the smallest key that similar documents reach from it.
 
@@ -397,34 +505,36 @@ def similar_components(docs: DataFrame, threshold: float = 0.75, key: str = "doc
     facts = [F.min("k").alias("k"), *[F.first(c).alias(c) for c in ("n", *_BITS)]]
     classes = stage(identified.where("n > 0").groupBy("digest", "id").agg(*facts), "classes")
 
-    # ids are 56 bits of the digest: should two sets have one id, both stand for it, and they are a candidate pair
+    # ids are 40 bits of the digest: should two sets have one id, both stand for it, and they are a candidate pair
     bundled = classes.groupBy("id").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("id")
     taking_part = stage(classes.join(groups.select("id").unionByName(bundled).distinct(), "id"), "candidates")
     named = taking_part.select("id", "digest")
-    first, second = _sided(taking_part, "a").withColumnRenamed("id", "i"), _sided(taking_part, "b").withColumnRenamed("id", "j")
-    # each set is first held against the center it shares most signatures with
-    most = groups.where("id <> center").groupBy("id", "center").agg(F.count(F.lit(1)).alias("c"))
-    starred = most.groupBy(F.col("id").alias("i")).agg(F.max_by("center", F.struct("c", "center")).alias("j"))
-    tried = starred.unionByName(bundled.select(F.col("id").alias("i"), F.col("id").alias("j"))).join(first, "i").join(second, "j").where("a <> b")
-    tried = tried.where(_may_link(threshold)).select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    tried = stage(tried.distinct(), "tried-pairs")
+    sets = taking_part.drop("id")
+    twins = named.join(bundled, "id")
+    twins = twins.withColumnRenamed("digest", "a").join(twins.withColumnRenamed("digest", "b"), "id").where("a > b").select("a", "b")
+    placed = stage(groups.join(named, "id").select("sig", "digest"), "members")
+    discard(groups)
+    # each set is first held against the center it shares most groups with
+    centers = placed.groupBy("sig").agg(F.min("digest").alias("b"))
+    most = placed.withColumnRenamed("digest", "a").join(centers, "sig").where("a <> b").groupBy("a", "b").agg(F.count(F.lit(1)).alias("c"))
+    starred = most.groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b"))
+    tried = starred.unionByName(twins).distinct().join(_sided(sets, "a"), "a").join(_sided(sets, "b"), "b").where(_may_link(threshold))
+    tried = stage(tried.select("a", "b"), "tried-pairs")
     links = _verified(tried, docs, taking_part, threshold, key, text)
     joined = components(links)
 
     # what shares a signature and is still apart
-    placed = groups.select("sig", "id").join(named, "id").join(joined.withColumnRenamed("node", "digest"), "digest", "left")
-    placed = stage(placed.select("sig", "digest", F.coalesce("root", "digest").alias("root")), "placed")
-    discard(groups)
-    apart = placed.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig")
-    rest = stage(placed.join(apart, "sig").join(taking_part.select("digest", "n", *_BITS), "digest"), "apart")
+    root = F.coalesce("root", "digest")
+    parted = stage(placed.join(joined.withColumnRenamed("node", "digest"), "digest", "left").select("sig", "digest", root.alias("root")), "placed")
     discard(placed)
-    a, b = _sided(rest, "a").withColumnRenamed("root", "ra"), _sided(rest, "b").withColumnRenamed("root", "rb")
-    more = a.join(b, "sig").where("a > b and ra <> rb").where(_may_link(threshold)).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-    more = stage(more, "more-pairs")
+    apart = parted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig", F.xxhash64("lo").alias("lo"))
+    narrow = parted.select("sig", "digest", F.xxhash64("root").alias("r")).join(apart, "sig")
+    rest = stage(narrow.join(sets.drop("k"), "digest"), "apart")
+    discard(parted)
+    more = stage(_paired(rest, threshold).join(tried, ["a", "b"], "left_anti"), "more-pairs")
     discard(rest)
-    more = _verified(more, docs, taking_part, threshold, key, text)
     if not more.isEmpty():
-        joined = components(links.unionByName(more))
+        joined = components(links.unionByName(_verified(more, docs, taking_part, threshold, key, text)))
 
     roots = classes.join(joined.withColumnRenamed("node", "digest"), "digest", "left").select("digest", "k", F.coalesce("root", "digest").alias("root"))
     smallest = roots.groupBy("root").agg(F.min("k").alias("component_id"))

@@ -112,3 +112,59 @@ def test_subsets_and_parities():
     other = np.delete(whole, [3, 50, 120])
     (p, c), (q, _) = J.signatures(whole, whole[:0], 0.75), J.signatures(other, whole[:0], 0.75)
     assert len(p) > 100 and len(np.intersect1d(p, q)) >= max(c >> 8)
+
+
+def test_groups_differ_in_their_members(spark, docs):
+    """Two sets that share many signatures, and only with each other, meet in one group of a band and scheme."""
+    pick = random.Random(5)
+    text = [f"w{pick.randrange(5000)}" for _ in range(300)]
+    rows = [(1, " ".join(text)), (2, " ".join(text[2:])), (3, " ".join(text[:-2])), (4, "some other words that stand alone here")]
+    shared = J._signed(docs(rows), "doc_id", "text", 0.75).where("sig is not null")
+    groups = {}
+    for r in J._worth_a_look(shared).collect():
+        groups.setdefault(r.sig, []).append(r.id)
+    assert all(len(ids) == len(set(ids)) > 1 for ids in groups.values())
+    assert len({i for ids in groups.values() for i in ids}) == 3
+    # four lists of two or three sets, in two bands of at most four schemes
+    assert len(groups) <= 4 * 2 * 4 < shared.select("id", "sig", "size").count() / 3
+
+
+def test_frequent_is_a_number_of_documents(spark):
+    """600 of 90,000 documents share a passage: a share below 1/250, but more than a group should hold."""
+    passage = " ".join(f"p{i}" for i in range(20))
+    rows = spark.range(90_000).selectExpr(f"cast(if(id % 150 = 0, concat('{passage} n', id), concat('one t', id, ' u', id, ' v', id, ' x', id)) as binary) AS t")
+    found = set(J._frequent(rows).tolist())
+    assert set(J.shingle_set(passage.encode()).tolist()) == found
+
+
+def test_pairs_of_groups(spark):
+    """Pairs of one group, different components and near enough sizes and parities, over more rows than are paired at a time."""
+    pick = random.Random(8)
+    sets = [(i.to_bytes(16, "big"), pick.randrange(40), pick.choice([40, 44, 90]), [pick.getrandbits(6) for _ in range(4)]) for i in range(300)]
+    rows, want = [], set()
+    for sig in range(30_000):
+        group = pick.sample(sets, 3 if sig else 200)
+        rows += [(sig % 7, sig, d, r, n, *bits) for d, r, n, bits in group]
+        for d, r, n, bits in group:
+            for e, q, m, other in group:
+                least = max(sum((x ^ y).bit_count() for x, y in zip(bits, other)), abs(n - m))
+                if d > e and r != q and 7 * least <= n + m:
+                    want.add((d, e))
+    assert len(rows) > J.PAIRED
+    made = J._paired(spark.createDataFrame(rows, "lo long, sig long, digest binary, r long, n long, p0 long, p1 long, p2 long, p3 long"), 0.75)
+    got = [(bytes(r.a), bytes(r.b)) for r in made.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_sketches_bound_differences():
+    rng = np.random.default_rng(6)
+    for size in (1, 60, 128, 129, 700, 50_000):
+        a = np.unique(rng.integers(0, 1 << 63, size, dtype=np.uint64))
+        b = np.unique(np.r_[a[size // 3 :], rng.integers(0, 1 << 63, size // 2, dtype=np.uint64)])
+        x, y = J._sketch(a), J._sketch(b)
+        assert J._differ(x, y) == J._differ(y, x) <= len(np.setxor1d(a, b))
+        assert J._differ(x, x) == 0
+    # a family at a similarity of 0.6 is told apart, which 256 bits do not
+    a = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
+    b = np.r_[a[100:], rng.integers(0, 1 << 63, 100, dtype=np.uint64)]
+    assert 7 * J._differ(J._sketch(a), J._sketch(b)) > 800
