@@ -21,13 +21,14 @@ most common signatures, less one, as it must share.
 Signatures that the same sets share say the same, so a group is named by its members and each set joins it once.
 
 Sets that share a signature are not paired with each other. Each set is verified against one other, of the smallest sets of
-its groups the one it shares most groups with; verified links are joined to components; only then are pairs verified that
-share a signature and lie in different components. Groups with one smallest component are paired side by side, so that a pair of many
-signatures is made about once. The components are those of all links.
+its groups the one it shares most groups with, and verified links are joined to components. Groups with one smallest component are
+a family. In it each component is verified against the set of another that is nearest to one of its own, and links are joined again;
+only then are the pairs verified that share a signature and are still in different components. The components are those of all links.
 
 Before texts are compared, sizes and parities rule pairs out exactly: each set has 256 bits, the parities of its elements' counts in
-256 classes of hashes, and two sets differ in at least as many elements as bits. The few pairs left are ruled out by the same bound
-with about two classes an element before their texts travel.
+256 classes of hashes, and two sets differ in at least as many elements as bits. The sets of a family have the same bound with about
+four classes an element, their sketches, which also tell who is nearest. A family's sets are dealt out in blocks and each two blocks
+meet in one task, so a pair is looked at once in a family, and only a pair that this bound leaves is made.
 """
 
 from __future__ import annotations
@@ -51,8 +52,8 @@ from tallyhouse.llm.components import components
 #: One document of so many (by a hash of its text) tells frequent shingles, a shingle being frequent that more than so many of them
 #: have, and frequent shingles that are listed: the most common ones, where there are more.
 SAMPLE, FREQUENT, LISTED = 16, 8, 1 << 20
-#: Rows that are paired at a time, and tasks that the groups of one smallest component are dealt to.
-PAIRED, SPREAD = 1 << 16, 8
+#: Pairs that are handed on at a time, and sets in a block of a family.
+PAIRED, BLOCK = 1 << 16, 512
 #: Entries of a signature bucket to aim for.
 BUCKET = 1 << 19
 
@@ -328,19 +329,22 @@ def _signed(docs: DataFrame, key: str, text: str, threshold: float) -> DataFrame
 
 
 def _sketch(elements: np.ndarray) -> bytes:
-    """Parities in about two classes an element, 256 at least."""
-    classes = min(max(256, 1 << (2 * len(elements) - 1).bit_length()), 1 << 16) if len(elements) else 256
+    """Parities in about four classes an element, 256 at least."""
+    classes = min(max(256, 1 << (4 * len(elements) - 1).bit_length()), 1 << 17) if len(elements) else 256
     return np.packbits(np.bincount((elements & np.uint64(classes - 1)).astype(np.int64), minlength=classes) & 1).tobytes()
 
 
 def _differ(x: bytes, y: bytes) -> int:
     """Bits in which two sketches differ. The longer one is folded: a class is the sum of two of twice as many."""
-    p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-    while len(p) > len(q):
+    size = min(len(x), len(y)) // 8
+    return int(np.bitwise_count(_folded(x, size) ^ _folded(y, size)).sum())
+
+
+def _folded(bits: bytes, size: int) -> np.ndarray:
+    p = np.frombuffer(bits, np.uint64)
+    while len(p) > size:
         p = p[: len(p) // 2] ^ p[len(p) // 2 :]
-    while len(q) > len(p):
-        q = q[: len(q) // 2] ^ q[len(q) // 2 :]
-    return int(np.bitwise_count(p ^ q).sum())
+    return p
 
 
 def _texts(docs: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
@@ -375,11 +379,9 @@ def _may_link(threshold: float) -> Column:
     return least * (share.denominator + share.numerator) <= (F.col("n_a") + F.col("n_b")) * (share.denominator - share.numerator)
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, threshold: float, key: str, text: str) -> DataFrame:
-    """Those pairs of digests (``a``, ``b``) whose sets are similar enough. Texts travel, being smaller than their sets."""
+def _close(pairs: DataFrame, sketches: DataFrame, threshold: float) -> DataFrame:
+    """Those pairs of digests (``a``, ``b``) that their sketches do not rule out."""
     share = Fraction(str(threshold))
-    used = pairs.select(F.col("a").alias("digest")).unionByName(pairs.select(F.col("b").alias("digest"))).distinct()
-    texts = stage(_texts(docs, sets.join(used, "digest").select("k").distinct(), key, text), "candidate-texts")
 
     def near(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -388,6 +390,15 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, threshold: flo
             keep = pa.array([_differ(i, j) * (share.denominator + share.numerator) <= d for i, j, d in zip(x, y, most)], pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
+    first = sketches.withColumnsRenamed({"digest": "a", "bits": "x"})
+    second = sketches.withColumnsRenamed({"digest": "b", "n": "m", "bits": "y"})
+    return pairs.join(first, "a").join(second, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(near, "a binary, b binary")
+
+
+def _verified(close: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Those pairs of digests (``a``, ``b``) whose sets are similar enough. Texts travel, being smaller than their sets."""
+    share = Fraction(str(threshold))
+
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last, q = None, None
         for batch in rows:
@@ -405,17 +416,12 @@ def _verified(pairs: DataFrame, docs: DataFrame, sets: DataFrame, threshold: flo
             keep = pa.array(linked, pa.bool_())
             yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
 
+    used = close.select(F.col("a").alias("digest")).unionByName(close.select(F.col("b").alias("digest"))).distinct()
+    texts = texts.join(used, "digest", "left_semi")
     left = texts.select(F.col("digest").alias("a"), F.col("t").alias("x"))
     right = texts.select(F.col("digest").alias("b"), F.col("t").alias("y"))
-    marks = texts.select("digest", "n", "bits").dropDuplicates(["digest"])
-    first, second = marks.withColumnsRenamed({"digest": "a", "bits": "x"}), marks.withColumnsRenamed({"digest": "b", "n": "m", "bits": "y"})
-    close = pairs.join(first, "a").join(second, "b").select("a", "b", "n", "m", "x", "y").mapInArrow(near, "a binary, b binary")
-    close = stage(close, "close-pairs")
     found = close.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary")
-    links = stage(found, "links")
-    discard(texts)
-    discard(close)
-    return links
+    return stage(found, "links")
 
 
 def _worth_a_look(shared: DataFrame) -> DataFrame:
@@ -435,59 +441,93 @@ def _worth_a_look(shared: DataFrame) -> DataFrame:
     return groups
 
 
-def _paired(rest: DataFrame, threshold: float) -> DataFrame:
-    """Pairs (``a``, ``b``) of sets of one group and different components that may be linked by size and parities, each about once.
+def _gathered(rest: DataFrame) -> DataFrame:
+    """One row per set of a family (``lo``) with its signatures there, ``sigs``, in 32 bits: chance equality adds candidates only.
 
-    Rows come sorted by group. A group is held whole, its pairs are not: those at one distance in the sorted rows are made at a time.
+    Other columns belong to the set.
+    """
+    own = [c for c in rest.columns if c not in ("lo", "digest", "sig")]
+    return rest.groupBy("lo", "digest").agg(F.collect_list(F.hash("sig")).alias("sigs"), *[F.first(c).alias(c) for c in own])
+
+
+def _paired(rest: DataFrame, threshold: float, nearest: bool = False) -> DataFrame:
+    """Pairs (``a``, ``b``) of sets of one group and different components (``r``) that sizes and sketches (``bits``) do not rule out.
+
+    ``rest`` has a row per set of a family, as ``_gathered`` makes them, or per set and signature; without ``bits`` parities tell.
+    ``nearest``: of each family's components only the pair that differs least.
     """
     share = Fraction(str(threshold))
     up, down = share.denominator + share.numerator, share.denominator - share.numerator
-
-    def work(held: pa.Table) -> Iterator[pa.RecordBatch]:
-        sig, root, n = (held.column(c).to_numpy() for c in ("sig", "r", "n"))
-        bits = np.stack([held.column(c).to_numpy().view(np.uint64) for c in _BITS], axis=1)
-        coded = held.column("digest").combine_chunks().dictionary_encode()
-        names, own = coded.dictionary, coded.indices.to_numpy().astype(np.int64)
-        made, total, at, step = [], 0, np.arange(len(sig) - 1), 1
-
-        def told() -> pa.RecordBatch:
-            pairs = np.unique(np.concatenate(made))
-            return pa.RecordBatch.from_arrays([names.take(pa.array(pairs // len(names))), names.take(pa.array(pairs % len(names)))], ["a", "b"])
-
-        while len(at := at[sig[at] == sig[at + step]]):
-            i = at[root[at] != root[at + step]]
-            j = i + step
-            least = np.maximum(np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype=np.int64), np.abs(n[i] - n[j]))
-            may = least * up <= (n[i] + n[j]) * down
-            x, y = own[i[may]], own[j[may]]
-            made.append(np.unique(np.minimum(x, y) * len(names) + np.maximum(x, y)))
-            total += len(made[-1])
-            if total > 1_000_000:
-                yield told()
-                made, total = [], 0
-            step += 1
-            at = at[at + step < len(sig)]
-        if total:
-            yield told()
+    sets = rest if "sigs" in rest.columns else _gathered(rest)
+    if "bits" not in sets.columns:
+        sets = sets.withColumn("bits", F.unhex(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in _BITS])))
+    made = "lo long, r long, far double, a binary, b binary"
+    names = [x.split(" ")[0] for x in made.split(", ")]
+    kinds = [pa.int64(), pa.int64(), pa.float64(), pa.binary(), pa.binary()]
+
+    def work(key: tuple[int, int, int], held: list[tuple]) -> Iterator[pa.RecordBatch]:
+        held.sort(key=lambda x: x[0])  # the lower block first
+        sigs, bits, digests = ([x[c] for x in held] for c in (5, 4, 1))
+        root, n = (np.array([x[c] for x in held], dtype=np.int64) for c in (2, 3))
+        small = np.array([_folded(x, 4) for x in bits])
+        lower = int(np.searchsorted([x[0] for x in held], key[1], "right"))  # two blocks: only pairs between them
+        found, best = [], {}
+
+        def told(rows) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], names)
+
+        for i in range(lower):
+            at = i + 1 if key[1] == key[2] else lower
+            j = at + np.flatnonzero(root[at:] != root[i])
+            j = j[np.abs(n[i] - n[j]) * up <= (n[i] + n[j]) * down]
+            j = j[np.bitwise_count(small[i] ^ small[j]).sum(axis=1, dtype=np.int64) * up <= (n[i] + n[j]) * down]
+            mine = None
+            for k in j.tolist():
+                both = int(n[i] + n[k])
+                least = max(_differ(bits[i], bits[k]), abs(int(n[i] - n[k])))
+                if least * up > both * down:
+                    continue
+                far = least / both
+                if nearest and all(r in best and best[r][2] <= far for r in (root[i], root[k])):
+                    continue
+                mine = set(sigs[i]) if mine is None else mine
+                if mine.isdisjoint(sigs[k]):
+                    continue
+                if not nearest:
+                    found.append((key[0], root[i], far, digests[i], digests[k]))
+                    continue
+                for r in (root[i], root[k]):
+                    if r not in best or far < best[r][2]:
+                        best[r] = (key[0], r, far, digests[i], digests[k])
+            if len(found) >= PAIRED:
+                yield told(found)
+                found = []
+        found += best.values()
+        if found:
+            yield told(found)
 
     def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
+        current, held = None, []  # rows come sorted, so the sets of two blocks are held at a time
         for batch in rows:
-            held.append(batch)
-            size += batch.num_rows
-            if size >= PAIRED:
-                table = pa.Table.from_batches(held)
-                sig = table.column("sig").to_numpy()
-                end = int(np.flatnonzero(sig != sig[-1])[-1]) + 1 if sig[0] != sig[-1] else 0  # the last group may go on
-                if end:
-                    yield from work(table.slice(0, end))
-                held = table.slice(end).to_batches()
-                size = 0  # a group longer than this is looked at again only after as many rows more
+            columns = [c.to_pylist() for c in batch.columns[:-1]]
+            sigs = batch.columns[-1]
+            for at, row in enumerate(zip(*columns)):
+                if row[:3] != current:
+                    if held:
+                        yield from work(current, held)
+                    current, held = row[:3], []
+                held.append((*row[3:], sigs[at].values.to_numpy().tolist()))
         if held:
-            yield from work(pa.Table.from_batches(held))
+            yield from work(current, held)
 
-    dealt = rest.repartition("lo", F.pmod("sig", F.lit(SPREAD))).sortWithinPartitions("lo", "sig").select("sig", "digest", "r", "n", *_BITS)
-    return dealt.mapInArrow(run, "a binary, b binary").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    blocks = sets.groupBy("lo").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
+    mine = sets.join(blocks, "lo").withColumn("own", F.pmod(F.xxhash64("digest"), "blocks"))
+    dealt = mine.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    dealt = dealt.select("lo", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "r", "n", "bits", "sigs")
+    pairs = dealt.repartition("lo", "i", "j").sortWithinPartitions("lo", "i", "j").mapInArrow(run, made)
+    if nearest:
+        pairs = pairs.groupBy("lo", "r").agg(F.min(F.struct("far", "a", "b")).alias("p")).select("p.a", "p.b")
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def similar_components(docs: DataFrame, threshold: float = 0.75, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -520,7 +560,9 @@ def similar_components(docs: DataFrame, threshold: float = 0.75, key: str = "doc
     starred = most.groupBy("a").agg(F.max_by("b", F.struct("c", "b")).alias("b"))
     tried = starred.unionByName(twins).distinct().join(_sided(sets, "a"), "a").join(_sided(sets, "b"), "b").where(_may_link(threshold))
     tried = stage(tried.select("a", "b"), "tried-pairs")
-    links = _verified(tried, docs, taking_part, threshold, key, text)
+    texts = stage(_texts(docs, taking_part.select("k").distinct(), key, text), "candidate-texts")
+    sketches = stage(texts.select("digest", "n", "bits").dropDuplicates(["digest"]), "sketches")
+    links = _verified(stage(_close(tried, sketches, threshold), "close-pairs"), texts, threshold)
     joined = components(links)
 
     # what shares a signature and is still apart
@@ -528,13 +570,19 @@ def similar_components(docs: DataFrame, threshold: float = 0.75, key: str = "doc
     parted = stage(placed.join(joined.withColumnRenamed("node", "digest"), "digest", "left").select("sig", "digest", root.alias("root")), "placed")
     discard(placed)
     apart = parted.groupBy("sig").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("sig", F.xxhash64("lo").alias("lo"))
-    narrow = parted.select("sig", "digest", F.xxhash64("root").alias("r")).join(apart, "sig")
-    rest = stage(narrow.join(sets.drop("k"), "digest"), "apart")
+    families = stage(_gathered(parted.select("sig", "digest").join(apart, "sig")), "families")
     discard(parted)
-    more = stage(_paired(rest, threshold).join(tried, ["a", "b"], "left_anti"), "more-pairs")
-    discard(rest)
-    if not more.isEmpty():
-        joined = components(links.unionByName(_verified(more, docs, taking_part, threshold, key, text)))
+    # first the nearest, and when those are joined all that is left
+    for nearest in (True, False):
+        told = sketches.join(joined.withColumnRenamed("node", "digest"), "digest", "left").select("digest", "n", "bits", F.xxhash64(root).alias("r"))
+        more = stage(_paired(families.join(told, "digest"), threshold, nearest).join(tried, ["a", "b"], "left_anti"), "more-pairs")
+        tried = tried.unionByName(more)
+        found = _verified(more, texts, threshold)
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            joined = components(links)
+    discard(families)
+    discard(texts)
 
     roots = classes.join(joined.withColumnRenamed("node", "digest"), "digest", "left").select("digest", "k", F.coalesce("root", "digest").alias("root"))
     smallest = roots.groupBy("root").agg(F.min("k").alias("component_id"))

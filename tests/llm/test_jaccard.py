@@ -168,3 +168,50 @@ def test_sketches_bound_differences():
     a = rng.integers(0, 1 << 63, 400, dtype=np.uint64)
     b = np.r_[a[100:], rng.integers(0, 1 << 63, 100, dtype=np.uint64)]
     assert 7 * J._differ(J._sketch(a), J._sketch(b)) > 800
+
+
+def test_pairs_of_a_family_grow_with_its_sets(spark, docs, monkeypatch):
+    """40 texts at a similarity of some 0.6 to each other, and near copies of each: pairs are made of what sketches leave, and of it
+    the nearest first. Made of what 256 bits of parities leave, they were 7,133."""
+    pick = random.Random(12)
+    base, rows, made = [f"w{pick.randrange(50_000)}" for _ in range(700)], [], []
+    for i in range(40):
+        text = list(base)
+        at = pick.randrange(500)
+        text[at : at + 170] = [f"v{i}_{j}" for j in range(170)]
+        for j in range(3):
+            text[pick.randrange(700)] = f"x{i}_{j}"
+            rows.append((100 * i + j, " ".join(text)))
+    keep = J.stage
+
+    def counted(df, label, codec=None):
+        out = keep(df, label, codec)
+        if label in ("tried-pairs", "more-pairs"):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(J, "stage", counted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in J.similar_components(docs(rows)).collect()}
+    assert got == components(rows) and len({c for _, c in got.values()}) == 40
+    assert sum(made) < 2 * len(rows)
+
+
+def test_blocks_of_a_family(spark, monkeypatch):
+    """Sets of many blocks: each two meet once, in whichever blocks they are; the nearest are one pair a component at most."""
+    monkeypatch.setattr(J, "BLOCK", 16)
+    pick = random.Random(3)
+    sets = [(i.to_bytes(16, "big"), pick.randrange(30), 40, [pick.getrandbits(4) for _ in range(4)]) for i in range(150)]
+    rows = spark.createDataFrame([(5, 9, d, r, n, *bits) for d, r, n, bits in sets], "lo long, sig long, digest binary, r long, n long, p0 long, p1 long, p2 long, p3 long")
+    want = {}
+    for d, r, n, bits in sets:
+        for e, q, m, other in sets:
+            least = sum((x ^ y).bit_count() for x, y in zip(bits, other))
+            if d > e and r != q and 7 * least <= n + m:
+                want[d, e] = (least, r, q)
+    got = [(bytes(x.a), bytes(x.b)) for x in J._paired(rows, 0.75).collect()]
+    assert len(got) == len(set(got)) and set(got) == set(want)
+    near = {(bytes(x.a), bytes(x.b)) for x in J._paired(rows, 0.75, nearest=True).collect()}
+    assert near <= set(want) and len(near) <= 30
+    for c in range(30):
+        own = [x for x, (_, r, q) in want.items() if c in (r, q)]
+        assert any(want[x][0] == min(want[y][0] for y in own) for x in near & set(own)) or not own
