@@ -520,8 +520,10 @@ def _paired(rest: DataFrame, threshold: float, nearest: bool = False) -> DataFra
         if held:
             yield from work(current, held)
 
-    blocks = sets.groupBy("lo").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks"))
-    mine = sets.join(blocks, "lo").withColumn("own", F.pmod(F.xxhash64("digest"), "blocks"))
+    # only families of several blocks are listed, at most one for so many sets, and a family's sets need not meet to learn it
+    listed = sets.groupBy("lo").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("blocks")).where("blocks > 1")
+    blocks = F.coalesce("blocks", F.lit(1).cast("long"))
+    mine = sets.join(F.broadcast(listed), "lo", "left").withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("digest"), "blocks"))
     dealt = mine.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     dealt = dealt.select("lo", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "digest", "r", "n", "bits", "sigs")
     pairs = dealt.repartition("lo", "i", "j").sortWithinPartitions("lo", "i", "j").mapInArrow(run, made)
